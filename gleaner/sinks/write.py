@@ -65,7 +65,7 @@ def family_pattern(staging: Staging) -> re.Pattern:
 
 
 def staged_write(spark: SparkSession, root: str, namespace: str, staging: Staging, batch: DataFrame,
-                 key, members: list) -> dict[str, int | None]:
+                 key, members: list, order=("req_idx", "pos")) -> dict[str, int | None]:
     """Upsert each slice of the batch into the staging table of its member.
 
     ``batch._member`` holds the partition-param value of each row's request;
@@ -75,7 +75,7 @@ def staged_write(spark: SparkSession, root: str, namespace: str, staging: Stagin
     for m in members:
         name = member_name(staging, m)
         part = batch.filter(F.col("_member").eqNullSafe(F.lit(m)))
-        out[name] = upsert(VersionedTable(spark, root, namespace, name), part, key)
+        out[name] = upsert(VersionedTable(spark, root, namespace, name), part, key, order=order)
     return out
 
 
