@@ -16,6 +16,8 @@ from pyspark.sql import Column, functions as F
 DATE_FORMATS = ("M/d/yyyy", "yyyy/M/d")
 TIMESTAMP_FORMATS = ("M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy", "yyyy/M/d H:mm:ss", "yyyy/M/d")
 
+_INT_TEXT = r"^\s*[+-]?\d{1,18}\s*$"
+
 SPARK_TYPES = {
     "string": "string",
     "integer": "bigint",
@@ -30,15 +32,21 @@ def _coalesce(cols: list[Column]) -> Column:
     return cols[0] if len(cols) == 1 else F.coalesce(*cols)
 
 
+def _guarded(s: Column, f: str, parsed: Column) -> Column:
+    # A pattern with '/' cannot match text without one; skipping it avoids
+    # a parse failure (an exception inside Spark) for every ISO value.
+    return F.when(s.contains("/"), parsed) if "/" in f else parsed
+
+
 def _to_date(s: Column, formats: tuple[str, ...]) -> Column:
     tries = [s.try_cast("date")]
-    tries += [F.try_to_date(s, f) for f in formats]
+    tries += [_guarded(s, f, F.try_to_date(s, f)) for f in formats]
     return _coalesce(tries)
 
 
 def _to_timestamp(s: Column, formats: tuple[str, ...]) -> Column:
     tries = [s.try_cast("timestamp")]
-    tries += [F.try_to_timestamp(s, F.lit(f)) for f in formats]
+    tries += [_guarded(s, f, F.try_to_timestamp(s, F.lit(f))) for f in formats]
     return _coalesce(tries)
 
 
@@ -47,7 +55,11 @@ def cast_text(s: Column, type_: str | None, formats: tuple[str, ...] = (), truth
     if type_ is None or type_ == "string":
         return s
     if type_ == "integer":
-        return F.coalesce(s.try_cast("bigint"), s.try_cast("double").try_cast("bigint"))
+        # Plain integer text is cast exactly; anything else goes through a
+        # double and is truncated.  The regex guard matters for speed: a
+        # failing string->bigint cast costs an exception per row.
+        return F.when(s.rlike(_INT_TEXT), s.try_cast("bigint")) \
+            .otherwise(s.try_cast("double").try_cast("bigint"))
     if type_ == "float":
         return s.try_cast("double")
     if type_ == "boolean":
@@ -68,10 +80,7 @@ def cast_variant(v: Column, type_: str | None, formats: tuple[str, ...] = (), tr
     if type_ == "string":  # objects and arrays come out as JSON text
         return F.try_variant_get(v, "$", "string")
     if type_ == "integer":
-        return F.coalesce(
-            F.try_variant_get(v, "$", "bigint"),
-            F.try_variant_get(v, "$", "double").try_cast("bigint"),
-        )
+        return cast_text(F.try_variant_get(v, "$", "string"), "integer")
     if type_ == "float":
         return F.try_variant_get(v, "$", "double")
     if type_ == "boolean":
@@ -83,6 +92,24 @@ def cast_variant(v: Column, type_: str | None, formats: tuple[str, ...] = (), tr
     raise ValueError(f"Unknown column type: '{type_}'")
 
 
+def cast_variant_at(record: Column, path: str, type_: str | None, formats: tuple[str, ...] = (),
+                    truthy: bool = False) -> Column:
+    """``cast_variant`` of the value at ``path``, extracted once, directly as
+    the target type where Spark's variant cast already has the right rule."""
+    from gleaner.functions.paths import variant_path
+
+    p = variant_path(path)
+    if type_ is None:
+        return F.try_variant_get(record, p, "variant")
+    if type_ == "string":
+        return F.try_variant_get(record, p, "string")
+    if type_ == "float":
+        return F.try_variant_get(record, p, "double")
+    if type_ == "boolean" and not truthy:
+        return F.try_variant_get(record, p, "boolean")
+    return cast_text(F.try_variant_get(record, p, "string"), type_, formats, truthy)
+
+
 # Fixed value: the ISO shapes a message stream accepts for timestamps (UTC,
 # optional fraction, optional Z) and for dates.
 _STRICT_TS = r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}(\.\d{1,6})?Z?$"

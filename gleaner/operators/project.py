@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from gleaner.functions.casts import cast_text, cast_variant
+from gleaner.functions.casts import cast_text, cast_variant_at
 from gleaner.functions.paths import json_path
 from gleaner.functions.transforms import apply_transform
 from gleaner.spec import ArrayJoin, Column
@@ -18,7 +18,7 @@ def column_expr(record, col: Column, truthy: bool = False):
             return value
         text = value if isinstance(col.transform, ArrayJoin) else value.cast("string")
         return cast_text(text, col.type, col.formats, truthy)
-    return cast_variant(json_path(record, col.path, "variant"), col.type, col.formats, truthy)
+    return cast_variant_at(record, col.path, col.type, col.formats, truthy)
 
 
 def project_schema(records: DataFrame, columns, record: str = "record",
