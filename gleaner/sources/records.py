@@ -83,7 +83,7 @@ def parse_csv_records(bodies: DataFrame, body: str = "body") -> DataFrame:
     prior = F.col("error") if "error" in bodies.columns else F.lit(None).cast("string")
     staged = bodies.select(
         "req_idx", prior.alias("error"),
-        _csv_fields(F.element_at(lines, 1)).alias("__header"),
+        _csv_fields(F.try_element_at(lines, F.lit(1))).alias("__header"),
         F.when(prior.isNull(), F.coalesce(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))),
                                           F.array().cast("array<string>"))).alias("__lines"))
     rows = staged.select("req_idx", "error", "__header", F.posexplode_outer("__lines").alias("pos", "__line"))
