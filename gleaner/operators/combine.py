@@ -13,15 +13,18 @@ def _keys(key) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def anti_join_null_safe(existing: DataFrame, batch: DataFrame, key) -> DataFrame:
+def anti_join_null_safe(existing: DataFrame, batch: DataFrame, key, broadcast_keys: bool = False) -> DataFrame:
     """Rows of ``existing`` whose key does not occur in ``batch`` (NULL matches NULL).
 
     ``<=>`` is planned as a hash/sort-merge join on (coalesce, isnull) keys,
-    not a nested loop; AQE turns it into a broadcast only when the batch keys
-    measure under the broadcast threshold at run time.
+    not a nested loop.  ``broadcast_keys=True`` ships the batch keys to every
+    task so the existing table is filtered where it is read, with no
+    shuffle; callers set it only after counting the keys (see ``upsert``).
     """
     keys = _keys(key)
     right = batch.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)])
+    if broadcast_keys:
+        right = F.broadcast(right)
     cond = reduce(lambda a, b: a & b,
                   [existing[k].eqNullSafe(right[f"__k{i}"]) for i, k in enumerate(keys)])
     return existing.join(right, cond, "left_anti")
@@ -40,7 +43,8 @@ def union_family(frames: list[DataFrame]) -> DataFrame:
 
 
 def upsert_frame(existing: DataFrame | None, batch: DataFrame, key,
-                 order=("req_idx", "pos"), helper_cols=("req_idx", "pos")) -> DataFrame:
+                 order=("req_idx", "pos"), helper_cols=("req_idx", "pos"), broadcast_keys: bool = False,
+                 deduplicated: bool = False) -> DataFrame:
     """Result of upserting ``batch`` into ``existing`` by ``key`` in one job.
 
     Equivalent to applying the requests one after another: per key the
@@ -48,7 +52,8 @@ def upsert_frame(existing: DataFrame | None, batch: DataFrame, key,
     Existing rows whose key is in the batch are replaced; new columns are
     added with NULLs for old rows.
     """
-    latest = dedup_first(batch, key, order).drop(*[c for c in helper_cols if c in batch.columns])
+    latest = batch if deduplicated else dedup_first(batch, key, order)
+    latest = latest.drop(*[c for c in helper_cols if c in latest.columns])
     if existing is None:
         return latest
-    return union_by_name(anti_join_null_safe(existing, latest, key), latest)
+    return union_by_name(anti_join_null_safe(existing, latest, key, broadcast_keys), latest)

@@ -12,12 +12,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gleaner.functions.missing import AUDIT_COLUMN, audit_stamp
 from gleaner.operators.combine import union_family, upsert_frame
-from gleaner.operators.dedup import dedup_latest_non_null
+from gleaner.operators.dedup import dedup_first, dedup_latest_non_null
 from gleaner.sinks.table import VersionedTable, list_tables
 from gleaner.spec import Collector, Merge, Staging
 
 HELPERS = ("req_idx", "pos", "_member")
 
+# Batches with at most this many distinct keys are broadcast to the tasks
+# reading the stored table (8-16 bytes a key: ~100 MB at the bound).
+BROADCAST_MAX_KEYS = 5_000_000
+
 
 def _strip(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in HELPERS if c in df.columns])
@@ -32,7 +36,12 @@ def upsert(table: VersionedTable, batch: DataFrame, key, stamp: bool = False,
         return None
     if stamp:
         batch = batch.withColumn(AUDIT_COLUMN, audit_stamp())
-    merged = upsert_frame(table.read(), batch, key, order=order, helper_cols=HELPERS)
+    # The deduplicated batch is checkpointed to the shared folder: lineage to
+    # the fetch is cut (a lost executor re-reads it) and its size is exact.
+    latest = dedup_first(batch, key, order).checkpoint(eager=True)
+    n_keys = latest.count()
+    merged = upsert_frame(table.read(), latest, key, helper_cols=HELPERS, deduplicated=True,
+                          broadcast_keys=n_keys <= BROADCAST_MAX_KEYS)
     return table.replace(merged)
 
 
