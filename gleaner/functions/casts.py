@@ -8,6 +8,7 @@ Dates and timestamps are parsed from text only; a bare number is not a time.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, functions as F
@@ -32,10 +33,34 @@ def _coalesce(cols: list[Column]) -> Column:
     return cols[0] if len(cols) == 1 else F.coalesce(*cols)
 
 
+# Pattern letter runs -> the digits they accept.  A fallback pattern is only
+# tried on text of its shape: a parse failure costs an exception in Spark.
+_SHAPES = {"yyyy": r"\d{4}", "yy": r"\d{2}", "MM": r"\d{2}", "M": r"\d{1,2}", "dd": r"\d{2}",
+           "d": r"\d{1,2}", "HH": r"\d{2}", "H": r"\d{1,2}", "mm": r"\d{2}", "ss": r"\d{2}"}
+
+
+def pattern_shape(fmt: str) -> str | None:
+    """Regex of the text a Spark datetime pattern can parse; None if unknown letters."""
+    out, i = [], 0
+    while i < len(fmt):
+        ch = fmt[i]
+        j = i
+        while j < len(fmt) and fmt[j] == ch:
+            j += 1
+        run = fmt[i:j]
+        if ch.isalpha():
+            if run not in _SHAPES:
+                return None
+            out.append(_SHAPES[run])
+        else:
+            out.append(re.escape(run))
+        i = j
+    return r"^\s*" + "".join(out) + r"\s*$"
+
+
 def _guarded(s: Column, f: str, parsed: Column) -> Column:
-    # A pattern with '/' cannot match text without one; skipping it avoids
-    # a parse failure (an exception inside Spark) for every ISO value.
-    return F.when(s.contains("/"), parsed) if "/" in f else parsed
+    shape = pattern_shape(f)
+    return F.when(s.rlike(shape), parsed) if shape else parsed
 
 
 def _to_date(s: Column, formats: tuple[str, ...]) -> Column:
