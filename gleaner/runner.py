@@ -17,7 +17,8 @@ from gleaner.plans.requests import (build_plan, categorical_axis, date_range_axi
                                     request_params)
 from gleaner.sinks.write import write
 from gleaner.sources.fetch import fetch_function, fetch_http, land
-from gleaner.sources.records import infer_text_types, parse_csv_records, parse_json_records, records_of
+from gleaner.sources.records import (csv_header_fields, infer_text_types, parse_csv_records, parse_json_records,
+                                     records_of)
 from gleaner.spec import Categorical, Collector, Column, DateRange, FunctionSource, HttpSource, MessageSource
 
 BROADCAST_PLAN_ROWS = 1_000_000
@@ -74,8 +75,9 @@ def run_collector(spark: SparkSession, collector: Collector, root: str, limit: i
     records = records_of(parsed)
     columns = src.schema
     if columns is None and fmt == "csv":
-        columns = [Column(n, n, {"bigint": "integer", "double": "float"}.get(t, t if t != "string" else "string"))
-                   for n, t in infer_text_types(records)]
+        records = records.checkpoint(eager=True)  # inferred, then projected: parse once
+        columns = [Column(n, n, {"bigint": "integer", "double": "float"}.get(t, t))
+                   for n, t in infer_text_types(records, fields=csv_header_fields(bodies))]
     batch = project_schema(records, columns)
 
     members = None

@@ -64,52 +64,97 @@ def records_of(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("pos").isNotNull()).select("req_idx", "pos", "record")
 
 
-# Fixed value: split on commas outside double quotes.
-_CSV_SPLIT = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+CSV_OPTIONS = {"escape": '"', "mode": "PERMISSIVE"}
 
 
-def _csv_fields(line: Column) -> Column:
-    raw = F.split(line, _CSV_SPLIT)
-    return F.transform(raw, lambda f: F.regexp_replace(F.regexp_replace(f, r'^\s*"|"\s*$', ""), '""', '"'))
+def _csv_fields(line: Column, width: int) -> Column:
+    """The fields of one CSV line as an array of ``width`` strings (Spark's CSV
+    parser: quotes, doubled quotes and commas inside quotes; '' is NULL)."""
+    schema = ", ".join(f"c{i} STRING" for i in range(width))
+    parsed = F.from_csv(line, schema, CSV_OPTIONS)
+    return F.array(*[parsed[f"c{i}"] for i in range(width)])
 
 
-def parse_csv_records(bodies: DataFrame, body: str = "body") -> DataFrame:
+def parse_csv_records(bodies: DataFrame, body: str = "body", width: int | None = None) -> DataFrame:
     """CSV bodies: first line is the header; an empty body has no records;
     an empty cell is NULL.  Records are VARIANT objects of text values;
     cast them with a declared schema or ``infer_text_types``.  Quoted fields
-    may contain commas but not line breaks."""
+    may contain commas and quotes, not line breaks.
+
+    ``width`` bounds the number of fields; by default it is the widest header,
+    found by one aggregate over the header lines (one per body)."""
     lines = F.split(F.regexp_replace(F.col(body), r"\r\n?", "\n"), "\n")
-    lines = F.filter(lines, lambda s: F.length(F.trim(s)) > 0)
+    lines = F.filter(lines, lambda x: F.length(F.trim(x)) > 0)
     prior = F.col("error") if "error" in bodies.columns else F.lit(None).cast("string")
     staged = bodies.select(
         "req_idx", prior.alias("error"),
-        _csv_fields(F.try_element_at(lines, F.lit(1))).alias("__header"),
+        F.try_element_at(lines, F.lit(1)).alias("__hline"),
         F.when(prior.isNull(), F.coalesce(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))),
                                           F.array().cast("array<string>"))).alias("__lines"))
-    rows = staged.select("req_idx", "error", "__header", F.posexplode_outer("__lines").alias("pos", "__line"))
-    values = F.transform(_csv_fields(F.col("__line")), lambda f: F.when(F.length(f) > 0, f))
-    rec = F.parse_json(F.to_json(F.map_from_arrays(
-        F.slice(F.col("__header"), 1, F.size(values)), values)))
+    if width is None:
+        width = staged.agg(F.max(F.size(F.split("__hline", ",")))).first()[0] or 1
+    rows = staged.select("req_idx", "error", _csv_fields(F.col("__hline"), width).alias("__header"),
+                         F.posexplode_outer("__lines").alias("pos", "__line"))
+    pairs = F.filter(F.arrays_zip(F.col("__header").alias("k"), _csv_fields(F.col("__line"), width).alias("v")),
+                     lambda e: e["k"].isNotNull())
+    rec = F.parse_json(F.to_json(F.map_from_entries(pairs)))
     return rows.select("req_idx", F.col("pos").cast("int").alias("pos"),
                        F.when(F.col("__line").isNotNull(), rec).alias("record"), "error")
 
 
-def infer_text_types(records: DataFrame, record: str = "record") -> list[tuple[str, str]]:
+def csv_header_fields(bodies: DataFrame, body: str = "body") -> list[str]:
+    """Field names over all CSV headers, in first-seen order.  Only distinct
+    header lines reach the driver (as many as there are header layouts)."""
+    first = F.regexp_extract(F.col(body), r"^([^\r\n]*)", 1)
+    heads = [r[0] for r in bodies.select(first.alias("h")).filter(F.length("h") > 0).distinct().collect()]
+    if not heads:
+        return []
+    width = max(len(h.split(",")) for h in heads)
+    spark = bodies.sparkSession
+    parsed = spark.createDataFrame([(h,) for h in sorted(heads)], "h string") \
+        .select(_csv_fields(F.col("h"), width).alias("f")).collect()
+    out: list[str] = []
+    for row in parsed:
+        for name in row["f"]:
+            if name is not None and name not in out:
+                out.append(name)
+    return out
+
+
+def _type_checks(v: Column, name: str) -> list[Column]:
+    return [
+        F.bool_and(v.isNull() | (v.rlike(r"^\s*[+-]?\d{1,18}\s*$"))).alias(f"{name}\0int"),
+        F.bool_and(v.isNull() | v.try_cast("double").isNotNull()).alias(f"{name}\0num"),
+        F.bool_and(v.isNull() | F.lower(F.trim(v)).isin("true", "false")).alias(f"{name}\0bool"),
+    ]
+
+
+def _pick(is_int, is_num, is_bool) -> str:
+    return "bigint" if is_int else "double" if is_num else "boolean" if is_bool else "string"
+
+
+def infer_text_types(records: DataFrame, record: str = "record",
+                     fields: list[str] | None = None) -> list[tuple[str, str]]:
     """Types of text-valued record fields, as a CSV reader would infer them:
     bigint if every value is an integer, double if every value is a number,
-    boolean if every value is true/false, else string.  One aggregation."""
+    boolean if every value is true/false, else string.
+
+    With ``fields`` known (CSV headers) it is one global aggregate with
+    partial aggregation, no per-field rows; otherwise records are exploded
+    into (field, value) rows and grouped by field."""
+    if fields is not None:
+        if not fields:
+            return []
+        aggs = []
+        for i, name in enumerate(fields):
+            v = F.try_variant_get(F.col(record), "$['" + name.replace("'", "\\'") + "']", "string")
+            aggs += _type_checks(v, str(i))
+        r = records.agg(*aggs).first()
+        return sorted((name, _pick(r[f"{i}\0int"], r[f"{i}\0num"], r[f"{i}\0bool"]))
+                      for i, name in enumerate(fields))
     kv = records.select(F.explode(F.try_variant_get(F.col(record), "$", "map<string,string>")))
-    checks = kv.groupBy("key").agg(
-        F.bool_and(F.col("value").isNull() | F.col("value").try_cast("bigint").isNotNull()
-                   & F.col("value").rlike(r"^\s*[+-]?\d+\s*$")).alias("is_int"),
-        F.bool_and(F.col("value").isNull() | F.col("value").try_cast("double").isNotNull()).alias("is_num"),
-        F.bool_and(F.col("value").isNull() | F.lower(F.trim("value")).isin("true", "false")).alias("is_bool"),
-    )
-    out = []
-    for r in checks.collect():  # one row per field: schema-sized
-        t = "bigint" if r["is_int"] else "double" if r["is_num"] else "boolean" if r["is_bool"] else "string"
-        out.append((r["key"], t))
-    return sorted(out)
+    checks = kv.groupBy("key").agg(*_type_checks(F.col("value"), "x"))
+    return sorted((r["key"], _pick(r["x\0int"], r["x\0num"], r["x\0bool"])) for r in checks.collect())
 
 
 def pages_of(df: DataFrame, page_size: int, order: list[str]) -> DataFrame:

@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gleaner.operators import project_schema, rows_per_request, run_summary, schema_inferred
-from gleaner.sources.records import infer_text_types, pages_of, parse_csv_records, parse_json_records, records_of
+from gleaner.sources.records import (csv_header_fields, infer_text_types, pages_of, parse_csv_records,
+                                     parse_json_records, records_of)
 from gleaner.spec import ArrayJoin, Column, CrsReproject
 from gleaner.suite.registry import register, table
 
@@ -62,8 +63,9 @@ SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_quantity,
 FROM lineitem
 """)
 def q_parse_csv_records(spark, sf):
-    recs = records_of(parse_csv_records(csv_bodies(spark, sf))).checkpoint(eager=True)
-    types = infer_text_types(recs)
+    bodies = csv_bodies(spark, sf).checkpoint(eager=True)  # landed, as a run lands responses
+    recs = records_of(parse_csv_records(bodies)).checkpoint(eager=True)  # parsed once, read twice
+    types = infer_text_types(recs, fields=csv_header_fields(bodies))
     return recs.select(*[F.try_variant_get("record", f"$['{n}']", t).alias(n) for n, t in types])
 
 

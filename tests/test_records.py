@@ -56,3 +56,14 @@ def test_csv_bodies(spark):
         F.try_variant_get("record", "$.a", "string").alias("a"),
         F.try_variant_get("record", "$.b", "string").alias("b")).collect())
     assert got == [("1", "x, y"), ("2", None), ("3.5", 'say "hi"')]
+
+
+def test_csv_inference_with_known_fields(spark):
+    from gleaner.sources.records import csv_header_fields
+
+    bodies = spark.createDataFrame([(0, "a,b\n1,x\n"), (1, "a,b,c\n2,,true\n")], "req_idx bigint, body string")
+    fields = csv_header_fields(bodies)
+    assert fields == ["a", "b", "c"]
+    recs = records_of(parse_csv_records(bodies))
+    assert dict(infer_text_types(recs, fields=fields)) == dict(infer_text_types(recs)) == \
+        {"a": "bigint", "b": "string", "c": "boolean"}
