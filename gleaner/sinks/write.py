@@ -39,7 +39,12 @@ def upsert(table: VersionedTable, batch: DataFrame, key, stamp: bool = False,
     # The deduplicated batch is checkpointed to the shared folder: lineage to
     # the fetch is cut (a lost executor re-reads it) and its size is exact.
     latest = dedup_first(batch, key, order).checkpoint(eager=True)
-    n_keys = latest.count()
+    return _upsert_deduplicated(table, latest, key, latest.count())
+
+
+def _upsert_deduplicated(table: VersionedTable, latest: DataFrame, key, n_keys: int) -> int | None:
+    if n_keys == 0:
+        return None
     merged = upsert_frame(table.read(), latest, key, helper_cols=HELPERS, deduplicated=True,
                           broadcast_keys=n_keys <= BROADCAST_MAX_KEYS)
     return table.replace(merged)
@@ -74,17 +79,26 @@ def family_pattern(staging: Staging) -> re.Pattern:
 
 
 def staged_write(spark: SparkSession, root: str, namespace: str, staging: Staging, batch: DataFrame,
-                 key, members: list, order=("req_idx", "pos")) -> dict[str, int | None]:
+                 key, members: list, order=("req_idx", "pos"), stamp: bool = False) -> dict[str, int | None]:
     """Upsert each slice of the batch into the staging table of its member.
 
     ``batch._member`` holds the partition-param value of each row's request;
     ``members`` are the values the request plan can produce (spec literals).
+    The batch is deduplicated per (member, key) once and checkpointed; the
+    key count per member (one small aggregate) decides each broadcast.
     """
+    if key is None:
+        raise ValueError("staged writes upsert by key")
+    if stamp:
+        batch = batch.withColumn(AUDIT_COLUMN, audit_stamp())
+    keys = [key] if isinstance(key, str) else list(key)
+    latest = dedup_first(batch, ["_member", *keys], order).checkpoint(eager=True)
+    counts = {r["_member"]: r["n"] for r in latest.groupBy("_member").agg(F.count(F.lit(1)).alias("n")).collect()}
     out = {}
     for m in members:
         name = member_name(staging, m)
-        part = batch.filter(F.col("_member").eqNullSafe(F.lit(m)))
-        out[name] = upsert(VersionedTable(spark, root, namespace, name), part, key, order=order)
+        part = latest.filter(F.col("_member").eqNullSafe(F.lit(m)))
+        out[name] = _upsert_deduplicated(VersionedTable(spark, root, namespace, name), part, key, counts.get(m, 0))
     return out
 
 
@@ -116,7 +130,7 @@ def write(spark: SparkSession, collector: Collector, batch: DataFrame, root: str
     c = collector.cadence
     ns = collector.table_namespace
     if c.staging is not None:
-        res = staged_write(spark, root, ns, c.staging, batch, c.primary_key, members or [None])
+        res = staged_write(spark, root, ns, c.staging, batch, c.primary_key, members or [None], stamp=stamp)
         if c.merge is not None:
             res[c.merge.table] = staged_merge(spark, root, ns, c.staging, c.merge, c.primary_key)
         return res
