@@ -29,6 +29,18 @@ def message_schema(columns: list[Column]) -> StructType:
     return StructType([StructField(c.name, _TYPES.get(c.type or "string", StringType()), True) for c in columns])
 
 
+def kafka_messages(spark: SparkSession, bootstrap_servers: str, topic: str,
+                   starting_offsets: str = "latest") -> DataFrame:
+    """The message stream of a topic (needs the spark-sql-kafka connector on
+    the classpath; tests read files with ``readStream.text`` instead)."""
+    return (spark.readStream.format("kafka")
+            .option("kafka.bootstrap.servers", bootstrap_servers)
+            .option("subscribe", topic)
+            .option("startingOffsets", starting_offsets)
+            .load()
+            .select(F.col("value").cast("string").alias("value")))
+
+
 def decode_messages(df: DataFrame, value: str = "value") -> DataFrame:
     """Messages -> VARIANT ``record``; text that is not JSON is dropped."""
     rec = F.try_parse_json(F.col(value).cast("string"))

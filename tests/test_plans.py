@@ -86,3 +86,15 @@ def test_plan_has_no_cross_join(spark):
     plan = build_plan(spark, [weeks, states])
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_override_date_range():
+    from gleaner.plans import override_date_range
+    from gleaner.spec import Cadence, Collector, HttpSource
+
+    c = Collector("c", HttpSource("http://x", params=(Param("s"),)),
+                  Cadence("append", iterate=(DateRange(("s",), "2024-01-01", "2024-12-31", "1 day"),
+                                             Categorical("k", (1,)))))
+    o = override_date_range(c, "2024-03-01", "2024-03-02")
+    assert (o.cadence.iterate[0].start, o.cadence.iterate[0].end) == ("2024-03-01", "2024-03-02")
+    assert o.cadence.iterate[1] == c.cadence.iterate[1] and c.cadence.iterate[0].start == "2024-01-01"

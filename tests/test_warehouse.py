@@ -77,3 +77,16 @@ def test_flat_folder_scan_prunes(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(l_returnflag), EqualTo(l_returnflag,R)]" in plan
     assert "ReadSchema: struct<l_orderkey:bigint,l_returnflag:string>" in plan
+
+
+def test_describe_and_cli(spark, capsys):
+    from gleaner.__main__ import main
+
+    root = new_scratch(spark, "t-cli")
+    _put(spark, root, "ns", "t", [(1, "a"), (2, "b")], "id bigint, name string")
+    wh = Warehouse(spark, root=root)
+    assert wh.describe("ns.t") == [("id", "bigint"), ("name", "string")]
+    assert main(["query", "--root", root, "SELECT count(*) AS n FROM ns.t"]) == 0
+    assert "2" in capsys.readouterr().out
+    assert main(["tables", "--root", root]) == 0
+    assert "ns.t" in capsys.readouterr().out
