@@ -67,3 +67,9 @@ def schema_inferred(records: DataFrame, record: str = "record",
     rec = F.col(record)
     kept = [c for c in keep if c in records.columns]
     return records.select(*kept, *[json_path(rec, name, t).alias(name) for name, t in cols])
+
+
+def as_text(df: DataFrame) -> DataFrame:
+    """Every column cast to STRING (a frame written as text, as some
+    warehouses keep staging tables); NULL stays NULL."""
+    return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gleaner.operators.project import project_schema
 from gleaner.operators.summary import run_summary
+from gleaner.session import checkpointed
 from gleaner.plans.requests import (build_plan, categorical_axis, date_range_axis, plan_limit,
                                     request_params)
 from gleaner.sinks.write import write
@@ -75,7 +76,7 @@ def run_collector(spark: SparkSession, collector: Collector, root: str, limit: i
     records = records_of(parsed)
     columns = src.schema
     if columns is None and fmt == "csv":
-        records = records.checkpoint(eager=True)  # inferred, then projected: parse once
+        records = checkpointed(records)  # inferred, then projected: parse once
         columns = [Column(n, n, {"bigint": "integer", "double": "float"}.get(t, t))
                    for n, t in infer_text_types(records, fields=csv_header_fields(bodies))]
     batch = project_schema(records, columns)

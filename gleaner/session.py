@@ -74,3 +74,10 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
 def new_scratch(spark: SparkSession, kind: str) -> str:
     """A fresh, never reused folder below the shared folder."""
     return shared_dir(spark, "gleaner", kind, uuid.uuid4().hex)
+
+
+def checkpointed(df):
+    """Reliable checkpoint into the shared folder (never a local one): cuts
+    lineage so a lost executor re-reads files instead of recomputing."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

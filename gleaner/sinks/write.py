@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gleaner.functions.missing import AUDIT_COLUMN, audit_stamp
 from gleaner.operators.combine import union_family, upsert_frame
+from gleaner.session import checkpointed
 from gleaner.operators.dedup import dedup_first, dedup_latest_non_null
 from gleaner.sinks.table import VersionedTable, list_tables
 from gleaner.spec import Collector, Merge, Staging
@@ -38,7 +39,7 @@ def upsert(table: VersionedTable, batch: DataFrame, key, stamp: bool = False,
         batch = batch.withColumn(AUDIT_COLUMN, audit_stamp())
     # The deduplicated batch is checkpointed to the shared folder: lineage to
     # the fetch is cut (a lost executor re-reads it) and its size is exact.
-    latest = dedup_first(batch, key, order).checkpoint(eager=True)
+    latest = checkpointed(dedup_first(batch, key, order))
     return _upsert_deduplicated(table, latest, key, latest.count())
 
 
@@ -92,7 +93,7 @@ def staged_write(spark: SparkSession, root: str, namespace: str, staging: Stagin
     if stamp:
         batch = batch.withColumn(AUDIT_COLUMN, audit_stamp())
     keys = [key] if isinstance(key, str) else list(key)
-    latest = dedup_first(batch, ["_member", *keys], order).checkpoint(eager=True)
+    latest = checkpointed(dedup_first(batch, ["_member", *keys], order))
     counts = {r["_member"]: r["n"] for r in latest.groupBy("_member").agg(F.count(F.lit(1)).alias("n")).collect()}
     out = {}
     for m in members:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from gleaner.operators import project_schema, rows_per_request, run_summary, schema_inferred
 from gleaner.sources.records import (csv_header_fields, infer_text_types, pages_of, parse_csv_records,
                                      parse_json_records, records_of)
+from gleaner.session import checkpointed
 from gleaner.spec import ArrayJoin, Column, CrsReproject
 from gleaner.suite.registry import register, table
 
@@ -63,8 +64,8 @@ SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_quantity,
 FROM lineitem
 """)
 def q_parse_csv_records(spark, sf):
-    bodies = csv_bodies(spark, sf).checkpoint(eager=True)  # landed, as a run lands responses
-    recs = records_of(parse_csv_records(bodies)).checkpoint(eager=True)  # parsed once, read twice
+    bodies = checkpointed(csv_bodies(spark, sf))  # landed, as a run lands responses
+    recs = checkpointed(records_of(parse_csv_records(bodies)))  # parsed once, read twice
     types = infer_text_types(recs, fields=csv_header_fields(bodies))
     return recs.select(*[F.try_variant_get("record", f"$['{n}']", t).alias(n) for n, t in types])
 
@@ -76,7 +77,7 @@ FROM orders
 """)
 def q_schema_inferred(spark, sf):
     o = table(spark, sf, "orders")
-    recs = o.select(F.parse_json(F.to_json(F.struct(*o.columns))).alias("record")).checkpoint(eager=True)
+    recs = checkpointed(o.select(F.parse_json(F.to_json(F.struct(*o.columns))).alias("record")))
     return schema_inferred(recs, keep=())
 
 

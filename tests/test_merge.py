@@ -39,3 +39,12 @@ def test_staged_family_and_merge(spark, root):
     staged_merge(spark, root, "ns", staging, merge)
     merged = VersionedTable(spark, root, "ns", "items").read()
     assert rows(merged, "id", "seen") == [(1, "2024-01-09"), (2, "2024-01-05"), (3, None), (4, "2024-01-02")]
+
+
+def test_all_text_frame_feeds_latest_non_null(spark):
+    from gleaner.operators import as_text
+
+    df = spark.createDataFrame([(1, 2.5, None), (1, None, 3)], "k int, x double, d int")
+    t = as_text(df)
+    assert all(dt == "string" for _, dt in t.dtypes)
+    assert rows(t, "x", "d") == [("2.5", None), (None, "3")]
