@@ -6,9 +6,22 @@ QUERIES: dict = {}
 ORACLE: dict = {}
 
 
+def _in_utc(fn):
+    """Run the query with the session in UTC, the zone the engine's epoch
+    and instant<->wall-clock conversions are defined in."""
+    import functools
+
+    @functools.wraps(fn)
+    def run(spark, sf_dir):
+        if spark.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC", "Z"):
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return fn(spark, sf_dir)
+    return run
+
+
 def register(name: str, oracle: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        QUERIES[name] = _in_utc(fn)
         if oracle is not None:
             ORACLE[name] = oracle.strip()
         return fn
