@@ -7,6 +7,8 @@ different orders.
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from gleaner.suite.registry import register
 from gleaner.suite.warehouse_sql import warehouse
 
@@ -204,3 +206,26 @@ SELECT event_id, CAST(json_extract_string(props, '$.k') AS INT) AS k,
        CAST(json_extract_string(props, '$.k') AS INT) % 10 AS k_mod
 FROM events
 """)
+
+
+_ASOF_ORACLE = """
+SELECT p.event_id, p.user_id, p.ts, v.ts AS last_view_ts, v.value AS last_view_value
+FROM (SELECT * FROM events WHERE event_type = 'purchase') p
+ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'view') v
+  ON p.user_id = v.user_id AND p.ts > v.ts
+"""
+
+
+@register("asof_join", _ASOF_ORACLE)
+def q_asof_join(spark, sf):
+    """The same as-of join as ``sql_join_range``, by the bucketed operator:
+    no task holds more than one user-hour of events."""
+    from gleaner.operators import asof_join
+    from gleaner.suite.registry import table
+
+    ev = table(spark, sf, "events")
+    purchases = ev.filter(F.col("event_type") == "purchase").select("event_id", "user_id", "ts")
+    views = ev.filter(F.col("event_type") == "view").select(
+        "user_id", F.col("ts").alias("last_view_ts"), F.col("value").alias("last_view_value"), "event_id")
+    return asof_join(purchases, views, "user_id", "ts", "last_view_ts", ["last_view_ts", "last_view_value"],
+                     bucket_seconds=3600, strict=True, tie_break=["event_id"])
