@@ -76,6 +76,15 @@ UNION ALL
 SELECT DISTINCT c_mktsegment, NULL, NULL FROM {p}customer
 """)
 
+# Sketches differ between engines: the check is that the estimate is within
+# 5 % of the exact count, which both must satisfy.
+_sql("sql_approx_distinct", """
+SELECT l_returnflag, count(DISTINCT l_partkey) AS parts,
+       abs(approx_count_distinct(l_partkey) - count(DISTINCT l_partkey)) <= 0.05 * count(DISTINCT l_partkey)
+         AS approx_within_5pct
+FROM {p}lineitem GROUP BY l_returnflag
+""")
+
 _sql("sql_rollup", """
 SELECT l_returnflag, l_linestatus, count(*) AS n, round(sum(l_quantity), 2) AS qty,
        grouping(l_returnflag) AS g_flag, grouping(l_linestatus) AS g_status
