@@ -48,3 +48,32 @@ def test_all_text_frame_feeds_latest_non_null(spark):
     t = as_text(df)
     assert all(dt == "string" for _, dt in t.dtypes)
     assert rows(t, "x", "d") == [("2.5", None), (None, "3")]
+
+
+def _latest_brute(data):
+    """Per key: greatest date (missing last), then more present dates, then smallest v."""
+    import datetime as dt
+
+    def epoch(s):
+        if s is None or s.strip().lower() in ("nan", "nat", "none", ""):
+            return None
+        return dt.datetime.fromisoformat(s).replace(tzinfo=dt.timezone.utc).timestamp()
+
+    best = {}
+    for k, v, d1, d2 in data:
+        es = [e for e in (epoch(d1), epoch(d2)) if e is not None]
+        rank = (max(es) if es else float("-inf"), len(es), [-ord(c) for c in v])
+        if k not in best or rank > best[k][0]:
+            best[k] = (rank, v)
+    return sorted((k, v) for k, (_, v) in best.items())
+
+
+def test_latest_non_null_matches_brute_force(spark):
+    import random
+
+    rnd = random.Random(3)
+    dates = [None, "NaN", "2024-01-01", "2024-01-02", "2024-01-02 12:00:00", "2023-12-31"]
+    data = [(rnd.randint(0, 8), f"v{i:03d}", rnd.choice(dates), rnd.choice(dates)) for i in range(200)]
+    df = spark.createDataFrame(data, "k int, v string, d1 string, d2 string")
+    out = dedup_latest_non_null(df, "k", ["d1", "d2"])
+    assert rows(out, "k", "v") == _latest_brute(data)

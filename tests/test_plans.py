@@ -98,3 +98,14 @@ def test_override_date_range():
     o = override_date_range(c, "2024-03-01", "2024-03-02")
     assert (o.cadence.iterate[0].start, o.cadence.iterate[0].end) == ("2024-03-01", "2024-03-02")
     assert o.cadence.iterate[1] == c.cadence.iterate[1] and c.cadence.iterate[0].start == "2024-01-01"
+
+
+def test_cartesian_equals_product(spark):
+    import itertools
+
+    a = categorical_axis(spark, Categorical("a", (1, 2, 3)))
+    b = date_range_axis(DateRange(("d",), "2024-01-01", "2024-01-03", "1 day"))
+    c = categorical_axis(spark, Categorical("c", ("x", "y")))
+    days = ["2024-01-01", "2024-01-02", "2024-01-03"]
+    expected = [{"a": str(x), "d": d, "c": z} for x, d, z in itertools.product((1, 2, 3), days, ("x", "y"))]
+    assert [p for _, p in _plan(spark, [a, b, c])] == expected

@@ -65,3 +65,16 @@ def test_publish_copies(spark):
     out = new_scratch(spark, "t-pub")
     publish(spark.createDataFrame([("a",), ("b",)], "value string"), out, count=3)
     assert sorted(r[0] for r in spark.read.text(out).collect()) == ["a"] * 3 + ["b"] * 3
+
+
+def test_processing_time_trigger(spark):
+    folder = _files(spark)
+    root = new_scratch(spark, "t-stream-pt")
+    coll = Collector("msgs", MessageSource("topic", schema=tuple(COLUMNS)), Cadence("append"), streaming=True,
+                     window_seconds=1)
+    q = run_stream(spark, coll, spark.readStream.text(folder), root, checkpoint=new_scratch(spark, "t-ck2"))
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert VersionedTable(spark, root, "msgs", "msgs").read().count() == 4
