@@ -42,6 +42,10 @@ class _FS:
             return []
         return [s.getPath().getName() for s in self.fs.listStatus(self.p(path)) if s.isDirectory()]
 
+    def size(self, path: str) -> int:
+        """Bytes below ``path`` (a file or a folder tree)."""
+        return int(self.fs.getContentSummary(self.p(path)).getLength())
+
     def create_new(self, path: str) -> bool:
         return self.fs.createNewFile(self.p(path))
 

@@ -97,7 +97,7 @@ def parse_csv_records(bodies: DataFrame, body: str = "body", width: int | None =
                          F.posexplode_outer("__lines").alias("pos", "__line"))
     pairs = F.filter(F.arrays_zip(F.col("__header").alias("k"), _csv_fields(F.col("__line"), width).alias("v")),
                      lambda e: e["k"].isNotNull())
-    rec = F.parse_json(F.to_json(F.map_from_entries(pairs)))
+    rec = F.to_variant_object(F.map_from_entries(pairs))
     return rows.select("req_idx", F.col("pos").cast("int").alias("pos"),
                        F.when(F.col("__line").isNotNull(), rec).alias("record"), "error")
 

@@ -28,8 +28,23 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
+# The id column of each driver table, the key a scan with few
+# splits is spread by (unique or nearly so, hence no hot partition).
+ID_COLUMNS = {
+    "region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey",
+    "supplier": "s_suppkey", "part": "p_partkey", "orders": "o_orderkey",
+    "lineitem": "l_orderkey", "events": "event_id", "documents": "doc_id",
+    "embeddings": "vec_id", "pages": "page_id", "benchmark": "item_id",
+    "labels": "doc_id", "conversations": "conv_id",
+}
+
+
 def table(spark, sf_dir: str, name: str):
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table; spread over the cores when its file has few row groups."""
+    from gleaner.sources.scan import read_spread
+
+    key = ID_COLUMNS.get(name)
+    return read_spread(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", [key] if key else None)
 
 
 SUITE_MODULES = ("ingest", "plans", "merge", "warehouse_sql", "sql_delegated", "bodies", "streams")
