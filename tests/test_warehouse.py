@@ -90,3 +90,21 @@ def test_describe_and_cli(spark, capsys):
     assert "2" in capsys.readouterr().out
     assert main(["tables", "--root", root]) == 0
     assert "ns.t" in capsys.readouterr().out
+
+
+def test_listing_counts_in_one_job_and_marks_unreadable(spark):
+    root = new_scratch(spark, "t-list")
+    _put(spark, root, "ns", "good", [(i,) for i in range(30)], "x bigint")
+    _put(spark, root, "ns", "other", [(1, "a"), (2, "b")], "id bigint, s string")
+    bad = VersionedTable(spark, root, "ns", "bad")
+    bad.replace(spark.createDataFrame([(1,)], "x bigint"))
+    import glob
+    import os
+    loc = bad.location().replace("file:", "")
+    for f in glob.glob(os.path.join(loc, "*.parquet")):
+        with open(f, "wb") as fh:
+            fh.write(b"not parquet at all")
+    listing = {r["full_name"]: r for r in Warehouse(spark, root=root).list_tables().collect()}
+    assert listing["ns.good"]["row_count"] == 30 and listing["ns.other"]["row_count"] == 2
+    assert listing["ns.bad"]["row_count"] == -1 and listing["ns.bad"]["error"]
+    assert [r for r in sorted(listing)] == ["ns.bad", "ns.good", "ns.other"]
