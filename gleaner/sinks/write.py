@@ -7,6 +7,7 @@ is one Spark job per table instead of one rewrite per request.
 from __future__ import annotations
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -23,6 +24,9 @@ HELPERS = ("req_idx", "pos", "_member")
 # reading the stored table (8-16 bytes a key: ~100 MB at the bound).
 BROADCAST_MAX_KEYS = 5_000_000
 
+# Staging tables written at the same time (each is its own Spark job).
+MAX_CONCURRENT_WRITES = 8
+
 
 def _strip(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in HELPERS if c in df.columns])
@@ -95,12 +99,23 @@ def staged_write(spark: SparkSession, root: str, namespace: str, staging: Stagin
     keys = [key] if isinstance(key, str) else list(key)
     latest = checkpointed(dedup_first(batch, ["_member", *keys], order))
     counts = {r["_member"]: r["n"] for r in latest.groupBy("_member").agg(F.count(F.lit(1)).alias("n")).collect()}
-    out = {}
+    by_table: dict[str, list] = {}
     for m in members:
-        name = member_name(staging, m)
-        part = latest.filter(F.col("_member").eqNullSafe(F.lit(m)))
-        out[name] = _upsert_deduplicated(VersionedTable(spark, root, namespace, name), part, key, counts.get(m, 0))
-    return out
+        by_table.setdefault(member_name(staging, m), []).append(m)
+
+    def write_table(name: str) -> int | None:
+        res = None
+        for m in by_table[name]:  # members sharing a table are upserted in order
+            part = latest.filter(F.col("_member").eqNullSafe(F.lit(m)))
+            res = _upsert_deduplicated(VersionedTable(spark, root, namespace, name), part, key,
+                                       counts.get(m, 0)) or res
+        return res
+
+    # Member tables are independent: their upserts run as concurrent Spark
+    # jobs, so small members do not leave the cluster idle one after another.
+    workers = max(1, min(len(by_table), MAX_CONCURRENT_WRITES))
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        return dict(zip(by_table, pool.map(write_table, list(by_table))))
 
 
 def family_tables(spark: SparkSession, root: str, namespace: str, staging: Staging) -> list[VersionedTable]:

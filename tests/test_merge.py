@@ -77,3 +77,18 @@ def test_latest_non_null_matches_brute_force(spark):
     df = spark.createDataFrame(data, "k int, v string, d1 string, d2 string")
     out = dedup_latest_non_null(df, "k", ["d1", "d2"])
     assert rows(out, "k", "v") == _latest_brute(data)
+
+
+def test_members_sharing_a_table_upsert_in_order(spark, root):
+    staging = Staging("kind", "items_{kind}_staging")
+    batch = spark.createDataFrame([
+        (0, 0, 7, "x", None), (0, 1, 8, "x", None),
+        (1, 0, 7, "y", "default"), (1, 1, 9, "y", "default"),
+        (2, 0, 7, "z", "other"),
+    ], "req_idx bigint, pos int, id bigint, seen string, _member string")
+    res = staged_write(spark, root, "ns", staging, batch, "id", [None, "default", "other"])
+    assert set(res) == {"items_default_staging", "items_other_staging"}
+    shared = VersionedTable(spark, root, "ns", "items_default_staging").read()
+    assert rows(shared, "id", "seen") == [(7, "y"), (8, "x"), (9, "y")]
+    other = VersionedTable(spark, root, "ns", "items_other_staging").read()
+    assert rows(other, "id", "seen") == [(7, "z")]
