@@ -103,22 +103,19 @@ def parse_csv_records(bodies: DataFrame, body: str = "body", width: int | None =
 
 
 def csv_header_fields(bodies: DataFrame, body: str = "body") -> list[str]:
-    """Field names over all CSV headers, in first-seen order.  Only distinct
-    header lines reach the driver (as many as there are header layouts)."""
+    """Field names over all CSV headers, by their first position in any header.
+
+    Header lines are split on the executors; one row per distinct field name
+    (as many as the schema has columns) reaches the driver, however many
+    bodies or header layouts there are."""
     first = F.regexp_extract(F.col(body), r"^([^\r\n]*)", 1)
-    heads = [r[0] for r in bodies.select(first.alias("h")).filter(F.length("h") > 0).distinct().collect()]
-    if not heads:
+    heads = bodies.select(first.alias("h")).filter(F.length("h") > 0)
+    width = heads.agg(F.max(F.size(F.split("h", ",")))).first()[0]
+    if not width:
         return []
-    width = max(len(h.split(",")) for h in heads)
-    spark = bodies.sparkSession
-    parsed = spark.createDataFrame([(h,) for h in sorted(heads)], "h string") \
-        .select(_csv_fields(F.col("h"), width).alias("f")).collect()
-    out: list[str] = []
-    for row in parsed:
-        for name in row["f"]:
-            if name is not None and name not in out:
-                out.append(name)
-    return out
+    fields = heads.select(F.posexplode(_csv_fields(F.col("h"), width)).alias("i", "name"))
+    named = fields.filter(F.col("name").isNotNull()).groupBy("name").agg(F.min("i").alias("i")).collect()
+    return [r["name"] for r in sorted(named, key=lambda r: (r["i"], r["name"]))]
 
 
 def _type_checks(v: Column, name: str) -> list[Column]:
