@@ -158,10 +158,12 @@ def pages_of(df: DataFrame, page_size: int, order: list[str]) -> DataFrame:
     """Group rows into pages of at most ``page_size`` rows: ``(page, rows)``.
 
     Pages follow the input partitions, never a data key, so a hot key cannot
-    make a page larger than ``page_size``.
+    make a page larger than ``page_size``.  Rows are sorted by ``order``
+    inside each partition first: a retried task (whose input arrives in a
+    different order after a shuffle) then cuts the same pages.
     """
     rid = F.monotonically_increasing_id()
-    keyed = df.select((rid / page_size).cast("bigint").alias("page"), rid.alias("__rid"),
+    keyed = df.sortWithinPartitions(*order).select((rid / page_size).cast("bigint").alias("page"), rid.alias("__rid"),
                       F.struct(*[F.col(c) for c in df.columns]).alias("__row"))
     pages = keyed.groupBy("page").agg(F.sort_array(F.collect_list(F.struct("__rid", "__row"))).alias("__rows"))
     return pages.select("page", F.transform("__rows", lambda x: x["__row"]).alias("rows"))

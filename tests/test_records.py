@@ -67,3 +67,19 @@ def test_csv_inference_with_known_fields(spark):
     recs = records_of(parse_csv_records(bodies))
     assert dict(infer_text_types(recs, fields=fields)) == dict(infer_text_types(recs)) == \
         {"a": "bigint", "b": "string", "c": "boolean"}
+
+
+def test_pages_cover_rows_once_and_repeat_after_a_shuffle(spark):
+    from gleaner.sources.records import pages_of
+
+    df = spark.range(0, 2000, numPartitions=5).select(F.col("id"), (F.col("id") % 3).alias("hot")) \
+        .repartition(4, "hot")  # one hot key per partition, input order after a shuffle
+    pages = pages_of(df, 100, ["id"])
+
+    def cut(p):
+        return sorted(tuple(sorted(r["id"] for r in row["rows"])) for row in p.collect())
+
+    first = cut(pages)
+    assert all(len(p) <= 100 for p in first)
+    assert sorted(i for p in first for i in p) == list(range(2000))
+    assert cut(pages) == first
