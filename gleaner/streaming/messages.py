@@ -30,13 +30,18 @@ def message_schema(columns: list[Column]) -> StructType:
 
 
 def kafka_messages(spark: SparkSession, bootstrap_servers: str, topic: str,
-                   starting_offsets: str = "latest") -> DataFrame:
+                   starting_offsets: str = "latest", min_partitions: int | None = None) -> DataFrame:
     """The message stream of a topic (needs the spark-sql-kafka connector on
-    the classpath; tests read files with ``readStream.text`` instead)."""
+    the classpath; tests read files with ``readStream.text`` instead).
+
+    ``minPartitions`` (default: the cluster's cores) lets Spark cut the
+    offset range of each topic partition into several tasks, so a topic with
+    one partition is still decoded in parallel, with no shuffle."""
     return (spark.readStream.format("kafka")
             .option("kafka.bootstrap.servers", bootstrap_servers)
             .option("subscribe", topic)
             .option("startingOffsets", starting_offsets)
+            .option("minPartitions", str(min_partitions or spark.sparkContext.defaultParallelism))
             .load()
             .select(F.col("value").cast("string").alias("value")))
 
