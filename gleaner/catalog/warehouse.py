@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (ArrayType, LongType, StringType, StructField, StructType)
 
-from gleaner.sinks.table import VersionedTable, _FS, list_tables
+from gleaner.sinks.table import VersionedTable, _FS, bucketed_table_ddl, bucketing_at, list_tables
 
 MAX_ROWS = 500
 
@@ -122,7 +122,11 @@ class Warehouse:
                 continue
             self.ensure_namespace(e.namespace)
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-            self.spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{e.location}'")
+            b = bucketing_at(self.spark, e.location) if e.layer != "flat" else None
+            if b is not None:  # declared, so joins and aggregates on the key skip the shuffle
+                self.spark.sql(bucketed_table_ddl(self.spark, name, e.location, b))
+            else:
+                self.spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{e.location}'")
             self._registered[f"{e.namespace}.{e.table}"] = e.location
         return entries
 

@@ -18,6 +18,11 @@ ENGINE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
+    # A bucketed table is always read bucket by bucket, so its partitioning
+    # carries through to joins, unions and the bucketed write of the next
+    # version (one file per bucket) instead of being dropped when no
+    # operator above the scan asks for it.
+    "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false",
 }
 
 

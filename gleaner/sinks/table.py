@@ -11,19 +11,48 @@ disks and object stores alike, so a reader either sees the old version or
 the new one, never a mix, and a writer that lost a race fails instead of
 overwriting.  Paths go through Hadoop's FileSystem so the same code runs
 against any cluster storage.
+
+A version may be **bucketed** by key columns (Spark's own bucketed Parquet
+layout, written by ``bucketBy``); its ``_bucketing`` file names the columns
+and the bucket count, and readers get it as a ``CLUSTERED BY`` catalog table,
+so a join or aggregate on the key reads the stored side without a shuffle.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
+import uuid
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 KEEP_VERSIONS = 2
 
+BUCKETING_FILE = "_bucketing"  # in a version directory; Parquet readers skip "_" files
+_WRITE_DB = "gleaner_bucketed_write"
+_READ_DB = "gleaner_bucketed"
+
+
+@dataclass(frozen=True)
+class Bucketing:
+    columns: tuple[str, ...]
+    buckets: int
+
+    def to_json(self) -> str:
+        return json.dumps({"columns": list(self.columns), "buckets": self.buckets})
+
+    @staticmethod
+    def from_json(text: str) -> "Bucketing":
+        d = json.loads(text)
+        return Bucketing(tuple(d["columns"]), int(d["buckets"]))
+
 
 class _FS:
     def __init__(self, spark: SparkSession, path: str):
         jvm = spark._jvm
         self._Path = jvm.org.apache.hadoop.fs.Path
+        self._io = jvm.java.io
         self.fs = self._Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
 
     def p(self, path: str):
@@ -46,6 +75,25 @@ class _FS:
         """Bytes below ``path`` (a file or a folder tree)."""
         return int(self.fs.getContentSummary(self.p(path)).getLength())
 
+    def write_text(self, path: str, text: str) -> None:
+        out = self.fs.create(self.p(path), False)
+        try:
+            out.write(text.encode("utf-8"))
+        finally:
+            out.close()
+
+    def read_text(self, path: str) -> str:
+        reader = self._io.BufferedReader(self._io.InputStreamReader(self.fs.open(self.p(path)), "UTF-8"))
+        try:
+            lines = []
+            while True:
+                line = reader.readLine()
+                if line is None:
+                    return "\n".join(lines)
+                lines.append(line)
+        finally:
+            reader.close()
+
     def create_new(self, path: str) -> bool:
         return self.fs.createNewFile(self.p(path))
 
@@ -86,20 +134,51 @@ class VersionedTable:
     def exists(self) -> bool:
         return self.current_version() is not None
 
-    def read(self) -> DataFrame | None:
+    def bucketing(self) -> Bucketing | None:
+        """Bucket layout of the current version (None: plain files)."""
         loc = self.location()
-        return None if loc is None else self.spark.read.parquet(loc)
+        return None if loc is None else bucketing_at(self.spark, loc)
 
-    def replace(self, df: DataFrame, partition_by: list[str] | None = None) -> int:
-        """Write ``df`` as the next version and commit it; returns the version."""
+    def read(self) -> DataFrame | None:
+        loc = self.location()
+        if loc is None:
+            return None
+        b = bucketing_at(self.spark, loc)
+        if b is None:
+            return self.spark.read.parquet(loc)
+        return self.spark.table(bucketed_table(self.spark, loc, b))
+
+    def replace(self, df: DataFrame, partition_by: list[str] | None = None,
+                bucket_by: Bucketing | None = None) -> int:
+        """Write ``df`` as the next version and commit it; returns the version.
+
+        ``bucket_by`` writes Spark's bucketed layout: when ``df`` is already
+        hash-partitioned by those columns into that many partitions, each
+        task writes one bucket (one file)."""
         nxt = (self.current_version() or 0) + 1
-        writer = df.write.mode("overwrite")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(self.data_path(nxt))
+        path = self.data_path(nxt)
+        if bucket_by is not None:
+            self._write_bucketed(df, path, bucket_by)
+        else:
+            writer = df.write.mode("overwrite")
+            if partition_by:
+                writer = writer.partitionBy(*partition_by)
+            writer.parquet(path)
         self._commit(nxt)
         return nxt
 
+    def _write_bucketed(self, df: DataFrame, path: str, b: Bucketing) -> None:
+        """``bucketBy`` only writes through a catalog table: a temporary
+        external one over ``path`` is created and dropped (files stay)."""
+        db = _catalog_db(self.spark, _WRITE_DB)
+        name = f"`{db}`.`w_{uuid.uuid4().hex}`"
+        try:
+            (df.write.mode("overwrite").format("parquet").option("path", path)
+             .bucketBy(b.buckets, *b.columns).saveAsTable(name))
+        finally:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self._fs.write_text(f"{path}/{BUCKETING_FILE}", b.to_json())
+
     def append(self, df: DataFrame) -> int:
         """Add files to the current version (creates version 1 if none).
 
@@ -112,8 +191,10 @@ class VersionedTable:
             return self.replace(df)
         existing = self.read()
         have = {f.name: f.dataType for f in existing.schema.fields}
-        if any(c not in have for c in df.columns):
-            return self.replace(existing.unionByName(df, allowMissingColumns=True))
+        b = self.bucketing()
+        if b is not None or any(c not in have for c in df.columns):
+            # plain files would break the bucket layout: a new version, same layout
+            return self.replace(existing.unionByName(df, allowMissingColumns=True), bucket_by=b)
         aligned = df.select(*[(F.col(n).cast(t) if n in df.columns else F.lit(None).cast(t)).alias(n)
                               for n, t in have.items()])
         aligned.write.mode("append").parquet(self.data_path(cur))
@@ -131,6 +212,36 @@ class VersionedTable:
         self._fs.delete(self.path)
 
 
+def _catalog_db(spark: SparkSession, db: str) -> str:
+    """A session-catalog database kept below the shared folder (never the
+    driver's working directory)."""
+    from gleaner.session import shared_dir
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}` LOCATION '{shared_dir(spark, 'catalog', db + '.db')}'")
+    return db
+
+
+def bucketing_at(spark: SparkSession, location: str) -> Bucketing | None:
+    fs = _FS(spark, location)
+    f = f"{location.rstrip('/')}/{BUCKETING_FILE}"
+    return Bucketing.from_json(fs.read_text(f)) if fs.exists(f) else None
+
+
+def bucketed_table_ddl(spark: SparkSession, name: str, location: str, b: Bucketing) -> str:
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(location).schema.fields)
+    by = ", ".join(f"`{c}`" for c in b.columns)
+    return (f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
+            f"CLUSTERED BY ({by}) INTO {b.buckets} BUCKETS LOCATION '{location}'")
+
+
+def bucketed_table(spark: SparkSession, location: str, b: Bucketing) -> str:
+    """Name of a catalog table over a bucketed version (one per location)."""
+    db = _catalog_db(spark, _READ_DB)
+    name = f"`{db}`.`t_{hashlib.sha1(location.encode()).hexdigest()[:24]}`"
+    spark.sql(bucketed_table_ddl(spark, name, location, b))
+    return name
+
+
 def list_tables(spark: SparkSession, root: str) -> list[VersionedTable]:
     """Every committed table below a warehouse root, sorted by name."""
     fs = _FS(spark, root)

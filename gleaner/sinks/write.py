@@ -12,10 +12,10 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gleaner.functions.missing import AUDIT_COLUMN, audit_stamp
-from gleaner.operators.combine import union_family, upsert_frame
+from gleaner.operators.combine import any_null_key, union_family, upsert_frame
 from gleaner.session import checkpointed
 from gleaner.operators.dedup import dedup_first, dedup_latest_non_null
-from gleaner.sinks.table import VersionedTable, list_tables
+from gleaner.sinks.table import Bucketing, VersionedTable, list_tables
 from gleaner.spec import Collector, Merge, Staging
 
 HELPERS = ("req_idx", "pos", "_member")
@@ -33,8 +33,15 @@ def _strip(df: DataFrame) -> DataFrame:
 
 
 def upsert(table: VersionedTable, batch: DataFrame, key, stamp: bool = False,
-           order=("req_idx", "pos")) -> int | None:
-    """Replace rows by key (NULL keys match), add new ones; one new version."""
+           order=("req_idx", "pos"), buckets: int | None = None,
+           broadcast_max_keys: int = BROADCAST_MAX_KEYS) -> int | None:
+    """Replace rows by key (NULL keys match), add new ones; one new version.
+
+    ``buckets`` stores the table bucketed by the key (kept by later writes).
+    Up to ``broadcast_max_keys`` batch keys are broadcast to the tasks that
+    read the stored table; above that, a bucketed table is anti-joined bucket
+    by bucket (only the batch is shuffled), a plain one by a sort-merge join.
+    """
     if key is None:
         raise ValueError("upsert needs a key")
     if batch.isEmpty():
@@ -44,15 +51,32 @@ def upsert(table: VersionedTable, batch: DataFrame, key, stamp: bool = False,
     # The deduplicated batch is checkpointed to the shared folder: lineage to
     # the fetch is cut (a lost executor re-reads it) and its size is exact.
     latest = checkpointed(dedup_first(batch, key, order))
-    return _upsert_deduplicated(table, latest, key, latest.count())
+    return _upsert_deduplicated(table, latest, key, latest.count(), buckets, broadcast_max_keys)
 
 
-def _upsert_deduplicated(table: VersionedTable, latest: DataFrame, key, n_keys: int) -> int | None:
+def _upsert_deduplicated(table: VersionedTable, latest: DataFrame, key, n_keys: int,
+                         buckets: int | None = None, broadcast_max_keys: int = BROADCAST_MAX_KEYS) -> int | None:
     if n_keys == 0:
         return None
-    merged = upsert_frame(table.read(), latest, key, helper_cols=HELPERS, deduplicated=True,
-                          broadcast_keys=n_keys <= BROADCAST_MAX_KEYS)
-    return table.replace(merged)
+    keys = tuple([key] if isinstance(key, str) else key)
+    existing = table.read()
+    stored = table.bucketing()
+    layout = Bucketing(keys, buckets) if buckets else stored
+    broadcast = n_keys <= broadcast_max_keys
+    # The stored table already has the layout the new version needs: it is
+    # read bucket by bucket and never shuffled.
+    in_place = existing is None or (stored is not None and stored.columns == keys and layout == stored)
+    has_null = None
+    if in_place and existing is not None and not broadcast:
+        has_null = not latest.filter(any_null_key(latest, key)).isEmpty()
+        if has_null and len(keys) > 1:
+            in_place = False  # NULL parts of a composite key need the null-safe join (shuffles both sides)
+    merged = upsert_frame(existing, latest, key, helper_cols=HELPERS, deduplicated=True,
+                          broadcast_keys=broadcast, batch_has_null_key=has_null,
+                          buckets=layout.buckets if layout is not None and in_place else None)
+    if layout is not None and not in_place:
+        merged = merged.repartition(layout.buckets, *layout.columns)  # first bucketed version: one shuffle
+    return table.replace(merged, bucket_by=layout)
 
 
 def append(table: VersionedTable, batch: DataFrame, stamp: bool = False) -> int | None:
@@ -152,7 +176,7 @@ def write(spark: SparkSession, collector: Collector, batch: DataFrame, root: str
         return res
     table = VersionedTable(spark, root, ns, collector.name)
     if c.strategy == "incremental":
-        return {collector.name: upsert(table, batch, c.primary_key, stamp)}
+        return {collector.name: upsert(table, batch, c.primary_key, stamp, buckets=c.buckets)}
     if c.strategy == "append":
         return {collector.name: append(table, batch, stamp)}
     if c.strategy == "full_refresh":

@@ -9,7 +9,7 @@ from gleaner.functions.paths import json_path
 from gleaner.operators import (anti_join_null_safe, dedup_first, project_schema, union_by_name,
                                upsert_frame)
 from gleaner.session import new_scratch
-from gleaner.sinks.table import VersionedTable
+from gleaner.sinks.table import Bucketing, VersionedTable
 from gleaner.sinks.write import append, full_refresh, upsert
 from gleaner.spec import Column
 from gleaner.suite.registry import register, table
@@ -225,3 +225,20 @@ def q_full_refresh(spark, sf):
     t = _seeded_table(spark, sf)
     full_refresh(t, project_schema(shipment_records(spark, sf), ORDER_UPDATE))
     return t.read()
+
+
+ORDER_BUCKETS = 8
+
+
+@register("upsert_bucketed", _UPSERT_SQL)
+def q_upsert_bucketed(spark, sf):
+    """The upsert into an orders table stored bucketed by key, on the path a
+    batch above the broadcast bound takes (forced here with a bound of 0):
+    one full outer join reads the stored table bucket by bucket, only the
+    batch is shuffled, and the new version is written one file per bucket."""
+    layout = Bucketing(("o_orderkey",), ORDER_BUCKETS)
+    t = VersionedTable(spark, new_scratch(spark, "warehouse"), "shop", "orders")
+    t.replace(table(spark, sf, "orders").repartition(ORDER_BUCKETS, "o_orderkey"), bucket_by=layout)
+    upsert(t, project_schema(shipment_records(spark, sf), ORDER_UPDATE), "o_orderkey", order=RECORD_ORDER,
+           broadcast_max_keys=0)
+    return t.read()
