@@ -79,6 +79,21 @@ def test_run_collector_rest_upsert(spark, root):
     assert again.n_requests == 1 and VersionedTable(spark, root, "shop", "things").read().count() == 3
 
 
+def test_run_collector_into_bucketed_table(spark, root):
+    rules = [({"page": "1"}, 200, '{"data":[{"id":1,"n":"a"},{"id":2,"n":"b"}]}'),
+             ({"page": "2"}, 200, '{"data":[{"id":2,"n":"B"},{"id":3,"n":"c"}]}')]
+    coll = Collector("things", HttpSource(
+        "http://api", params=(Param("page", "integer"),), response=ResponseFormat("json", "data"),
+        schema=(Column("id", "id", "integer"), Column("name", "n", "string"))),
+        Cadence("incremental", iterate=(Categorical("page", (1, 2)),), primary_key="id", buckets=4),
+        namespace="shop")
+    run_collector(spark, coll, root, transport=RecordedTransport(rules))
+    run_collector(spark, coll, root, transport=RecordedTransport(rules), limit=1)  # page 1 again
+    t = VersionedTable(spark, root, "shop", "things")
+    assert t.bucketing() is not None and t.bucketing().buckets == 4
+    assert rows(t.read(), "id", "name") == [(1, "a"), (2, "b"), (3, "c")]
+
+
 def pages(params):
     n = int(params["page"])
     return [{"id": n * 10 + i, "kind": params["kind"]} for i in range(n)]
