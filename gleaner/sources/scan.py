@@ -20,8 +20,9 @@ import math
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Parquet bytes one task should get before spreading pays for its shuffle.
-SPREAD_TARGET_BYTES = 1 << 20
+# Parquet bytes one task should get before spreading pays for its shuffle
+# (compressed: the rows above the scan are several times larger).
+SPREAD_TARGET_BYTES = 256 << 10
 
 
 def spread_width(spark: SparkSession, have: int, size_bytes: int,

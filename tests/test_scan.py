@@ -16,10 +16,11 @@ def _one_split_file(spark, n):
 
 def test_width_rule(spark):
     cores = spark.sparkContext.defaultParallelism
-    assert spread_width(spark, 1, 10 << 20) == cores      # big, one split: spread
-    assert spread_width(spark, 1, 100) == 1               # tiny: left alone
-    assert spread_width(spark, 1, 2 << 20) == min(cores, 2)
-    assert spread_width(spark, 5000, 1 << 40) == 5000     # many splits (a cluster scan): left alone
+    mb = 1 << 20
+    assert spread_width(spark, 1, 10 * mb, mb) == cores      # big, one split: spread
+    assert spread_width(spark, 1, 100, mb) == 1              # tiny: left alone
+    assert spread_width(spark, 1, 2 * mb, mb) == min(cores, 2)
+    assert spread_width(spark, 5000, 1 << 40, mb) == 5000    # many splits (a cluster scan): left alone
 
 
 def test_spread_scan_keeps_rows_and_pushdown(spark):
