@@ -26,6 +26,9 @@ def event_messages(spark, sf):
         F.parse_json("props").alias("payload"),
         F.col("value").alias("amount")))
     bad = F.concat(F.lit('{"id": '), F.col("event_id").cast("string"), F.lit(', "kind": "error"'))
+    # One file is one split: spread it as the Kafka reader's minPartitions
+    # spreads a one-partition topic, so decoding is not left to one task.
+    stream = stream.repartition(spark.sparkContext.defaultParallelism, "event_id")
     return stream.select(F.when(F.col("event_type") == "error", bad).otherwise(good).alias("value"))
 
 
