@@ -29,17 +29,22 @@ def _kind(v: Column) -> Column:
 def _follow(v: Column, records_path: str | None) -> tuple[Column, Column]:
     """(value at records_path, error).  A missing key gives an empty list; a
     step into something that is not an object is an error."""
+    from gleaner.functions.paths import variant_path
+
     err = F.lit(None).cast("string")
     cur = v
     if records_path:
         for key in records_path.split("."):
-            obj = F.try_variant_get(cur, "$", "map<string,variant>")
+            # A direct lookup; only when it finds nothing is ``cur`` checked
+            # for being an object (a missing key is no records, not an error).
+            nxt = F.try_variant_get(cur, variant_path(key), "variant")
+            not_obj = F.try_variant_get(cur, "$", "map<string,variant>").isNull()
             msg = F.concat(
                 F.lit(f"records_path '{records_path}' could not be followed: expected a JSON object at key "
                       f"'{key}' but found "), _kind(cur),
                 F.lit(". If the response is a top-level array, omit records_path entirely."))
-            err = F.coalesce(err, F.when(obj.isNull(), msg))
-            cur = F.coalesce(obj[key], _empty())
+            err = F.coalesce(err, F.when(nxt.isNull(), F.when(not_obj, msg)))
+            cur = F.coalesce(nxt, _empty())
     return cur, err
 
 
