@@ -123,11 +123,20 @@ def csv_header_fields(bodies: DataFrame, body: str = "body") -> list[str]:
     return [r["name"] for r in sorted(named, key=lambda r: (r["i"], r["name"]))]
 
 
+# The text shapes inference counts as integers and as numbers
+# (decimal or exponent form, or the NaN/Infinity words), and as booleans.
+_INT_SHAPE = r"^\s*[+-]?\d{1,18}\s*$"
+_NUM_SHAPE = r"(?i)^\s*([+-]?((\d+(\.\d*)?)|(\.\d+))(e[+-]?\d+)?|nan|[+-]?inf(inity)?)\s*$"
+_BOOL_WORDS = ("true", "false")
+
+
 def _type_checks(v: Column, name: str) -> list[Column]:
+    # Shapes are matched, never cast: a failed text->double cast costs an
+    # exception per value, and text columns would fail on every row.
     return [
-        F.bool_and(v.isNull() | (v.rlike(r"^\s*[+-]?\d{1,18}\s*$"))).alias(f"{name}\0int"),
-        F.bool_and(v.isNull() | v.try_cast("double").isNotNull()).alias(f"{name}\0num"),
-        F.bool_and(v.isNull() | F.lower(F.trim(v)).isin("true", "false")).alias(f"{name}\0bool"),
+        F.bool_and(v.isNull() | v.rlike(_INT_SHAPE)).alias(f"{name}\0int"),
+        F.bool_and(v.isNull() | v.rlike(_NUM_SHAPE)).alias(f"{name}\0num"),
+        F.bool_and(v.isNull() | F.lower(F.trim(v)).isin(*_BOOL_WORDS)).alias(f"{name}\0bool"),
     ]
 
 
@@ -147,11 +156,11 @@ def infer_text_types(records: DataFrame, record: str = "record",
     if fields is not None:
         if not fields:
             return []
-        aggs = []
-        for i, name in enumerate(fields):
-            v = F.try_variant_get(F.col(record), "$['" + name.replace("'", "\\'") + "']", "string")
-            aggs += _type_checks(v, str(i))
-        r = records.agg(*aggs).first()
+        # each field is extracted once, then checked three ways
+        values = records.select(*[F.try_variant_get(F.col(record), "$['" + name.replace("'", "\\'") + "']",
+                                                    "string").alias(f"v{i}") for i, name in enumerate(fields)])
+        aggs = [a for i in range(len(fields)) for a in _type_checks(F.col(f"v{i}"), str(i))]
+        r = values.agg(*aggs).first()
         return sorted((name, _pick(r[f"{i}\0int"], r[f"{i}\0num"], r[f"{i}\0bool"]))
                       for i, name in enumerate(fields))
     kv = records.select(F.explode(F.try_variant_get(F.col(record), "$", "map<string,string>")))
