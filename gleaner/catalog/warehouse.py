@@ -16,7 +16,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (ArrayType, LongType, StringType, StructField, StructType)
 
-from gleaner.sinks.table import VersionedTable, _FS, bucketed_table_ddl, bucketing_at, list_tables
+from gleaner.sinks.table import (VersionedTable, _FS, bucketed_table_ddl, bucketing_at, catalog_db,
+                                 list_tables)
 
 MAX_ROWS = 500
 
@@ -102,7 +103,9 @@ class Warehouse:
 
     # ---- session catalog ---------------------------------------------------
     def ensure_namespace(self, namespace: str) -> None:
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{namespace}`")
+        """The namespace as a session-catalog database; its folder is below the
+        shared folder (tables are external, so it only holds catalog entries)."""
+        catalog_db(self.spark, namespace)
 
     def drop_namespace(self, namespace: str) -> None:
         """Drops the namespace with its tables, from the catalog and the root."""

@@ -170,7 +170,7 @@ class VersionedTable:
     def _write_bucketed(self, df: DataFrame, path: str, b: Bucketing) -> None:
         """``bucketBy`` only writes through a catalog table: a temporary
         external one over ``path`` is created and dropped (files stay)."""
-        db = _catalog_db(self.spark, _WRITE_DB)
+        db = catalog_db(self.spark, _WRITE_DB)
         name = f"`{db}`.`w_{uuid.uuid4().hex}`"
         try:
             (df.write.mode("overwrite").format("parquet").option("path", path)
@@ -212,7 +212,7 @@ class VersionedTable:
         self._fs.delete(self.path)
 
 
-def _catalog_db(spark: SparkSession, db: str) -> str:
+def catalog_db(spark: SparkSession, db: str) -> str:
     """A session-catalog database kept below the shared folder (never the
     driver's working directory)."""
     from gleaner.session import shared_dir
@@ -236,7 +236,7 @@ def bucketed_table_ddl(spark: SparkSession, name: str, location: str, b: Bucketi
 
 def bucketed_table(spark: SparkSession, location: str, b: Bucketing) -> str:
     """Name of a catalog table over a bucketed version (one per location)."""
-    db = _catalog_db(spark, _READ_DB)
+    db = catalog_db(spark, _READ_DB)
     name = f"`{db}`.`t_{hashlib.sha1(location.encode()).hexdigest()[:24]}`"
     spark.sql(bucketed_table_ddl(spark, name, location, b))
     return name
