@@ -149,12 +149,15 @@ class VersionedTable:
         return self.spark.table(bucketed_table(self.spark, loc, b))
 
     def replace(self, df: DataFrame, partition_by: list[str] | None = None,
-                bucket_by: Bucketing | None = None) -> int:
+                bucket_by: Bucketing | None = None, only_if_rows: bool = False) -> int | None:
         """Write ``df`` as the next version and commit it; returns the version.
 
         ``bucket_by`` writes Spark's bucketed layout: when ``df`` is already
         hash-partitioned by those columns into that many partitions, each
-        task writes one bucket (one file)."""
+        task writes one bucket (one file).  ``only_if_rows``: a version with
+        no rows is not committed (its folder is removed) and None returned;
+        the rows are counted from the written files' footers, so ``df`` is
+        computed once."""
         nxt = (self.current_version() or 0) + 1
         path = self.data_path(nxt)
         if bucket_by is not None:
@@ -164,6 +167,9 @@ class VersionedTable:
             if partition_by:
                 writer = writer.partitionBy(*partition_by)
             writer.parquet(path)
+        if only_if_rows and self.spark.read.parquet(path).count() == 0:
+            self._fs.delete(path)
+            return None
         self._commit(nxt)
         return nxt
 

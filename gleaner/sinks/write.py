@@ -44,12 +44,11 @@ def upsert(table: VersionedTable, batch: DataFrame, key, stamp: bool = False,
     """
     if key is None:
         raise ValueError("upsert needs a key")
-    if batch.isEmpty():
-        return None
     if stamp:
         batch = batch.withColumn(AUDIT_COLUMN, audit_stamp())
     # The deduplicated batch is checkpointed to the shared folder: lineage to
     # the fetch is cut (a lost executor re-reads it) and its size is exact.
+    # Its count is also the empty check, so the batch plan runs once.
     latest = checkpointed(dedup_first(batch, key, order))
     return _upsert_deduplicated(table, latest, key, latest.count(), buckets, broadcast_max_keys)
 
@@ -89,13 +88,12 @@ def append(table: VersionedTable, batch: DataFrame, stamp: bool = False) -> int
 
 
 def full_refresh(table: VersionedTable, batch: DataFrame, stamp: bool = False) -> int | None:
-    """Replace the table by the run's batch; an empty batch keeps the old rows."""
-    if batch.isEmpty():
-        return None
+    """Replace the table by the run's batch; an empty batch keeps the old rows
+    (the new version is written, and committed only if it holds rows)."""
     out = _strip(batch)
     if stamp:
         out = out.withColumn(AUDIT_COLUMN, audit_stamp())
-    return table.replace(out)
+    return table.replace(out, only_if_rows=True)
 
 
 def member_name(staging: Staging, value) -> str:
