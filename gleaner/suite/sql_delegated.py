@@ -47,15 +47,37 @@ WHERE NOT EXISTS (SELECT 1 FROM {p}lineitem l WHERE l.l_partkey = p.p_partkey AN
 """)
 
 # As-of join: each purchase with the latest earlier view of the same user.
+# Spark SQL has no ASOF JOIN, and one window over a user's whole history puts
+# a hot user in one task.  Written as a Spark user would at scale: a window
+# inside each (user, hour) finds matches of the same hour (a view at the
+# purchase's own time sorts after it: strictly earlier), and a window over one
+# summary row per (user, hour) carries the last view of earlier hours.
 _sql("sql_join_range", """
-SELECT event_id, user_id, ts, last_view_ts, last_view_value FROM (
-  SELECT event_id, user_id, ts, event_type,
-         max(CASE WHEN event_type = 'view' THEN ts END) OVER w AS last_view_ts,
-         max_by(CASE WHEN event_type = 'view' THEN value END,
-                CASE WHEN event_type = 'view' THEN ts END) OVER w AS last_view_value
-  FROM {p}events
-  WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
-) x WHERE event_type = 'purchase'
+WITH e AS (
+  SELECT event_id, user_id, ts, value, date_trunc('HOUR', ts) AS hour,
+         CASE WHEN event_type = 'view' THEN 1 ELSE 0 END AS is_view
+  FROM {p}events WHERE event_type IN ('view', 'purchase')),
+inside AS (
+  SELECT event_id, user_id, ts, hour, is_view,
+         last(CASE WHEN is_view = 1 THEN named_struct('ts', ts, 'value', value) END, true) OVER (
+           PARTITION BY user_id, hour ORDER BY ts, is_view, event_id
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS hit
+  FROM e),
+marks AS (
+  SELECT user_id, hour, max_by(named_struct('ts', ts, 'value', value), named_struct('ts', ts, 'id', event_id))
+           AS last_view, 1 AS m
+  FROM e WHERE is_view = 1 GROUP BY user_id, hour
+  UNION ALL
+  SELECT DISTINCT user_id, hour, CAST(NULL AS STRUCT<ts: TIMESTAMP_NTZ, value: DOUBLE>), 0
+  FROM e WHERE is_view = 0),
+carry AS (
+  SELECT user_id, hour, m, last(last_view, true) OVER (
+           PARTITION BY user_id ORDER BY hour, m ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS before
+  FROM marks)
+SELECT i.event_id, i.user_id, i.ts, coalesce(i.hit, c.before).ts AS last_view_ts,
+       coalesce(i.hit, c.before).value AS last_view_value
+FROM inside i JOIN carry c ON c.user_id = i.user_id AND c.hour = i.hour AND c.m = 0
+WHERE i.is_view = 0
 """, """
 SELECT p.event_id, p.user_id, p.ts, v.ts AS last_view_ts, v.value AS last_view_value
 FROM (SELECT * FROM events WHERE event_type = 'purchase') p
