@@ -141,7 +141,32 @@ SELECT event_id, user_id,
 FROM {p}events
 """)
 
+# lag/lead per customer.  One window over a customer's whole history puts a
+# hot customer in one task; here lag/lead run inside each (customer, month),
+# and a row at the edge of its month takes the neighbour from a window over
+# one summary row per (customer, month).  The oracle is the one-window text.
 _sql("sql_window_lag", """
+WITH o AS (
+  SELECT o_orderkey, o_custkey, o_orderdate, o_totalprice, date_trunc('MONTH', o_orderdate) AS b
+  FROM {p}orders),
+inside AS (
+  SELECT o_orderkey, o_custkey, o_orderdate, b,
+         lag(o_orderdate) OVER w AS prev_in, lead(o_totalprice) OVER w AS next_in,
+         row_number() OVER w AS k, count(*) OVER (PARTITION BY o_custkey, b) AS n
+  FROM o WINDOW w AS (PARTITION BY o_custkey, b ORDER BY o_orderdate, o_orderkey)),
+edges AS (
+  SELECT o_custkey, b, max(o_orderdate) AS last_date,
+         min_by(o_totalprice, named_struct('d', o_orderdate, 'k', o_orderkey)) AS first_price
+  FROM o GROUP BY o_custkey, b),
+around AS (
+  SELECT o_custkey, b, lag(last_date) OVER (PARTITION BY o_custkey ORDER BY b) AS prev_bucket_date,
+         lead(first_price, 1, 0.0) OVER (PARTITION BY o_custkey ORDER BY b) AS next_bucket_price
+  FROM edges)
+SELECT i.o_orderkey, i.o_custkey, i.o_orderdate,
+       CASE WHEN i.k = 1 THEN a.prev_bucket_date ELSE i.prev_in END AS prev_date,
+       CASE WHEN i.k = i.n THEN a.next_bucket_price ELSE i.next_in END AS next_price
+FROM inside i JOIN around a ON a.o_custkey <=> i.o_custkey AND a.b = i.b
+""", """
 SELECT o_orderkey, o_custkey, o_orderdate,
        lag(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS prev_date,
        lead(o_totalprice, 1, 0.0) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS next_price
