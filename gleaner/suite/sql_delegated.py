@@ -13,8 +13,14 @@ from gleaner.suite.registry import register
 from gleaner.suite.warehouse_sql import warehouse
 
 
+# name -> Spark SQL text ({p} = table prefix), for tests on small fixtures
+SPARK_SQL: dict[str, str] = {}
+
+
 def _sql(name: str, text: str, oracle: str | None = None):
     """Register ``text`` ({p} = table prefix); ``oracle`` when DuckDB's dialect differs."""
+    SPARK_SQL[name] = text
+
     def run(spark, sf):
         return warehouse(spark, sf).query(text.format(p="tpch."), cap=0)
     run.__name__ = f"q_{name}"
@@ -132,7 +138,42 @@ SELECT c_nationkey, c_custkey, c_acctbal, rnk FROM (
   FROM {p}customer) t WHERE drnk <= 3
 """)
 
+# Moving sum over three rows and running count per user.  One window over a
+# user's whole history puts a hot user in one task; here the frames run
+# inside each (user, hour), and rows near the start of an hour complete them
+# from a window over one summary row per (user, hour): its row count and its
+# last two values (never more than two rows per group).  NULL values are
+# skipped as sum() skips them.  The oracle is the one-window text.
+_NULL_SKIPPING_SUM = "aggregate(filter(array({}), x -> x IS NOT NULL), CAST(NULL AS DOUBLE), (acc, x) -> coalesce(acc, 0D) + x)"
 _sql("sql_window_frame", """
+WITH e AS (
+  SELECT event_id, user_id, ts, value, date_trunc('HOUR', ts) AS b FROM {p}events),
+inside AS (
+  SELECT event_id, user_id, b, value,
+         sum(value) OVER (PARTITION BY user_id, b ORDER BY ts, event_id
+                          ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS s3,
+         row_number() OVER (PARTITION BY user_id, b ORDER BY ts, event_id) AS k,
+         count(*) OVER (PARTITION BY user_id, b) AS n
+  FROM e),
+edges AS (
+  SELECT user_id, b, max(n) AS n, max_by(value, k) AS last_v, min_by(value, k) AS second_v
+  FROM inside WHERE k >= n - 1 GROUP BY user_id, b),
+around AS (
+  SELECT user_id, b,
+         coalesce(sum(n) OVER (PARTITION BY user_id ORDER BY b
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before_n,
+         lag(last_v) OVER (PARTITION BY user_id ORDER BY b) AS p1,
+         CASE WHEN lag(n) OVER (PARTITION BY user_id ORDER BY b) >= 2
+              THEN lag(second_v) OVER (PARTITION BY user_id ORDER BY b)
+              ELSE lag(last_v, 2) OVER (PARTITION BY user_id ORDER BY b) END AS p2
+  FROM edges)
+SELECT i.event_id, i.user_id,
+       round(CASE WHEN i.k >= 3 THEN i.s3
+                  WHEN i.k = 2 THEN """ + _NULL_SKIPPING_SUM.format("i.s3, a.p1") + """
+                  ELSE """ + _NULL_SKIPPING_SUM.format("i.value, a.p1, a.p2") + """ END, 2) AS moving_sum,
+       a.before_n + i.k AS running_n
+FROM inside i JOIN around a ON a.user_id <=> i.user_id AND a.b = i.b
+""", """
 SELECT event_id, user_id,
        round(sum(value) OVER (PARTITION BY user_id ORDER BY ts, event_id
                               ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 2) AS moving_sum,
