@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gleaner.functions.missing import AUDIT_COLUMN, audit_stamp
 from gleaner.operators.combine import any_null_key, union_family, upsert_frame
-from gleaner.session import checkpointed
+from gleaner.session import checkpointed, new_scratch
 from gleaner.operators.dedup import dedup_first, dedup_latest_non_null
 from gleaner.sinks.table import Bucketing, VersionedTable, list_tables
 from gleaner.spec import Collector, Merge, Staging
@@ -111,15 +111,21 @@ def staged_write(spark: SparkSession, root: str, namespace: str, staging: Stagin
 
     ``batch._member`` holds the partition-param value of each row's request;
     ``members`` are the values the request plan can produce (spec literals).
-    The batch is deduplicated per (member, key) once and checkpointed; the
-    key count per member (one small aggregate) decides each broadcast.
+    The batch is deduplicated per (member, key) once and written to the
+    shared folder partitioned by member: lineage to the fetch is cut, and
+    each member's upsert reads its own partition only (not the whole batch
+    once per member).  The key count per member (footers and paths only)
+    decides each broadcast.
     """
     if key is None:
         raise ValueError("staged writes upsert by key")
     if stamp:
         batch = batch.withColumn(AUDIT_COLUMN, audit_stamp())
     keys = [key] if isinstance(key, str) else list(key)
-    latest = checkpointed(dedup_first(batch, ["_member", *keys], order))
+    deduped = dedup_first(batch, ["_member", *keys], order)
+    landed = new_scratch(spark, "staged")
+    deduped.write.partitionBy("_member").parquet(landed)
+    latest = spark.read.schema(deduped.schema).parquet(landed)  # member values stay text
     counts = {r["_member"]: r["n"] for r in latest.groupBy("_member").agg(F.count(F.lit(1)).alias("n")).collect()}
     by_table: dict[str, list] = {}
     for m in members:
