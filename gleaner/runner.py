@@ -9,11 +9,11 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gleaner.operators.project import project_schema
 from gleaner.operators.summary import run_summary
-from gleaner.session import checkpointed
 from gleaner.plans.requests import (build_plan, categorical_axis, date_range_axis, plan_limit,
                                     request_params)
 from gleaner.sinks.write import write
@@ -68,6 +68,10 @@ def run_collector(spark: SparkSession, collector: Collector, root: str, limit: i
     else:
         parsed = parse_json_records(bodies, src.response.records_path if isinstance(src, HttpSource) else None)
 
+    # Parsed once for both the run outcomes and the batch.  Persisting is
+    # enough here: the lineage behind it is the landed bodies, so a lost
+    # executor re-reads files and never calls the API again.
+    parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
     outcomes = parsed.groupBy("req_idx").agg(F.max("error").alias("error"),
                                             F.count("pos").alias("n_rows"))
     summary_row = run_summary(outcomes).first()
@@ -76,7 +80,6 @@ def run_collector(spark: SparkSession, collector: Collector, root: str, limit: i
     records = records_of(parsed)
     columns = src.schema
     if columns is None and fmt == "csv":
-        records = checkpointed(records)  # inferred, then projected: parse once
         columns = [Column(n, n, {"bigint": "integer", "double": "float"}.get(t, t))
                    for n, t in infer_text_types(records, fields=csv_header_fields(bodies))]
     batch = project_schema(records, columns)
@@ -91,6 +94,7 @@ def run_collector(spark: SparkSession, collector: Collector, root: str, limit: i
         batch = batch.join(side, "req_idx", "left")
         members = _members(collector, staging.partition_param)
     versions = write(spark, collector, batch, root, members=members)
+    parsed.unpersist()
     return RunResult(n_requests=n_requests, summary=summary, outcomes=outcomes, versions=versions)
 
 
