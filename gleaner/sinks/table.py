@@ -199,8 +199,11 @@ class VersionedTable:
         have = {f.name: f.dataType for f in existing.schema.fields}
         b = self.bucketing()
         if b is not None or any(c not in have for c in df.columns):
-            # plain files would break the bucket layout: a new version, same layout
-            return self.replace(existing.unionByName(df, allowMissingColumns=True), bucket_by=b)
+            # plain files would break the bucket layout: a new version, same layout;
+            # the new rows are hash-partitioned like the stored buckets, so the
+            # union keeps one partition (one file) per bucket
+            new = df.repartition(b.buckets, *b.columns) if b is not None else df
+            return self.replace(existing.unionByName(new, allowMissingColumns=True), bucket_by=b)
         aligned = df.select(*[(F.col(n).cast(t) if n in df.columns else F.lit(None).cast(t)).alias(n)
                               for n, t in have.items()])
         aligned.write.mode("append").parquet(self.data_path(cur))

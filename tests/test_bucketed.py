@@ -76,11 +76,11 @@ def test_several_key_columns_with_nulls(spark, root):
 def test_append_and_sql_keep_the_layout(spark, root):
     t = VersionedTable(spark, root, "ns", "items")
     upsert(t, spark.createDataFrame(BATCHES[0], SCHEMA), "id", buckets=4)
-    append(t, spark.createDataFrame([(0, 0, 42, "z")], SCHEMA))
+    append(t, spark.createDataFrame([(0, 0, 42, "z"), (0, 1, 43, "y")], SCHEMA).repartition(3))
     assert t.bucketing() == Bucketing(("id",), 4)
-    assert t.read().count() == 5
+    assert t.read().count() == 6 and len(_files(t)) <= 4
     wh = Warehouse(spark, root=root)
     got = wh.query("SELECT id, count(*) AS n FROM ns.items GROUP BY id", cap=0)
-    assert sorted(r["id"] for r in got.collect() if r["id"] is not None) == [1, 2, 7, 42]
+    assert sorted(r["id"] for r in got.collect() if r["id"] is not None) == [1, 2, 7, 42, 43]
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "Bucketed: true" in plan
