@@ -84,3 +84,13 @@ def test_plans_stay_hash_based(spark):
     assert "WindowGroupLimit" in first._jdf.queryExecution().executedPlan().toString()
     assert union_by_name(existing, batch.drop("req_idx", "pos")).count() == 1010
     random.seed(0)
+
+
+def test_append_empty_batch_changes_nothing(spark, root):
+    t = VersionedTable(spark, root, "ns", "appended")
+    empty = spark.createDataFrame([], SCHEMA)
+    assert append(t, empty) is None and not t.exists()  # no table from an empty batch
+    b1 = spark.createDataFrame([(0, 0, 1, "a"), (0, 1, 2, "b")], SCHEMA)
+    assert append(t, b1) == 1
+    assert append(t, empty) is None
+    assert append(t, b1) == 1 and rows(t.read(), "id") == [(1,), (1,), (2,), (2,)]
