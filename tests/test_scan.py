@@ -39,3 +39,14 @@ def test_spread_scan_keeps_rows_and_pushdown(spark):
 def test_small_scan_not_spread(spark):
     path = _one_split_file(spark, 10)
     assert read_spread(spark, path, ["k"]).rdd.getNumPartitions() == 1
+
+
+def test_scan_with_many_splits_is_not_spread(spark):
+    from gleaner.session import new_scratch
+
+    path = new_scratch(spark, "scan") + "/many.parquet"
+    cores = spark.sparkContext.defaultParallelism
+    spark.range(0, 50_000, numPartitions=cores * 2).write.parquet(path)
+    df = read_spread(spark, path, ["id"], target_bytes=1)  # bytes alone would ask for spreading
+    assert df.rdd.getNumPartitions() >= cores
+    assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
