@@ -4,23 +4,22 @@ Documents link when the Jaccard similarity of their sets of word n-grams is at
 least a threshold.  The join is exact and never lists all pairs of a group:
 
 1. *Classes.*  One pass makes each document's set, a 64-bit class id (a sum of
-   the set's hashes), a sketch and four min-hash keys.  Documents of one class
-   are copies; from here on a class counts once.
-2. *Clusters.*  In each group of one key, every class is paired with the
-   group's smallest class only (a star).  Pairs whose sketches agree are
-   verified exactly; a class that links with a star's centre joins its
-   cluster.  This folds large groups of near copies with linear work.
+   the set's hashes), a sketch and a few min-hash keys.  Documents of one
+   class are copies; from here on a class counts once.
+2. *Stars.*  In each group of one key, every class is paired with a fixed
+   number of the group's classes (centres).  The pairs of a class whose
+   sketches agree best are verified exactly, and the links' components formed;
+   classes that fail near a component are compared with its middle ones.
+   This folds large groups of near copies with linear work.
 3. *Prefix filters.*  Under a global order of all n-grams, two linked sets
    share an n-gram among the first ``n - ceil(t n) + 1`` of each.  Each class
    posts its prefix under each of several orders (frequent n-grams last, the
-   others by a hash of the order), with its cluster.  Two clusters are
-   candidates only if they share a posted n-gram, at compatible set sizes,
-   under every one of the orders.
-4. *Verification.*  Candidates' centres are compared exactly.  As 1 - J is a
-   metric, a member x of A and y of B can link only if
-   d(A, B) - d(x, A) - d(y, B) <= 1 - t; cluster pairs for which some members
-   could still link are expanded to those members and verified.
-5. *Components* of the verified links by alternating stars.
+   others by a hash of the order), with its component so far.  Two classes of
+   different components are candidates only if they share a posted n-gram, at
+   compatible set sizes and positions, under every one of the orders.  (A link inside a
+   component would change nothing.)
+4. *Verification.*  Candidates are compared exactly, and the components
+   completed with alternating stars.
 
 Which n-grams count as frequent only shapes the order, hence the work, never
 the result: any order that all documents share gives every link.
@@ -31,16 +30,19 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from gleaner.llm.common import documents, lower_ascii, partitions, quoted, saved, utf8
 
 ORDERS = 2  # global orders whose filters are intersected
-KEYS = 4  # min-hash keys per class for the stars
+KEYS = 6  # min-hash keys per class for the stars
+PICKED = 6  # centres per key that a hash picks, beside three ends
+BEST = 6  # centres a class is compared with
+MIDDLE = 4  # middle classes of a component that the second stars use
 SKETCH = 64  # bins of the sketch
-SKETCH_AGREE = 0.65  # share of agreeing bins from which a star's pair is verified
-FREQUENT = 200_000  # most frequent n-grams that go last in the orders (bounded broadcast)
-FREQUENT_IN_TASK = 4  # classes of one task's block that share an n-gram before it counts as frequent
+SKETCH_AGREE = 0.6  # share of agreeing bins from which a star's pair is verified
+FREQUENT = 1_000_000  # most frequent n-grams that go last in the orders (bounded broadcast)
+FREQUENT_IN_TASK = 2  # classes of one task's block that share an n-gram before it counts as frequent
 BLOCK = 2_000_000  # n-grams or postings a task holds before it passes them on
 PIECE = 1 << 18  # bytes of text cut into words at a time
 BROADCAST_ROWS = 500_000  # rows of (long, long, long) up to which a side is broadcast
@@ -219,18 +221,16 @@ def jaccard_components(df: DataFrame, text_col: str = "text", id_col: str = "doc
         F.first("sketch").alias("sketch"), F.first("keys").alias("keys")), "jaccard-classes")
     texts = _texts_of(docs, sets)
 
-    star = _verify(_stars(classes), texts, classes, words)
-    links = star.where(_links(percent))
-    clusters = saved(_clusters(links), "jaccard-clusters")
-
-    frequent = _frequent(first)
-    candidates = _candidates(docs, sets, classes, clusters, frequent, words, percent, orders)
-    checked = _verify(candidates, texts, classes, words)
-    expanded = _verify(_expand(checked, clusters, percent), texts, classes, words)
-
-    edges = (links.select("a", "b").unionByName(checked.where(_links(percent)).select("a", "b"))
-             .unionByName(expanded.where(_links(percent)).select("a", "b")))
-    labels = components(edges)
+    star = _verify(_stars(classes), texts, words)
+    labels = components(star.where(_links(percent)).select("a", "b"))
+    again = _verify(_second_stars(classes, star, labels, percent), texts, words).where(_links(percent))
+    labels = components(again.select("a", "b").unionByName(
+        labels.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+    candidates = _candidates(docs, sets, classes, labels, _frequent(first), words, percent, orders)
+    more = _verify(candidates, texts, words).where(_links(percent))
+    if not more.isEmpty():
+        labels = components(more.select("a", "b").unionByName(
+            labels.select(F.col("node").alias("a"), F.col("component").alias("b"))))
     rep = classes.select("class_id", "rep")
     smallest = labels.join(rep.withColumnRenamed("class_id", "node"), "node").groupBy("component").agg(
         F.min("rep").alias("component_id"))
@@ -273,7 +273,7 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
                 n.append(len(s))
                 ids.append(class_of(s))
                 sketches.append(sketch_of(s) if len(s) else None)
-                keys.append([int((s * np.uint64(_M[k + 4])).min().view(np.int64)) for k in range(KEYS)] if len(s) else None)
+                keys.append([int((s * np.uint64(_M[(k + 4) % 8])).min().view(np.int64)) for k in range(KEYS)] if len(s) else None)
                 if len(s) and ids[-1] not in seen:
                     seen.add(ids[-1])
                     held.append(s)
@@ -303,24 +303,55 @@ def _frequent(first: DataFrame):
 
 
 def _stars(classes: DataFrame) -> DataFrame:
-    """Pairs (a, b): b the smallest class that shares a key with a, where the
-    sketches agree."""
-    keyed = classes.select("class_id", "sketch", F.posexplode("keys").alias("k", "key"))
-    centre = keyed.groupBy("k", "key").agg(
-        F.count(F.lit(1)).alias("size"), F.min_by(F.struct("class_id", "sketch"), "class_id").alias("c"))
-    pairs = keyed.join(centre.where("size > 1"), ["k", "key"]).where("class_id <> c.class_id").select(
-        F.col("class_id").alias("a"), F.col("c.class_id").alias("b"), "sketch", F.col("c.sketch").alias("other"))
+    """Pairs (a > b) of a class with centres that share a key with it: of each
+    key's centres (smallest set, smallest and largest id, and a few that a
+    hash picks) those BEST whose sketches agree most."""
+    keyed = classes.select("class_id", "n", "sketch", F.posexplode("keys").alias("k", "key"))
+    one = F.struct("class_id", "sketch")
+    ends = [F.min_by(one, F.struct("n", "class_id")), F.min_by(one, "class_id"), F.max_by(one, "class_id"),
+            *(F.min_by(one, F.xxhash64("class_id", F.lit(i))) for i in range(PICKED))]
+    centre = keyed.groupBy("k", "key").agg(F.count(F.lit(1)).alias("size"),
+                                           F.array_distinct(F.array(*ends)).alias("ends"))
+    pairs = (keyed.join(centre.where("size > 1").select("k", "key", F.explode("ends").alias("c")), ["k", "key"])
+             .where("class_id <> c.class_id")
+             .select("class_id", F.col("c.class_id").alias("centre"), "sketch", F.col("c.sketch").alias("other")))
 
     def run(batches):
         for batch in batches:
             x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, SKETCH)
                     for i in (2, 3))
             used = np.maximum(1, ((x > 0) | (y > 0)).sum(axis=1))
-            keep = ((x == y) & (x > 0)).sum(axis=1) >= SKETCH_AGREE * used
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(
-                pa.array(keep))
+            agree = ((x == y) & (x > 0)).sum(axis=1) / used
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(agree)],
+                                             names=["x", "y", "agree"]).filter(pa.array(agree >= SKETCH_AGREE))
+
+    best = Window.partitionBy("x").orderBy(F.desc("agree"), "y")
+    return (pairs.mapInArrow(run, "x long, y long, agree double").distinct()
+            .withColumn("rank", F.row_number().over(best)).where(f"rank <= {BEST}")
+            .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct())
+
 
-    return pairs.mapInArrow(run, "a long, b long").distinct()
+def _second_stars(classes: DataFrame, star: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a class that failed to link with a centre and the MIDDLE
+    classes of that centre's component: those nearest to what they were
+    compared with, which in a group of edited copies are the least edited.
+    And the middle classes of components that share a key, in a star."""
+    both = star.unionByName(star.select(F.col("b").alias("a"), F.col("a").alias("b"), "na", "nb", "both"))
+    of = labels.select(F.col("node").alias("a"), F.col("component").alias("ca"))
+    near = Window.partitionBy("ca").orderBy(F.desc("near"), "a")
+    middle = (both.groupBy("a").agg(F.avg(F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))).alias("near"))
+              .join(of, "a").withColumn("rank", F.row_number().over(near)).where(f"rank <= {MIDDLE}")
+              .select(F.col("a").alias("m"), F.col("ca").alias("cb")))
+    failed = (both.where(~_links(percent)).join(of, "a", "left")
+              .join(of.select(F.col("a").alias("b"), F.col("ca").alias("cb")), "b")
+              .where(~F.col("cb").eqNullSafe(F.col("ca"))).select("a", "cb").distinct())
+    at_key = (classes.select(F.col("class_id").alias("a"), F.posexplode("keys").alias("k", "key")).join(of, "a")
+              .groupBy("k", "key", "ca").agg(F.count(F.lit(1)).alias("size")))
+    low = at_key.groupBy("k", "key").agg(F.min("ca").alias("cb"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    meet = at_key.join(low, ["k", "key"]).where("ca <> cb").select("ca", "cb").distinct()
+    across = meet.join(middle.select(F.col("m").alias("a"), F.col("cb").alias("ca")), "ca").select("a", "cb")
+    return (failed.unionByName(across).join(middle, "cb")
+            .select(F.greatest("a", "m").alias("a"), F.least("a", "m").alias("b")).distinct())
 
 
 def _attached(df: DataFrame, side: DataFrame, on: str, how: str) -> DataFrame:
@@ -354,7 +385,7 @@ def _texts_of(docs: DataFrame, sets: DataFrame):
     return texts
 
 
-def _verify(pairs: DataFrame, texts, classes: DataFrame, words: int) -> DataFrame:
+def _verify(pairs: DataFrame, texts, words: int) -> DataFrame:
     """The pairs (a, b) with na, nb (set sizes) and both (common n-grams)."""
     pairs = saved(pairs.select("a", "b"), "jaccard-pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("class_id")).distinct()
@@ -386,29 +417,21 @@ def _verify(pairs: DataFrame, texts, classes: DataFrame, words: int) -> DataFram
     return saved(full.mapInArrow(run, "a long, b long, na long, nb long, both long"), "jaccard-verified")
 
 
-def _clusters(links: DataFrame) -> DataFrame:
-    """(class_id, root, d): classes that link with a star's centre which links
-    with no smaller one itself; d is the exact distance to it."""
-    inner = links.select(F.col("a").alias("b")).distinct()
-    roots = links.join(inner, "b", "left_anti")
-    d = 1 - F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))
-    return roots.groupBy(F.col("a").alias("class_id")).agg(
-        F.min(F.struct(F.col("b").alias("root"), d.alias("d"))).alias("s")).select("class_id", "s.root", "s.d")
-
-
-def _candidates(docs, sets, classes, clusters, frequent, words, percent, orders) -> DataFrame:
-    """Cluster pairs (a > b) that share a prefix n-gram under every order."""
+def _candidates(docs, sets, classes, labels, frequent, words, percent, orders) -> DataFrame:
+    """Class pairs (a > b) of different components that share a prefix n-gram
+    under every order."""
     spark = docs.sparkSession
     grams, counts = (spark.sparkContext.broadcast(x) for x in frequent)
-    # per document that differs from the rule "posts as its own class": root 0
-    # with post = false for copies of another document, else the cluster
+    # a row per document that copies another (it posts nothing) or whose class
+    # is in a component; all others post with their class alone
     one = sets.where("doc_id IS NOT NULL AND n_shingles > 0").groupBy("doc_id").agg(
         F.min("class_id").alias("class_id"), F.max("class_id").alias("other")).where("class_id = other")
-    role = saved(one.join(classes.select("class_id", "rep"), "class_id").join(clusters, "class_id", "left")
-                 .where("rep <> doc_id OR root IS NOT NULL")
-                 .select("doc_id", (F.col("rep") == F.col("doc_id")).alias("post"), "root"), "jaccard-roles")
+    of_class = labels.select(F.col("node").alias("class_id"), "component")
+    role = saved(one.join(classes.select("class_id", "rep"), "class_id").join(of_class, "class_id", "left")
+                 .where("rep <> doc_id OR component IS NOT NULL")
+                 .select("doc_id", (F.col("rep") == F.col("doc_id")).alias("post"), "component"), "jaccard-roles")
     src = (_attached(docs.where("doc_id IS NOT NULL"), role, "doc_id", "left")
-           .where("post IS NULL OR post").select("root", "text"))
+           .where("post IS NULL OR post").select("component", "text"))
     n_parts = partitions(spark)
 
     def prefixes(s: np.ndarray, of_order: int) -> np.ndarray:
@@ -420,40 +443,49 @@ def _candidates(docs, sets, classes, clusters, frequent, words, percent, orders)
             level[hit] = np.minimum(255, 1 + 8 * np.log2(c[at[hit]])).astype(np.uint64)
         key = (level << np.uint64(56)) | (_mix(s, of_order + 1) >> np.uint64(8))
         k = len(s) - required(len(s), percent) + 1
-        return s if k >= len(s) else s[np.argpartition(key, k - 1)[:k]]
+        first = np.argpartition(key, k - 1)[:k] if k < len(s) else np.arange(len(s))
+        return s[first[np.argsort(key[first])]]
 
     def post(batches):
-        held: list[tuple[np.ndarray, int, int, int]] = []
+        held: list[tuple[np.ndarray, int, int, int, int | None]] = []
         size = 0
 
         def pack():
             token = np.concatenate([x[0] for x in held])
             reps = [len(x[0]) for x in held]
+
+            def column(i, kind):
+                return np.repeat(np.array([x[i] for x in held], kind), reps)
+
             row = np.empty(len(token), POSTING)
             row["t"] = (token >> np.uint64(32)).astype(np.uint32)
-            row["c"] = np.repeat(np.array([x[1] for x in held], np.int64), reps)
-            row["n"] = np.repeat(np.array([min(x[2], 0xFFFFFFFF) for x in held], np.uint32), reps)
-            part = ((token & np.uint64(0xFFFFFFFF)) % np.uint64(n_parts)).astype(np.int32)
-            part += np.repeat(np.array([x[3] for x in held], np.int32), reps) * n_parts
-            order = np.lexsort((row["n"], row["c"], row["t"], part))
-            row, part = row[order], part[order]
-            fresh = np.ones(len(row), bool)
-            fresh[1:] = (row[1:] != row[:-1]) | (part[1:] != part[:-1])
-            row, part = row[fresh], part[fresh]
-            cuts = np.flatnonzero(np.diff(part)) + 1
-            starts = np.concatenate([[0], cuts])
+            row["c"] = column(1, np.int64)
+            row["n"] = column(2, np.uint32)
+            row["p"] = np.concatenate([np.arange(k) for k in reps])
+            part = ((token & np.uint64(0xFFFFFFFF)) % np.uint64(n_parts)).astype(np.int32) + column(3, np.int32) * n_parts
+            alone = np.array([x[4] is None for x in held])
+            member = np.repeat(~alone, reps)
+            component = np.repeat(np.array([x[4] or 0 for x in held], np.int64), reps)
+            order = np.lexsort((member, part))
+            row, part, member, component = row[order], part[order], member[order], component[order]
+            starts = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1])
+            stops = np.append(starts[1:], len(part))
+            mid = [i + int(np.searchsorted(member[i:j], True)) for i, j in zip(starts, stops)]
             return pa.RecordBatch.from_arrays(
-                [pa.array(part[starts]), pa.array([x.tobytes() for x in np.split(row, cuts)], pa.binary())],
-                names=["part", "postings"])
+                [pa.array(part[starts]),
+                 pa.array([row[i:m].tobytes() for i, m in zip(starts, mid)], pa.binary()),
+                 pa.array([row[m:j].tobytes() for m, j in zip(mid, stops)], pa.binary()),
+                 pa.array([component[m:j].tobytes() for m, j in zip(mid, stops)], pa.binary())],
+                names=["part", "alone", "members", "components"])
 
         for b in batches:
-            for root, s in zip(b.column(0).to_pylist(), shingle_sets(utf8(b.column(1)), words)):
+            for component, s in zip(b.column(0).to_pylist(), shingle_sets(utf8(b.column(1)), words)):
                 if not len(s):
                     continue
-                c = class_of(s) if root is None else root
+                c = class_of(s)
                 for k in range(orders):
                     p = prefixes(s, k)
-                    held.append((p, c, len(s), k))
+                    held.append((p, c, min(len(s), 0xFFFFFFFF), k, component))
                     size += len(p)
                 if size >= BLOCK:
                     yield pack()
@@ -462,84 +494,97 @@ def _candidates(docs, sets, classes, clusters, frequent, words, percent, orders)
             yield pack()
 
     def match(batches):
-        held: dict[int, list[bytes]] = {}
+        held: dict[int, list[tuple]] = {}
         for b in batches:
-            for part, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                held.setdefault(part, []).append(blob)
+            for part, *blobs in zip(*(b.column(i).to_pylist() for i in range(4))):
+                held.setdefault(part, []).append(blobs)
         for part in list(held):
-            rows = np.frombuffer(b"".join(held.pop(part)), POSTING)
-            for a, b in _pairs(rows, percent):
+            alone, members, of = zip(*held.pop(part))
+            rows = np.frombuffer(b"".join(alone + members), POSTING)
+            component = rows["c"].copy()
+            found = np.frombuffer(b"".join(of), np.int64)
+            if len(found):
+                component[-len(found):] = found
+            for a, b in _pairs(rows["t"], rows["n"].astype(np.int64), rows["p"], rows["c"], component, percent):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(a), pa.array(b), pa.array(np.full(len(a), 1 << (part // n_parts), np.int64))],
                     names=["a", "b", "seen"])
 
-    posted = src.mapInArrow(post, "part int, postings binary").repartition(orders * n_parts, "part")
+    posted = src.mapInArrow(post, "part int, alone binary, members binary, components binary").repartition(orders * n_parts, "part")
     return (posted.mapInArrow(match, "a long, b long, seen long").groupBy("a", "b")
             .agg(F.bit_or("seen").alias("seen")).where(f"seen = {(1 << orders) - 1}").select("a", "b"))
 
 
-POSTING = np.dtype([("t", "<u4"), ("n", "<u4"), ("c", "<i8")])
+POSTING = np.dtype([("t", "<u4"), ("n", "<u4"), ("p", "<u4"), ("c", "<i8")])
 
 
-def _pairs(rows: np.ndarray, percent: int):
-    """Distinct pairs of clusters that share an n-gram at compatible sizes, in
-    blocks.  Within an n-gram rows are sorted by size; each is paired with the
-    following rows whose size is compatible."""
-    rows = rows[np.lexsort((rows["n"], rows["t"]))]
-    t, n, c = rows["t"], rows["n"].astype(np.int64), rows["c"]
-    new = np.ones(len(rows), bool)
+SMALL_GROUP = 32
+
+
+def _pairs(t, n, p, c, m, percent: int):
+    """Distinct pairs of classes (c) of different components (m) that share an
+    n-gram (t) at compatible sizes (n) and positions (p), in blocks."""
+    order = np.lexsort((m, t))
+    t, n, c, m = t[order], n[order], c[order], m[order]
+    rest = n - p[order].astype(np.int64)  # n-grams from this one on
+    new = np.ones(len(t), bool)
     new[1:] = t[1:] != t[:-1]
+    other = new.copy()
+    other[1:] |= m[1:] != m[:-1]
     group = np.cumsum(new) - 1
-    size = np.bincount(group) if len(rows) else np.zeros(0, np.int64)
-    keep = size[group] > 1
-    t, n, c, group = t[keep], n[keep], c[keep], group[keep]
+    n_components = np.bincount(group, weights=other) if len(t) else np.zeros(0)
+    keep = n_components[group] > 1  # an n-gram of one component joins nothing
+    t, n, rest, c, m, group, other = (x[keep] for x in (t, n, rest, c, m, group, other))
     if not len(t):
         return
+    size = np.bincount(group)[group]
     out_a, out_b, held = [], [], 0
-    live = np.arange(len(t))
-    shift = 1
-    while len(live):
-        live = live[live + shift < len(t)]
-        nxt = live + shift
-        ok = (group[live] == group[nxt]) & (100 * n[live] >= percent * n[nxt])
-        live, nxt = live[ok], nxt[ok]
-        x, y = c[live], c[nxt]
-        differ = x != y
-        a, b = np.maximum(x, y)[differ], np.minimum(x, y)[differ]
-        out_a.append(a)
-        out_b.append(b)
-        held += len(a)
+
+    def put(x, y):
+        nonlocal held
+        out_a.append(np.maximum(x, y))
+        out_b.append(np.minimum(x, y))
+        held += len(x)
+
+    small = size <= SMALL_GROUP
+    gs, ns, rs, cs, ms = (x[small] for x in (group, n, rest, c, m))
+    for shift in range(1, SMALL_GROUP):
+        x, y = slice(None, -shift), slice(shift, None)
+        ok = (gs[x] == gs[y]) & (ms[x] != ms[y]) & _compatible(ns[x], rs[x], ns[y], rs[y], percent)
+        put(cs[x][ok], cs[y][ok])
         if held >= BLOCK:
             yield _distinct(out_a, out_b)
             out_a, out_b, held = [], [], 0
-        shift += 1
+    large = np.flatnonzero(~small)
+    if len(large):
+        starts = large[np.flatnonzero(np.diff(group[large], prepend=-1))]
+        for i in starts.tolist():
+            j = i + int(size[i])
+            blocks = i + np.flatnonzero(other[i:j])
+            for start, q in zip(blocks.tolist(), blocks[1:].tolist()):  # each component with those after it
+                for r in range(start, q):
+                    ok = _compatible(n[r], rest[r], n[q:j], rest[q:j], percent)
+                    y = c[q:j][ok]
+                    put(np.full(len(y), c[r]), y)
+                    if held >= BLOCK:
+                        yield _distinct(out_a, out_b)
+                        out_a, out_b, held = [], [], 0
     if held:
         yield _distinct(out_a, out_b)
 
 
+def _compatible(nx, restx, ny, resty, percent: int):
+    """Whether two sets may link if this is the first n-gram they share: no
+    more than the n-grams from here on can be common.  (Two that link pass
+    at their first common n-gram of the order.)"""
+    return (100 + percent) * np.minimum(restx, resty) >= percent * (nx + ny)
+
+
 def _distinct(a: list[np.ndarray], b: list[np.ndarray]):
     both = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], axis=1), axis=0)
     return both[:, 0].copy(), both[:, 1].copy()
 
 
-def _expand(checked: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
-    """Member pairs that may link although their centres don't."""
-    slack = 1 - percent / 100 + 1e-9
-    open_ = checked.where(~_links(percent)).withColumn("d", 1 - F.col("both") / (F.col("na") + F.col("nb") - F.col("both")))
-    radius = clusters.groupBy("root").agg(F.max("d").alias("r"))
-    for side in ("a", "b"):
-        open_ = open_.join(radius.select(F.col("root").alias(side), F.col("r").alias(f"r{side}")), side, "left")
-    open_ = open_.fillna(0.0, ["ra", "rb"]).where(F.col("d") - F.col("ra") - F.col("rb") <= slack).where("ra + rb > 0")
-    member = clusters.select("class_id", "root", "d").unionByName(
-        clusters.select(F.col("root").alias("class_id"), "root", F.lit(0.0).alias("d")).distinct())
-    for side, s in (("a", "x"), ("b", "y")):
-        m = member.select(F.col("root").alias(side), F.col("class_id").alias(s), F.col("d").alias(f"d{s}"))
-        open_ = (open_.join(m, side, "left").withColumn(s, F.coalesce(s, side))
-                 .fillna(0.0, [f"d{s}"]).where(F.col("d") - F.col(f"d{s}") - F.col("rb" if s == "x" else "dx") <= slack))
-    return (open_.where(F.col("d") - F.col("dx") - F.col("dy") <= slack).where("dx + dy > 0")
-            .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct())
-
-
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of the nodes of ``edges`` (a, b), by alternating large
     and small stars; component is the smallest node.  Each round is written
