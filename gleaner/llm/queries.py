@@ -5,8 +5,14 @@ from __future__ import annotations
 import functools
 
 from gleaner.llm.common import find_package
+from gleaner.llm.decontaminate import op4_decontamination
 from gleaner.llm.jaccard_join import op8_jaccard_join
+from gleaner.llm.lm_scoring import op3_lm_scoring
+from gleaner.llm.mixing import op5_mixing
 from gleaner.llm.pii import op7_pii
+from gleaner.llm.quality_rules import op2_quality_rules
+from gleaner.llm.secret_scan import op9_secret_scan
+from gleaner.llm.substring_dedup import op6_substring_dedup
 from gleaner.llm.token_counts import op1_token_counts
 from gleaner.llm.token_files import op10_token_files
 
@@ -21,5 +27,6 @@ def _registered(*fns):
     return {fn.__name__: ready(fn) for fn in fns}
 
 
-QUERIES = _registered(op1_token_counts, op7_pii, op8_jaccard_join, op10_token_files)
+QUERIES = _registered(op1_token_counts, op2_quality_rules, op3_lm_scoring, op4_decontamination, op5_mixing,
+                      op6_substring_dedup, op7_pii, op8_jaccard_join, op9_secret_scan, op10_token_files)
 ORACLE: dict[str, str] = {}
