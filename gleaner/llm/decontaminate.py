@@ -41,7 +41,10 @@ _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97
 
 
 def words_of(text: bytes | None) -> list[bytes]:
-    return (text or b"").translate(_TABLE).split()
+    text = text or b""
+    if not text.isascii():
+        text = text.decode().lower().encode()
+    return text.translate(_TABLE).split()
 
 
 def edit_within(item: np.ndarray, region: np.ndarray) -> tuple[int, int]:

