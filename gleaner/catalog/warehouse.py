@@ -20,6 +20,7 @@ from gleaner.sinks.table import (VersionedTable, _FS, bucketed_table_ddl, bucket
                                  list_tables)
 
 MAX_ROWS = 500
+_OWN = "gleaner.table"  # property of the catalog tables made here
 
 # Fixed value: first words of statements that change data or schema.
 WRITE_WORDS = ("copy", "create", "insert", "drop", "delete", "update", "alter")
@@ -108,14 +109,26 @@ class Warehouse:
         catalog_db(self.spark, namespace)
 
     def drop_namespace(self, namespace: str) -> None:
-        """Drops the namespace with its tables, from the catalog and the root."""
-        self.spark.sql(f"DROP DATABASE IF EXISTS `{namespace}` CASCADE")
+        """Drops the namespace with its tables, from the catalog and the root.
+        Catalog tables that others made stay, and then the database does."""
+        if self.spark.catalog.databaseExists(namespace):
+            names = [f"`{namespace}`.`{r.tableName}`" for r in
+                     self.spark.sql(f"SHOW TABLES IN `{namespace}`").collect() if not r.isTemporary]
+            own = [n for n in names if self._owns(n)]
+            for n in own:
+                self.spark.sql(f"DROP TABLE IF EXISTS {n}")
+            if len(own) == len(names):
+                self.spark.sql(f"DROP DATABASE `{namespace}`")
         for k in [k for k in self._registered if k.startswith(namespace + ".")]:
             del self._registered[k]
         for root in (self.root, self.remote_root):
             if root is not None:
                 _FS(self.spark, root).delete(f"{root.rstrip('/')}/{namespace}")
 
+    def _owns(self, name: str) -> bool:
+        """Whether a catalog table carries this library's mark."""
+        return any(r["key"] == _OWN for r in self.spark.sql(f"SHOW TBLPROPERTIES {name}").collect())
+
     def register(self) -> list[_Entry]:
         """(Re)register every visible table at its current location."""
         entries = self.entries()
@@ -124,12 +137,16 @@ class Warehouse:
             if self._registered.get(f"{e.namespace}.{e.table}") == e.location:
                 continue
             self.ensure_namespace(e.namespace)
-            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            if self.spark.catalog.tableExists(name):
+                if not self._owns(name):
+                    raise ValueError(f"catalog table {name} was made by others; it is neither used nor dropped")
+                self.spark.sql(f"DROP TABLE IF EXISTS {name}")
             b = bucketing_at(self.spark, e.location) if e.layer != "flat" else None
             if b is not None:  # declared, so joins and aggregates on the key skip the shuffle
                 self.spark.sql(bucketed_table_ddl(self.spark, name, e.location, b))
             else:
                 self.spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{e.location}'")
+            self.spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{_OWN}' = 'true')")
             self._registered[f"{e.namespace}.{e.table}"] = e.location
         return entries
 

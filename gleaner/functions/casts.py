@@ -18,6 +18,7 @@ DATE_FORMATS = ("M/d/yyyy", "yyyy/M/d")
 TIMESTAMP_FORMATS = ("M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy", "yyyy/M/d H:mm:ss", "yyyy/M/d")
 
 _INT_TEXT = r"^\s*[+-]?\d{1,18}\s*$"
+_LONG_TEXT = r"^\s*[+-]?\d{19}\s*$"  # may still be a bigint
 
 SPARK_TYPES = {
     "string": "string",
@@ -84,7 +85,8 @@ def cast_text(s: Column, type_: str | None, formats: tuple[str, ...] = (), truth
         # double and is truncated.  The regex guard matters for speed: a
         # failing string->bigint cast costs an exception per row.
         return F.when(s.rlike(_INT_TEXT), s.try_cast("bigint")) \
-            .otherwise(s.try_cast("double").try_cast("bigint"))
+            .otherwise(F.coalesce(F.when(s.rlike(_LONG_TEXT), s.try_cast("bigint")),
+                                  s.try_cast("double").try_cast("bigint")))
     if type_ == "float":
         return s.try_cast("double")
     if type_ == "boolean":

@@ -111,7 +111,8 @@ def staged_write(spark: SparkSession, root: str, namespace: str, staging: Stagin
     """Upsert each slice of the batch into the staging table of its member.
 
     ``batch._member`` holds the partition-param value of each row's request;
-    ``members`` are the values the request plan can produce (spec literals).
+    ``members`` are values the spec names (literals); values that only the
+    batch holds, from a date axis or an override, get their tables too.
     The batch is deduplicated per (member, key) once and written to the
     shared folder partitioned by member: lineage to the fetch is cut, and
     each member's upsert reads its own partition only (not the whole batch
@@ -128,8 +129,10 @@ def staged_write(spark: SparkSession, root: str, namespace: str, staging: Stagin
     deduped.write.partitionBy("_member").parquet(landed)
     latest = spark.read.schema(deduped.schema).parquet(landed)  # member values stay text
     counts = {r["_member"]: r["n"] for r in latest.groupBy("_member").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # The data decide what is written; the spec's members only add tables that
+    # this run has no rows for.
     by_table: dict[str, list] = {}
-    for m in members:
+    for m in [*members, *sorted(set(counts) - set(members), key=lambda v: (v is None, v))]:
         by_table.setdefault(member_name(staging, m), []).append(m)
 
     def write_table(name: str) -> int | None:
@@ -161,8 +164,9 @@ def merged_frame(frames: list[DataFrame], key, merge: Merge) -> DataFrame:
 
 def staged_merge(spark: SparkSession, root: str, namespace: str, staging: Staging, merge: Merge,
                  key=None) -> int | None:
-    """Rebuild the merged table from every staging table of the family."""
-    members = family_tables(spark, root, namespace, staging)
+    """Rebuild the merged table from every staging table of the family (the
+    merged table itself may fit the pattern but is no member)."""
+    members = [t for t in family_tables(spark, root, namespace, staging) if t.name != merge.table]
     if not members:
         return None
     merged = merged_frame([t.read() for t in members], merge.key or key, merge)

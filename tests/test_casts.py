@@ -61,3 +61,11 @@ def test_strftime_formats(spark):
                   format_date(F.col("d"), "%s").alias("epoch"), format_date(F.col("d"), "day %j of %Y %%").alias("j")
                   ).first()
     assert (r["iso"], r["us"], r["epoch"], r["j"]) == ("2024-03-07", "03/07/2024", "1709769600", "day 067 of 2024 %")
+
+
+def test_nineteen_digits_are_exact(spark):
+    from gleaner.functions.casts import cast_text
+
+    df = spark.createDataFrame([("1790000000000000001",), ("9223372036854775807",), ("9999999999999999999",)], "s string")
+    got = [r[0] for r in df.select(cast_text(F.col("s"), "integer")).collect()]
+    assert got == [1790000000000000001, 9223372036854775807, None]

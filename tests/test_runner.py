@@ -116,3 +116,20 @@ def test_csv_source_inferred(spark, root):
     t = VersionedTable(spark, root, "csvs", "csvs").read()
     assert dict(t.dtypes)["id"] == "bigint" and dict(t.dtypes)["score"] == "double"
     assert rows(t, "id", "score", "ok") == [(1, 2.5, True), (2, None, False)]
+
+
+def daily(params):
+    return [{"id": params["day"], "kind": "k"}]
+
+
+def test_staging_takes_its_members_from_the_data(spark, root):
+    """A partition param on a date axis has no values in the spec."""
+    from gleaner.spec import DateRange
+
+    coll = Collector("days", FunctionSource(daily, params=(Param("day"),)),
+                     Cadence("incremental", iterate=(DateRange(("day",), "2024-01-01", "2024-01-03", "1 day"),),
+                             primary_key="id", staging=Staging("day", "d_{day}")))
+    res = run_collector(spark, coll, root)
+    got = {name for name, version in res.versions.items() if version}
+    assert len(got) == res.n_requests
+    assert all(VersionedTable(spark, root, "days", name).read().count() == 1 for name in got)

@@ -108,3 +108,18 @@ def test_listing_counts_in_one_job_and_marks_unreadable(spark):
     assert listing["ns.good"]["row_count"] == 30 and listing["ns.other"]["row_count"] == 2
     assert listing["ns.bad"]["row_count"] == -1 and listing["ns.bad"]["error"]
     assert [r for r in sorted(listing)] == ["ns.bad", "ns.good", "ns.other"]
+
+
+def test_tables_of_others_are_neither_used_nor_dropped(spark):
+    root = new_scratch(spark, "t-foreign")
+    _put(spark, root, "shared_ns", "t", [(1,)], "x bigint")
+    _put(spark, root, "shared_ns", "own", [(2,)], "x bigint")
+    wh = Warehouse(spark, root=root)
+    wh.ensure_namespace("shared_ns")
+    spark.sql("CREATE TABLE shared_ns.t USING parquet AS SELECT 99 AS y")
+    with pytest.raises(ValueError, match="made by others"):
+        wh.register()
+    wh.drop_namespace("shared_ns")
+    assert spark.table("shared_ns.t").first()["y"] == 99
+    spark.sql("DROP TABLE shared_ns.t")
+    spark.sql("DROP DATABASE shared_ns CASCADE")
