@@ -60,6 +60,10 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def pack_ids(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Encoder:
     """Ids of a text as little-endian u32 bytes, with the tokenizers library.
 
@@ -73,6 +77,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = t = Tokenizer.from_file(path)
+        self.tokenize = t.model.tokenize
         self.cache = Recent(CACHE_WORDS)
         self.special = [x.content for x in t.get_added_tokens_decoder().values()]
         cut = t.pre_tokenizer.pre_tokenize_str if t.pre_tokenizer else (lambda x: [(x, None)])
@@ -84,6 +89,8 @@ class Encoder:
             [p for p, _ in cut(self.normal("a" + x))] == [p for y in ("a", x) for p, _ in cut(self.normal(y))]
             for x in ",.")
         self.folds = self.by_words and self.normal("AZ") == "az"
+        letters = "abcdefghijklmnopqrstuvwxyz"
+        self.letters = self.by_words and [p for p, _ in cut(self.normal(letters))] == [letters]
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -97,8 +104,9 @@ class Encoder:
         text = word.decode()
         if any(s in text for s in self.special):
             return self._whole(text)
-        tokenize = self.tokenizer.model.tokenize
-        return np.array([x.id for p, _ in self.cut(self.normal(text)) for x in tokenize(p)], "<u4").tobytes()
+        if self.letters and text.isascii() and text.isalpha() and text.islower():  # one piece as it is
+            return pack_ids([x.id for x in self.tokenize(text)])
+        return pack_ids([x.id for p, _ in self.cut(self.normal(text)) for x in self.tokenize(p)])
 
     def word(self, word: bytes) -> bytes:
         ids = self.cache.get(word)
