@@ -20,6 +20,8 @@ word edits per item word.
 
 from __future__ import annotations
 
+from itertools import repeat
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -114,16 +116,17 @@ class Index:
             total += out[p].astype(np.uint64) * w
         return (total ^ (total >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
 
-    def candidates(self, text: np.ndarray, n: int) -> set[tuple[int, int]]:
-        """(item, place in the text where it would start), for windows that
-        start in the first ``n`` words; the rest of ``text`` is padding."""
-        found: set[tuple[int, int]] = set()
+    def candidates(self, text: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """(items, places in the text where they would start), distinct and in
+        this order, for windows that start in the first ``n`` words; the rest
+        of ``text`` is padding."""
+        found = [np.zeros((2, 0), np.int64)]
         for window, moves, places, weights, starts, tables in self.classes:
             at = np.arange(0, n, window // 4)
             for w in range(WALKS):
                 out = self.walk(text, at, moves[w])
                 mine, keys = tables[w]
-                pairs = []
+                pairs = []  # window of the text times the number of item windows, plus item window
                 for t in range(TABLES):
                     key = self.key(out, places[w][t], weights[w, t])
                     sorted_keys, order, bits = keys[t]
@@ -132,20 +135,58 @@ class Index:
                     count = np.searchsorted(sorted_keys, key[hit], "right") - low
                     if count.any():
                         rank = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                        pairs.append(np.stack([np.repeat(hit, count), order[np.repeat(low, count) + rank]], axis=1))
+                        pairs.append(np.repeat(hit, count) * len(starts) + order[np.repeat(low, count) + rank])
                 if not pairs:
                     continue
-                pairs = np.unique(np.concatenate(pairs), axis=0)
+                pairs = np.unique(np.concatenate(pairs))
                 for part in np.array_split(pairs, 1 + len(pairs) // 50_000):
-                    a, b = out[:, part[:, 0]], mine[:, part[:, 1]]
+                    x, y = np.divmod(part, len(starts))
+                    a, b = out[:, x], mine[:, y]
                     near = ((a == b) & (b > 0)).sum(axis=0) >= AGREE * len(moves)
-                    found.update(zip(starts[part[near, 1], 0].tolist(),
-                                     (at[part[near, 0]] - starts[part[near, 1], 1]).tolist()))
-        return found
+                    found.append(np.stack([starts[y[near], 0], at[x[near]] - starts[y[near], 1]]))
+        items, places = np.concatenate(found, axis=1)
+        order = np.lexsort((places, items))
+        items, places = items[order], places[order]
+        new = np.ones(len(items), bool)
+        new[1:] = (items[1:] != items[:-1]) | (places[1:] != places[:-1])
+        return items[new], places[new]
+
+    def regions(self, text: np.ndarray, first: np.ndarray, lengths: np.ndarray):
+        """Yields (slot, item, low, high): the stretches of the texts at
+        ``first`` worth an exact comparison, one per place of a candidate to
+        four words, in which enough words are the item's at all."""
+        items, places = self.candidates(text, len(text) - 2 * (WINDOWS[-1] + 1))
+        slots = np.maximum(0, np.searchsorted(first, np.maximum(places, 0), "right") - 1)
+        offsets = places - first[slots]
+        order = np.lexsort((places, offsets // 4, slots, items))
+        same = np.stack([items, slots, offsets // 4])[:, order]
+        new = np.ones(len(order), bool)
+        new[1:] = (same[:, 1:] != same[:, :-1]).any(axis=0)
+        pick = np.sort(order[new])
+        items, slots, offsets = items[pick], slots[pick], offsets[pick]
+        own = np.zeros(len(self.vocabulary) + 1, bool)
+        cuts = np.flatnonzero(np.diff(items, prepend=-1))
+        for i, j in zip(cuts.tolist(), [*cuts[1:].tolist(), len(items)]):
+            item = int(items[i])
+            words, allowed = self.items[item][1], self.allowed[item]
+            here = slots[i:j]
+            low = np.maximum(0, offsets[i:j] - allowed - 4)
+            high = np.minimum(lengths[here], np.maximum(0, offsets[i:j] + len(words) + allowed + 4))
+            own[words] = True
+            got = np.empty(j - i, np.int64)
+            wide = len(words) + 2 * allowed + 8
+            step = max(1, 1_000_000 // wide)
+            for k in range(0, j - i, step):  # blocks bound the memory of long items
+                at = low[k:k + step, None] + np.arange(wide)
+                inside = at < high[k:k + step, None]
+                at = np.where(inside, at + first[here[k:k + step], None], 0)
+                got[k:k + step] = (own[text[at]] & inside).sum(axis=1)
+            own[words] = False
+            for k in np.flatnonzero(got >= len(words) - allowed).tolist():
+                yield int(here[k]), item, int(low[k]), int(high[k])
 
     def ids(self, words: list[bytes]) -> np.ndarray:
-        get = self.vocabulary.get
-        return np.array([get(w, 0) for w in words], np.int32)
+        return np.fromiter(map(self.vocabulary.get, words, repeat(0)), np.int32, len(words))
 
     def matches(self, texts: list[bytes | None]):
         """Yields (row, item_id, start, n_words, distance) for each text and
@@ -157,19 +198,13 @@ class Index:
             text = np.concatenate([x for _, ids in held for x in (ids, pad)] + [pad, pad])
             first = np.array(bounds)
             best: dict[tuple[int, int], tuple[int, int, int]] = {}
-            tried: set[tuple[int, int]] = set()
             present = np.zeros(len(self.vocabulary) + 1, bool)
-            for item, place in sorted(self.candidates(text, len(text) - 2 * len(pad))):
-                slot = max(0, int(np.searchsorted(first, max(place, 0), "right")) - 1)
-                row, ids = held[slot]
-                words, allowed = self.items[item][1], self.allowed[item]
-                offset = place - first[slot]
-                near = (slot, item, offset // 4)
-                if near in tried or best.get((slot, item), (1,))[0] == 0:
+            lengths = np.array([len(ids) for _, ids in held])
+            for slot, item, low, high in self.regions(text, first, lengths):
+                if best.get((slot, item), (1,))[0] == 0:
                     continue
-                tried.add(near)
-                low = max(0, offset - allowed - 4)
-                region = ids[low:max(0, offset + len(words) + allowed + 4)]
+                words, allowed = self.items[item][1], self.allowed[item]
+                region = held[slot][1][low:high]
                 present[region] = True  # at least this many words must be there
                 common = int(present[words].sum())
                 present[region] = False
