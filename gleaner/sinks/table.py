@@ -2,15 +2,16 @@
 
 Layout below the warehouse root::
 
-    <ns>/<table>/data/v0000000003/part-*.parquet   one directory per version
-    <ns>/<table>/_versions/0000000003              commit marker, created once
+    <ns>/<table>/data/v0000000003-<attempt>/part-*.parquet   one directory per attempt
+    <ns>/<table>/_versions/0000000003                        marker, names the directory
 
-A replace writes a complete new version directory first and then creates
-its marker.  Creating a file that must not exist is atomic on HDFS, local
-disks and object stores alike, so a reader either sees the old version or
-the new one, never a mix, and a writer that lost a race fails instead of
-overwriting.  Paths go through Hadoop's FileSystem so the same code runs
-against any cluster storage.
+Every attempt to write a version has a directory of its own.  It is committed
+by renaming a finished marker file, which names the directory, to the
+version's number where no such file may exist.  So of two writers of one
+number one wins, and the other fails and removes only what it wrote itself.
+The rename is atomic on HDFS; on a store without atomic renames (S3 without a
+table service) use one writer per table.  Paths go through Hadoop's file
+system classes, so the same code runs against any cluster storage.
 
 A version may be **bucketed** by key columns (Spark's own bucketed Parquet
 layout, written by ``bucketBy``); its ``_bucketing`` file names the columns
@@ -25,6 +26,7 @@ import json
 import uuid
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 KEEP_VERSIONS = 2
@@ -51,6 +53,7 @@ class Bucketing:
 class _FS:
     def __init__(self, spark: SparkSession, path: str):
         jvm = spark._jvm
+        self._spark = spark
         self._Path = jvm.org.apache.hadoop.fs.Path
         self._io = jvm.java.io
         self.fs = self._Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
@@ -94,8 +97,23 @@ class _FS:
         finally:
             reader.close()
 
-    def create_new(self, path: str) -> bool:
-        return self.fs.createNewFile(self.p(path))
+    def create_new(self, path: str, text: str) -> bool:
+        """Make a file with this text unless one exists; readers never see a
+        part of it."""
+        folder, name = path.rsplit("/", 1)
+        draft = f"{folder}/.{name}-{uuid.uuid4().hex}"
+        self.write_text(draft, text)
+        fs = self._spark._jvm.org.apache.hadoop.fs
+        files = fs.FileContext.getFileContext(self.fs.getUri(), self._spark._jsc.hadoopConfiguration())
+        keep = self._spark.sparkContext._gateway.new_array(getattr(fs, "Options$Rename"), 0)
+        try:
+            files.rename(self.p(draft), self.p(path), keep)
+            return True
+        except Py4JJavaError as e:
+            self.delete(draft)
+            if "FileAlreadyExistsException" not in str(e.java_exception):
+                raise
+            return False
 
     def delete(self, path: str) -> None:
         self.fs.delete(self.p(path), True)
@@ -125,7 +143,12 @@ class VersionedTable:
         return v[-1] if v else None
 
     def data_path(self, version: int) -> str:
-        return f"{self.path}/data/v{version:010d}"
+        """Directory of a committed version, as its marker names it."""
+        return f"{self.path}/data/{self._fs.read_text(f'{self.path}/_versions/{version:010d}').strip()}"
+
+    def new_data_path(self, version: int) -> str:
+        """A directory for one attempt to write a version."""
+        return f"{self.path}/data/v{version:010d}-{uuid.uuid4().hex[:12]}"
 
     def location(self) -> str | None:
         v = self.current_version()
@@ -139,8 +162,9 @@ class VersionedTable:
         loc = self.location()
         return None if loc is None else bucketing_at(self.spark, loc)
 
-    def read(self) -> DataFrame | None:
-        loc = self.location()
+    def read(self, version: int | None = None) -> DataFrame | None:
+        """A version's rows (default: the current one's); None without one."""
+        loc = self.location() if version is None else self.data_path(version)
         if loc is None:
             return None
         b = bucketing_at(self.spark, loc)
@@ -149,7 +173,8 @@ class VersionedTable:
         return self.spark.table(bucketed_table(self.spark, loc, b))
 
     def replace(self, df: DataFrame, partition_by: list[str] | None = None,
-                bucket_by: Bucketing | None = None, only_if_rows: bool = False) -> int | None:
+                bucket_by: Bucketing | None = None, only_if_rows: bool = False,
+                after: int | None = None) -> int | None:
         """Write ``df`` as the next version and commit it; returns the version.
 
         ``bucket_by`` writes Spark's bucketed layout: when ``df`` is already
@@ -157,9 +182,10 @@ class VersionedTable:
         task writes one bucket (one file).  ``only_if_rows``: a version with
         no rows is not committed (its folder is removed) and None returned;
         the rows are counted from the written files' footers, so ``df`` is
-        computed once."""
-        nxt = (self.current_version() or 0) + 1
-        path = self.data_path(nxt)
+        computed once.  ``after``: the version that ``df`` was made from (0:
+        none); the commit fails if another writer has committed since."""
+        nxt = (after if after is not None else self.current_version() or 0) + 1
+        path = self.new_data_path(nxt)
         if bucket_by is not None:
             self._write_bucketed(df, path, bucket_by)
         else:
@@ -170,9 +196,15 @@ class VersionedTable:
         if only_if_rows and self.spark.read.parquet(path).count() == 0:
             self._fs.delete(path)
             return None
-        self._commit(nxt)
+        self._commit(nxt, path)
         return nxt
 
+    def create_empty(self) -> None:
+        """A first version without files, for a stream to write into."""
+        path = self.new_data_path(1)
+        self._fs.mkdirs(path)
+        self._commit(1, path)
+
     def _write_bucketed(self, df: DataFrame, path: str, b: Bucketing) -> None:
         """``bucketBy`` only writes through a catalog table: a temporary
         external one over ``path`` is created and dropped (files stay)."""
@@ -195,7 +227,7 @@ class VersionedTable:
         cur = self.current_version()
         if cur is None:
             return self.replace(df)
-        existing = self.read()
+        existing = self.read(cur)
         have = {f.name: f.dataType for f in existing.schema.fields}
         b = self.bucketing()
         if b is not None or any(c not in have for c in df.columns):
@@ -203,19 +235,21 @@ class VersionedTable:
             # the new rows are hash-partitioned like the stored buckets, so the
             # union keeps one partition (one file) per bucket
             new = df.repartition(b.buckets, *b.columns) if b is not None else df
-            return self.replace(existing.unionByName(new, allowMissingColumns=True), bucket_by=b)
+            return self.replace(existing.unionByName(new, allowMissingColumns=True), bucket_by=b, after=cur)
         aligned = df.select(*[(F.col(n).cast(t) if n in df.columns else F.lit(None).cast(t)).alias(n)
                               for n, t in have.items()])
         aligned.write.mode("append").parquet(self.data_path(cur))
         return cur
 
-    def _commit(self, version: int) -> None:
+    def _commit(self, version: int, path: str) -> None:
         self._fs.mkdirs(f"{self.path}/_versions")
-        if not self._fs.create_new(f"{self.path}/_versions/{version:010d}"):
+        if not self._fs.create_new(f"{self.path}/_versions/{version:010d}", path.rsplit("/", 1)[1]):
+            self._fs.delete(path)  # this attempt's own directory
             raise RuntimeError(f"{self.full_name}: version {version} was committed by another writer")
         for old in self.versions()[:-KEEP_VERSIONS]:
-            self._fs.delete(self.data_path(old))
+            gone = self.data_path(old)
             self._fs.delete(f"{self.path}/_versions/{old:010d}")
+            self._fs.delete(gone)
 
     def drop(self) -> None:
         self._fs.delete(self.path)

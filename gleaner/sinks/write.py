@@ -59,7 +59,8 @@ def _upsert_deduplicated(table: VersionedTable, latest: DataFrame, key, n_keys:
     if n_keys == 0:
         return None
     keys = tuple([key] if isinstance(key, str) else key)
-    existing = table.read()
+    base = table.current_version()
+    existing = None if base is None else table.read(base)
     stored = table.bucketing()
     layout = Bucketing(keys, buckets) if buckets else stored
     broadcast = n_keys <= broadcast_max_keys
@@ -76,7 +77,7 @@ def _upsert_deduplicated(table: VersionedTable, latest: DataFrame, key, n_keys:
                           buckets=layout.buckets if layout is not None and in_place else None)
     if layout is not None and not in_place:
         merged = merged.repartition(layout.buckets, *layout.columns)  # first bucketed version: one shuffle
-    return table.replace(merged, bucket_by=layout)
+    return table.replace(merged, bucket_by=layout, after=base or 0)
 
 
 def append(table: VersionedTable, batch: DataFrame, stamp: bool = False) -> int | None:

@@ -78,8 +78,7 @@ def run_stream(spark: SparkSession, collector: Collector, messages: DataFrame, r
     columns = list(collector.source.schema or [])
     table = VersionedTable(spark, root, collector.table_namespace, collector.name)
     if not table.exists():
-        table._fs.mkdirs(table.data_path(1))
-        table._commit(1)
+        table.create_empty()
     out = project_messages(decode_messages(messages), columns)
     checkpoint = checkpoint or shared_dir(spark, "gleaner", "streams", collector.table_namespace, collector.name)
     writer = (out.writeStream.format("parquet").outputMode("append")
