@@ -35,36 +35,28 @@ def any_null_key(df: DataFrame, key):
     return reduce(lambda a, b: a | b, [df[k].isNull() for k in _keys(key)])
 
 
-def upsert_bucketed(existing: DataFrame, latest: DataFrame, key, batch_has_null_key: bool) -> DataFrame:
+def upsert_bucketed(existing: DataFrame, latest: DataFrame, key, buckets: int, batch_has_null_key: bool) -> DataFrame:
     """Upsert of a deduplicated batch into a stored side bucketed by ``key``.
 
     ``<=>`` join keys are expressions, not the bucket columns, so Spark would
-    shuffle the stored side.  One equi full outer join is used instead: the
-    stored side is read bucket by bucket and only the batch moves, and each
-    output partition holds one bucket (one file per bucket when written).
-    A batch row replaces the stored row of its key; stored rows without a
-    batch row stay.  A NULL key never matches in an equi-join, so with one
-    key column the stored NULL-key row is dropped when the batch has one.
-    Keys of several columns with NULL parts in the batch need ``<=>``: the
-    caller takes the null-safe path for those batches.
+    shuffle the stored side.  An equi anti join reads it bucket by bucket, and
+    only the batch moves; the batch is then added, hash-partitioned like the
+    buckets, so that each output partition holds one bucket (one file per
+    bucket when written).  Every stored row of a batch key goes, also where
+    the key is stored more than once.  A NULL key never matches in an
+    equi-join, so with one key column stored NULL-key rows are dropped when
+    the batch has one.  Keys of several columns with NULL parts in the batch
+    need ``<=>``: the caller takes the null-safe path for those batches.
     """
     keys = _keys(key)
-    b_cols = latest.columns
-    b = latest.select(*[F.col(c).alias(f"__b{i}") for i, c in enumerate(b_cols)], F.lit(True).alias("__hit"))
-    bname = {c: f"__b{i}" for i, c in enumerate(b_cols)}
-    cond = reduce(lambda x, y: x & y, [existing[k] == b[bname[k]] for k in keys])
-    j = existing.join(b, cond, "full_outer")
-    hit = F.col("__hit").isNotNull()
+    if batch_has_null_key and len(keys) > 1:
+        raise ValueError("several key columns with NULL parts need the null-safe upsert")
+    wanted = latest.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)])
+    cond = reduce(lambda x, y: x & y, [existing[k] == wanted[f"__k{i}"] for i, k in enumerate(keys)])
+    kept = existing.join(wanted, cond, "left_anti")
     if batch_has_null_key:
-        if len(keys) > 1:
-            raise ValueError("several key columns with NULL parts need the null-safe upsert")
-        j = j.filter(hit | existing[keys[0]].isNotNull())
-    out = []
-    for c in existing.columns:
-        other = F.col(bname[c]) if c in bname else F.lit(None).cast(existing.schema[c].dataType)
-        out.append(F.when(hit, other).otherwise(existing[c]).alias(c))
-    out += [F.col(bname[c]).alias(c) for c in b_cols if c not in existing.columns]
-    return j.select(*out)
+        kept = kept.filter(F.col(keys[0]).isNotNull())
+    return union_by_name(kept, latest.repartition(buckets, *keys))
 
 
 def union_by_name(*frames: DataFrame) -> DataFrame:
@@ -93,7 +85,7 @@ def upsert_frame(existing: DataFrame | None, batch: DataFrame, key,
     ``buckets``: ``existing`` is bucketed by ``key`` into that many buckets.
     It is read in place either way: the broadcast anti join keeps its buckets
     and the batch is hash-partitioned the same way for the union; without a
-    broadcast, one full outer join does the upsert bucket by bucket.
+    broadcast, an equi anti join does the same bucket by bucket.
     """
     latest = batch if deduplicated else dedup_first(batch, key, order)
     latest = latest.drop(*[c for c in helper_cols if c in latest.columns])
@@ -105,5 +97,5 @@ def upsert_frame(existing: DataFrame | None, batch: DataFrame, key,
             return union_by_name(kept, latest.repartition(buckets, *_keys(key)))
         if batch_has_null_key is None:
             batch_has_null_key = not latest.filter(any_null_key(latest, key)).isEmpty()
-        return upsert_bucketed(existing, latest, key, batch_has_null_key)
+        return upsert_bucketed(existing, latest, key, buckets, batch_has_null_key)
     return union_by_name(anti_join_null_safe(existing, latest, key, broadcast_keys), latest)

@@ -40,8 +40,8 @@ def upsert(table: VersionedTable, batch: DataFrame, key, stamp: bool = False,
     ``buckets`` stores the table bucketed by the key (kept by later writes).
     Up to ``broadcast_max_keys`` batch keys are broadcast to the tasks that
     read the stored table; above that, a bucketed table is merged bucket by
-    bucket by one full outer join (only the batch is shuffled), a plain one
-    by a null-safe sort-merge anti join (both sides shuffled).
+    bucket by an equi anti join (only the batch is shuffled), a plain one by
+    a null-safe sort-merge anti join (both sides shuffled).
     """
     if key is None:
         raise ValueError("upsert needs a key")

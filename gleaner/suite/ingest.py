@@ -234,7 +234,7 @@ ORDER_BUCKETS = 8
 def q_upsert_bucketed(spark, sf):
     """The upsert into an orders table stored bucketed by key, on the path a
     batch above the broadcast bound takes (forced here with a bound of 0):
-    one full outer join reads the stored table bucket by bucket, only the
+    one anti join reads the stored table bucket by bucket, only the
     batch is shuffled, and the new version is written one file per bucket."""
     layout = Bucketing(("o_orderkey",), ORDER_BUCKETS)
     t = VersionedTable(spark, new_scratch(spark, "warehouse"), "shop", "orders")

@@ -50,3 +50,13 @@ def test_old_versions_go_with_their_folders(spark):
         a.replace(spark.range(n + 1))
     assert a.versions() == [3, 4] and len(a._fs.dirs(f"{a.path}/data")) == 2
     assert a.read().count() == 4 and a.read(3).count() == 3
+
+
+@pytest.mark.parametrize("bound", [0, 5_000_000])
+def test_key_stored_twice_becomes_one_row(spark, bound):
+    a, _ = two(spark)
+    rows = lambda *ids: spark.createDataFrame([(i, 0, 0) for i in ids], "id long, req_idx int, pos int")
+    upsert(a, rows(1, 2), "id", buckets=4)
+    a.append(rows(1, None).drop("req_idx", "pos"))
+    upsert(a, rows(1, None, 3), "id", broadcast_max_keys=bound)
+    assert sorted((r.id or 0) for r in a.read().collect()) == [0, 1, 2, 3]
