@@ -92,9 +92,11 @@ def repeated_spans(df: DataFrame, text_col: str = "text", id_col: str = "doc_id"
 
     found = saved(src.mapInArrow(run, "doc_id long, h long, l long, start int, end int, n_words int"), "dedup-units")
     rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "start", "end")
-    first = (found.groupBy("h", "l").agg(F.min(rank).alias("keep"), F.max(rank).alias("far"))
-             .where("keep.last <> far.last OR NOT keep.doc_id <=> far.doc_id OR keep.start <> far.start")
-             .select("h", "l", "keep"))
+    # written, so that the join reads two plain shuffles: a very common unit's
+    # rows, which the partial aggregates folded before, can then be split there
+    first = saved(found.groupBy("h", "l").agg(F.min(rank).alias("keep"), F.max(rank).alias("far"))
+                  .where("keep.last <> far.last OR NOT keep.doc_id <=> far.doc_id OR keep.start <> far.start")
+                  .select("h", "l", "keep"), "dedup-first")
     same = F.col("doc_id").eqNullSafe(F.col("keep.doc_id"))
     start = F.when(same, F.greatest("start", "keep.end")).otherwise(F.col("start"))
     return (found.join(first, ["h", "l"]).where(~(same & (F.col("start") == F.col("keep.start"))))
