@@ -1,20 +1,15 @@
-"""Benchmark decontamination by CGK embedding and bit-sampling LSH.
+"""Benchmark decontamination by exact seeds and word edit distance.
 
 Texts and items are sequences of words (lower case, ASCII punctuation dropped).
 An item leaks into a text if some stretch of the text is within ``max_edit``
 word edits per item word.
 
-* CGK embedding: a random walk copies the word it stands on, then moves on or
-  stays by a random bit of (step, word).  Sequences within k edits get outputs
-  of the same length that differ in O(k^2) places, so edit distance becomes
-  Hamming distance.
-* Item-sized windows: items are put in classes by length (windows of 8, 16 or
-  32 words).  A text's windows start every quarter window; an item is embedded
-  from each of its words that leaves a whole window, so one of them meets the
-  text's grid at any place.
-* Bit sampling: each of TABLES tables per walk keys a window by SAMPLES output
-  places.  Windows that share a key with an item window, and agree in AGREE of
-  all places, are candidates.
+* Seeds: an item of n words that may differ by k edits is cut into k + 1 pieces
+  of n // (k + 1) words or more.  k edits leave one piece as it is, so a text
+  the item leaks into holds a piece word by word, wherever it stands: no item
+  of any length is lost (recall 1 before and after verification).
+* Every word of a text is held against the seeds, by a hash of it and the words
+  after it; a hit at a piece gives the place where the item would start.
 * Verification: exact edit distance of the item and the best stretch around.
 """
 
@@ -30,13 +25,12 @@ from pyspark.sql.types import LongType, StructField, StructType
 from gleaner.llm.common import documents, find_package, quoted, utf8
 
 SEED = 20240917
-WINDOWS = (8, 16, 32)
-WALKS, TABLES, SAMPLES = 2, 6, 3
-AGREE = 0.3
+LONGEST = 8  # words of a longer piece that make its seed
 MIN_WORDS = 8  # items with fewer words are no evidence and never match
 MAX_EDIT = 0.2
 BLOCK_WORDS = 2_000_000  # item words that one pass holds in a task
-CHUNK = 1 << 17  # words of text embedded at a time
+CHUNK = 1 << 17  # words of text searched at a time
+HITS = 1 << 20  # hits of seeds held at a time
 
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32
                for c in range(256))
@@ -64,105 +58,71 @@ def edit_within(item: np.ndarray, region: np.ndarray) -> tuple[int, int]:
 
 
 class Index:
-    """The embedded windows of a block of items."""
+    """The seeds of a block of items."""
 
     def __init__(self, items: list[tuple[int, list[bytes]]], max_edit: float):
+        if not 0 <= max_edit < 1:
+            raise ValueError(f"max_edit must be at least 0 and under 1, not {max_edit}")
         self.vocabulary: dict[bytes, int] = {}
         self.items = [(i, np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in ws], np.int32))
                       for i, ws in items]
         self.allowed = [int(max_edit * len(ws)) for _, ws in items]
-        rng = np.random.default_rng(SEED)
-        size = len(self.vocabulary) + 1
-        self.classes = []
-        for window in WINDOWS:
-            mine = [k for k, (_, ws) in enumerate(self.items)
-                    if window <= len(ws) and (len(ws) < 2 * window or window == WINDOWS[-1])]
-            moves = [rng.integers(0, 2, (2 * window, size), np.uint8) for _ in range(WALKS)]
-            places = [[rng.choice(2 * window, SAMPLES, replace=False) for _ in range(TABLES)] for _ in range(WALKS)]
-            weights = rng.integers(1, 1 << 62, (WALKS, TABLES, SAMPLES), np.uint64) | np.uint64(1)
-            if not mine:
-                continue
-            starts = [(k, j) for k in mine for j in range(len(self.items[k][1]) - window + 1)]
-            text = np.concatenate([np.append(self.items[k][1], np.zeros(window, np.int32)) for k in mine])
-            base = dict(zip(mine, np.concatenate([[0], np.cumsum([len(self.items[k][1]) + window for k in mine])])))
-            at = np.array([base[k] + j for k, j in starts])
-            tables = []
-            for w in range(WALKS):
-                out = self.walk(text, at, moves[w])
-                keys = []
-                for t in range(TABLES):
-                    key = self.key(out, places[w][t], weights[w, t])
-                    order = np.argsort(key, kind="stable")
-                    bits = np.zeros(1 << 16, bool)
-                    bits[(key >> np.uint64(48)).astype(np.int64)] = True
-                    keys.append((key[order], order, bits))
-                tables.append((out, keys))
-            self.classes.append((window, moves, places, weights, np.array(starts), tables))
-
-    @staticmethod
-    def walk(text: np.ndarray, at: np.ndarray, moves: np.ndarray) -> np.ndarray:
-        """Output (step, window) of the walks that start at ``at``."""
-        out = np.empty((len(moves), len(at)), np.int32)
-        at = at.copy()
-        for t, move in enumerate(moves):
-            out[t] = word = text[at]
-            at += move[word]
-        return out
-
-    @staticmethod
-    def key(out: np.ndarray, places: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        total = np.zeros(out.shape[1], np.uint64)
-        for p, w in zip(places, weights):
-            total += out[p].astype(np.uint64) * w
+        self.weights = np.random.default_rng(SEED).integers(1, 1 << 62, LONGEST, np.uint64) | np.uint64(1)
+        pieces: dict[int, list[tuple[int, int]]] = {}  # by words of a seed: (item, place in it)
+        for k, ((_, words), allowed) in enumerate(zip(self.items, self.allowed)):
+            n = allowed + 1
+            mine = pieces.setdefault(min(LONGEST, len(words) // n), [])
+            mine += [(k, len(words) * j // n) for j in range(n)]
+        self.seeds = []
+        for size, mine in sorted(pieces.items()):
+            key = self.keys(np.concatenate([self.items[k][1][at:at + size] for k, at in mine]), size)[::size]
+            order = np.argsort(key, kind="stable")
+            shift = np.uint64(64 - min(24, max(16, 6 + len(key).bit_length())))
+            bits = np.zeros(1 << (64 - int(shift)), bool)
+            bits[(key >> shift).astype(np.int64)] = True
+            self.seeds.append((size, key[order], np.array(mine)[order], shift, bits))
+
+    def keys(self, text: np.ndarray, size: int) -> np.ndarray:
+        """A hash of each ``size`` words in a row."""
+        n = max(0, len(text) - size + 1)
+        total = np.zeros(n, np.uint64)
+        for j in range(size):
+            total += text[j:j + n].astype(np.uint64) * self.weights[j]
         return (total ^ (total >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
 
-    def candidates(self, text: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """(items, places in the text where they would start), distinct and in
-        this order, for windows that start in the first ``n`` words; the rest
-        of ``text`` is padding."""
-        found = [np.zeros((2, 0), np.int64)]
-        for window, moves, places, weights, starts, tables in self.classes:
-            at = np.arange(0, n, window // 4)
-            for w in range(WALKS):
-                out = self.walk(text, at, moves[w])
-                mine, keys = tables[w]
-                pairs = []  # window of the text times the number of item windows, plus item window
-                for t in range(TABLES):
-                    key = self.key(out, places[w][t], weights[w, t])
-                    sorted_keys, order, bits = keys[t]
-                    hit = np.flatnonzero(bits[(key >> np.uint64(48)).astype(np.int64)])
-                    low = np.searchsorted(sorted_keys, key[hit])
-                    count = np.searchsorted(sorted_keys, key[hit], "right") - low
-                    if count.any():
-                        rank = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                        pairs.append(np.repeat(hit, count) * len(starts) + order[np.repeat(low, count) + rank])
-                if not pairs:
-                    continue
-                pairs = np.unique(np.concatenate(pairs))
-                for part in np.array_split(pairs, 1 + len(pairs) // 50_000):
-                    x, y = np.divmod(part, len(starts))
-                    a, b = out[:, x], mine[:, y]
-                    near = ((a == b) & (b > 0)).sum(axis=0) >= AGREE * len(moves)
-                    found.append(np.stack([starts[y[near], 0], at[x[near]] - starts[y[near], 1]]))
-        items, places = np.concatenate(found, axis=1)
-        order = np.lexsort((places, items))
-        items, places = items[order], places[order]
-        new = np.ones(len(items), bool)
-        new[1:] = (items[1:] != items[:-1]) | (places[1:] != places[:-1])
-        return items[new], places[new]
+    def candidates(self, text: np.ndarray):
+        """Yields (items, places of the hits, places where the items would
+        start), of about HITS hits at a time."""
+        for size, keys, pieces, shift, bits in self.seeds:
+            key = self.keys(text, size)
+            hit = np.flatnonzero(bits[(key >> shift).astype(np.int64)])
+            low = np.searchsorted(keys, key[hit])
+            count = np.searchsorted(keys, key[hit], "right") - low
+            hit, low, count = hit[count > 0], low[count > 0], count[count > 0]
+            total = np.cumsum(count)
+            cuts = np.flatnonzero(np.diff(total // HITS, prepend=0)).tolist()
+            for i, j in zip([0, *cuts], [*cuts, len(hit)]):
+                if i < j:
+                    n = count[i:j]
+                    rank = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                    item, at = pieces[np.repeat(low[i:j], n) + rank].T
+                    here = np.repeat(hit[i:j], n)
+                    yield item, here, here - at
 
     def regions(self, text: np.ndarray, first: np.ndarray, lengths: np.ndarray):
         """Yields (slot, item, low, high): the stretches of the texts at
         ``first`` worth an exact comparison, one per place of a candidate to
         four words, in which enough words are the item's at all."""
-        items, places = self.candidates(text, len(text) - 2 * (WINDOWS[-1] + 1))
-        slots = np.maximum(0, np.searchsorted(first, np.maximum(places, 0), "right") - 1)
-        offsets = places - first[slots]
-        order = np.lexsort((places, offsets // 4, slots, items))
+        for items, hits, places in self.candidates(text):
+            slots = np.searchsorted(first, hits, "right") - 1
+            yield from self.near(text, first, lengths, items, slots, places - first[slots])
+
+    def near(self, text, first, lengths, items, slots, offsets):
+        order = np.lexsort((offsets, slots, items))
         same = np.stack([items, slots, offsets // 4])[:, order]
         new = np.ones(len(order), bool)
         new[1:] = (same[:, 1:] != same[:, :-1]).any(axis=0)
-        pick = np.sort(order[new])
+        pick = order[new]
         items, slots, offsets = items[pick], slots[pick], offsets[pick]
         own = np.zeros(len(self.vocabulary) + 1, bool)
         cuts = np.flatnonzero(np.diff(items, prepend=-1))
@@ -191,11 +151,11 @@ class Index:
     def matches(self, texts: list[bytes | None]):
         """Yields (row, item_id, start, n_words, distance) for each text and
         item that leaks into it; start and n_words count words."""
-        pad = np.zeros(WINDOWS[-1] + 1, np.int32)
+        pad = np.zeros(LONGEST, np.int32)  # no item's word
         held, bounds, size = [], [], 0
 
         def flush():
-            text = np.concatenate([x for _, ids in held for x in (ids, pad)] + [pad, pad])
+            text = np.concatenate([x for _, ids in held for x in (ids, pad)])
             first = np.array(bounds)
             best: dict[tuple[int, int], tuple[int, int, int]] = {}
             present = np.zeros(len(self.vocabulary) + 1, bool)

@@ -127,6 +127,28 @@ def test_decontamination_recall(make, hard, spark):
     assert dc.leaks(make([]), bench).count() == 0 and dc.leaks(make(rows), bench.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("share", [0, 0.1, 0.2])
+@pytest.mark.parametrize("n", [8, 10, 15, 16, 17, 18, 32, 33, 38, 40, 70])
+def test_decontamination_loses_no_length(n, share):
+    rng = random.Random(n)
+    item = ["i%d" % rng.randrange(10**6) for _ in range(n)]
+    other = [["o%d" % rng.randrange(10**6) for _ in range(n)] for _ in range(5)]
+    index = dc.Index([(0, [w.encode() for w in item])] + [(1 + k, [w.encode() for w in ws]) for k, ws in enumerate(other)], 0.2)
+    texts = []
+    for k in range(60):
+        w = list(item)
+        for _ in range(int(share * n)):
+            at = rng.randrange(len(w))
+            w[at:at + 1] = rng.choice([[], ["zz"], [w[at], "yy"]])
+        before = rng.choice([0, 1, 2, 3, 4, 5, rng.randrange(300)])
+        texts.append(" ".join(words(before, k) + w + words(rng.choice([0, 1, 90]), k + 99)).encode())
+    got = {row: (start, size, distance) for row, i, start, size, distance in index.matches(texts) if i == 0}
+    assert sorted(got) == list(range(60))  # recall 1
+    for row, (start, size, distance) in got.items():
+        found = [w.decode() for w in dc.words_of(texts[row])][start:start + size]
+        assert distance == edit(item, found) <= int(share * n)
+
+
 def water(sizes):
     names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
     w = {s: (3, 1, 2)[i % 3] for i, s in enumerate(names)}
