@@ -1,10 +1,17 @@
 """Substring dedup by hashing lines or paragraphs, with source offsets.
 
 A text is cut into units.  ``unit="line"``: its lines.  ``unit="paragraph"``:
-from each sentence start the shortest run of whole sentences with at least
-``min_words`` words; these runs overlap, so a shared passage is found wherever
-it stands in a line.  Units are normalised (lower case, white space as one
-blank) and hashed to 128 bits; units under ``min_words`` words are left alone.
+
+* from each sentence start the shortest run of whole sentences with at least
+  ``min_words`` words;
+* the runs of ``min_words`` words, sentence ends or not, whose hash is the
+  least of ``min_words`` runs in a row (winnowing).  The words alone pick them,
+  and each ``min_words`` runs hold one: any shared stretch of 2 * min_words - 1
+  words holds a unit in common, wherever it stands in its texts, and the picked
+  runs cover it without a gap between the first and the last.
+
+Units are normalised (lower case, white space as one blank) and hashed to 128
+bits; units under ``min_words`` words are left alone.
 
 Digests are grouped over all texts.  The occurrence of least rank (id, start)
 stays; each other occurrence is a span to remove, in code points of the
@@ -14,6 +21,7 @@ original text.
 from __future__ import annotations
 
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -23,18 +31,34 @@ from pyspark.sql import DataFrame, functions as F
 from gleaner.llm.common import documents, quoted, saved, utf8
 
 MIN_WORDS = 20
+_WORD = re.compile(r"\S+")
 _LINE = re.compile(r"[^\n]+")
 _SENTENCE = re.compile(r"[^.!?\n]*[.!?\n]+[.!?\s]*|[^.!?\n]+\Z")
 
 
 def units(text: str, unit: str = "paragraph", min_words: int = MIN_WORDS):
-    """(start, end, digest, words) of each unit, in order."""
+    """(start, end, digest, words) of each unit, by kind and in order."""
     if unit == "line":
         for m in _LINE.finditer(text):
             words = m.group().lower().split()
             if len(words) >= min_words:
                 yield m.start(), m.start() + len(m.group().rstrip()), _digest(words), len(words)
         return
+    seen = set()
+    for u in _sentence_runs(text, min_words):
+        seen.add(u[:2])
+        yield u
+    words = text.lower().split()
+    picks = _picked(words, min_words)
+    if picks:
+        places = [m.span() for m in _WORD.finditer(text)]
+        for i in picks:
+            start, end = places[i][0], places[i + min_words - 1][1]
+            if (start, end) not in seen:
+                yield start, end, _digest(words[i:i + min_words]), min_words
+
+
+def _sentence_runs(text: str, min_words: int):
     low = text.lower()
     same = len(low) == len(text)  # else offsets would differ: lower-case each sentence alone
     found = []
@@ -55,6 +79,42 @@ def units(text: str, unit: str = "paragraph", min_words: int = MIN_WORDS):
         total -= len(words)
 
 
+def _folded(values: np.ndarray, size: int, fold) -> np.ndarray:
+    """``fold`` of each ``size`` values in a row; fold(a, b, n) joins what
+    stands for n values and what stands for the next ones."""
+    out, done, power, n = None, 0, values, 1
+    while True:
+        if size & n:
+            out = power.copy() if out is None else fold(out[:len(power) - done], power[done:], done)
+            done += n
+        if 2 * n > size:
+            return out[:len(values) - size + 1]
+        power = fold(power[:-n], power[n:], n)
+        n *= 2
+
+
+def _picked(words: list[str], size: int) -> list[int]:
+    """Where the picked runs of ``size`` words start, in order."""
+    if len(words) < size:
+        return []
+    hashes = np.array([zlib.crc32(w.encode()) for w in words], np.uint64)
+    base = 0x9E3779B97F4A7C15
+    runs = _folded(hashes, size, lambda a, b, n: a * np.uint64(pow(base, n, 1 << 64)) + b[:len(a)])
+    runs = (runs ^ (runs >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    if len(runs) < size:  # no stretch that must hold one, but a short text's own least
+        return [int(runs.argmin())]
+    least = _folded(runs, size, lambda a, b, n: np.minimum(a, b[:len(a)]))
+    if len(np.unique(runs)) == len(runs):
+        starts = np.lib.stride_tricks.sliding_window_view(runs, size).argmin(axis=1) + np.arange(len(least))
+        return np.unique(starts).tolist()
+    # equal runs: one stays picked as long as it is in reach and least
+    values, out = runs.tolist(), []
+    for j, low in enumerate(least.tolist()):
+        if not out or out[-1] < j or values[out[-1]] != low:
+            out.append(max(i for i in range(j, j + size) if values[i] == low))
+    return out
+
+
 def _digest(words: list[str]) -> int:
     return xxhash.xxh3_128_intdigest(" ".join(words).encode())
 

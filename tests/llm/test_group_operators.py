@@ -87,6 +87,37 @@ def test_repeated_spans(make, hard):
     assert [(r.doc_id, r.start, r.keep_doc_id, r.keep_start) for r in lines] == [(2, 0, 1, 4)]
 
 
+def test_shared_stretch_without_sentence_ends(make):
+    rng, size = random.Random(11), 2 * sd.MIN_WORDS - 1
+    for trial in range(200):
+        shared = words(size, trial, 300 if trial % 4 else 2)  # also with equal runs
+        texts = [words(rng.randrange(80), 1000 + trial) + shared + words(rng.randrange(80), 2000 + trial),
+                 words(rng.randrange(80), 3000 + trial) + [w.upper() for w in shared] + words(rng.randrange(80), 4000 + trial)]
+        a, b = ({u[2] for u in sd.units(" ".join(t))} for t in texts)
+        assert a & b, trial
+    # sentences that merge with other words at both ends, and none at all
+    for n, stop in ((60, ""), (150, "."), (150, "")):
+        passage = words(n, n)
+        texts = [" ".join(words(40, k)) + " lead " + " ".join(passage) + stop + " tail " + " ".join(words(25, k + 9)) for k in (70, 90)]
+        cut = [r for r in sd.without_repeats(make(list(enumerate(texts)))).collect()]
+        gone = {r.doc_id: " ".join(texts[r.doc_id][s.start:s.end] for s in r.removed) for r in cut}
+        assert not gone[0] and gone[1] in texts[0]
+        assert len(gone[1].split()) >= n - 2 * (sd.MIN_WORDS - 1)
+
+
+def test_picked_runs_cover():
+    for n in (0, 19, 20, 21, 38, 39, 40, 500):
+        for vocabulary in (1, 2, 300):
+            w = words(n, n, vocabulary)
+            picks = sd._picked(w, 20)
+            assert picks == sorted(set(picks)) and all(p + 20 <= n for p in picks)
+            assert bool(picks) == (n >= 20) and all(b - a <= 20 for a, b in zip(picks, picks[1:]))
+            if n >= 39:
+                assert picks[0] < 20 and n - 20 - picks[-1] < 20
+            if vocabulary == 1:
+                assert len(picks) <= 1 + n // 20
+
+
 def edit(a, b):
     row = [0] * (len(b) + 1)
     for i, x in enumerate(a, 1):
