@@ -360,6 +360,26 @@ def test_scores(make, hard):
     assert lm.lm_scores(make([])).count() == 0
 
 
+def test_every_training_token_counts_and_trains(make, hard, monkeypatch):
+    from gleaner.llm.token_files import default_tokenizer, encoder
+
+    rows = hard + [(100 + i, " ".join(words(i % 60, i))) for i in range(80)]  # mostly short
+    seen = {}
+    fitted = lm.fitted
+    monkeypatch.setattr(lm, "fitted", lambda t, coder: seen.update(coder=coder, rows=t.select("ids").collect()) or fitted(t, coder))
+    made = lm.Coder.__init__
+    monkeypatch.setattr(lm.Coder, "__init__", lambda self, counts, size: seen.update(counts=counts) or made(self, counts, size))
+    assert lm.lm_scores(make(rows)).count() == len(rows)
+    enc = encoder(default_tokenizer())
+    want = [tuple(np.frombuffer(enc.text((t or "").encode()), "<u4").tolist()) for i, t in rows
+            if zlib.crc32(str(i).encode() if i is not None else b"") % 7 != 2]
+    got = [tuple(np.frombuffer(r.ids, seen["coder"].kind).tolist()) for r in seen["rows"]]
+    assert Counter(got) == Counter(want)
+    assert seen["counts"] == Counter(x for ids in want for x in ids)
+    for n in (2, 3, lm.PART, lm.PART + 1, lm.PART + 2, 3 * lm.PART + 5):  # each target once
+        assert [t for part in lm.parts(np.arange(n)) for t in part[1:].tolist()] == list(range(1, n))
+
+
 def test_model_learns():
     rng = np.random.default_rng(3)
     text = [np.concatenate([[lm.BOS], np.tile(rng.permutation(np.arange(2, 8)), 20), [0]]).astype(np.int32) for _ in range(400)]
