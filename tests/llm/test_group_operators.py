@@ -360,6 +360,39 @@ def test_scores(make, hard):
     assert lm.lm_scores(make([])).count() == 0
 
 
+def test_order_among_rare_ids_counts():
+    rng = np.random.default_rng(5)
+    size, rare = 900, np.array([700, 750, 800, 820, 860, 890])
+    coder = lm.Coder({i: 10_000 - i for i in range(600)} | {int(i): 3 for i in rare}, size)
+    p = lm.new_parameters(coder.log_class, coder.log_member)
+    assert len(set(coder.of.tolist())) == size and (coder.of[rare] >= lm.FIRST).all()
+    x, y, _ = lm.layout([coder.sequence(rng.integers(0, size, 40)) for _ in range(4)])
+    p |= {k: rng.normal(0, 0.3, p[k].shape).astype(np.float64) for k in ("E", "V")}
+    p = {k: v.astype(np.float64) for k, v in p.items()}
+    one = np.full((size + 1, lm.CONTEXT + lm.STEP), lm.PAD, np.int32)  # the first target after BOS and two ids
+    one[:, lm.CONTEXT:lm.CONTEXT + 3] = [lm.BOS, coder.of[700], coder.of[3]]
+    goal = np.full((size + 1, lm.STEP), -1, np.int32)
+    goal[:, 2] = [*coder.of, lm.END]
+    assert abs(np.exp(lm.target_scores(p, one, goal)).sum() - 1) < 1e-3  # float32 shares of empty classes
+    _, g = lm.gradients(p, x, y)
+    for k in p:
+        top = np.unravel_index(np.argsort(-np.abs(g[k]), axis=None)[:3], g[k].shape)
+        for at in zip(*top):
+            losses = []
+            for d in (1e-4, -1e-4):
+                q = {n: v.copy() for n, v in p.items()}
+                q[k][at] += d
+                losses.append(lm.gradients(q, x, y)[0])
+            assert abs((losses[0] - losses[1]) / 2e-4 - g[k][at]) < 1e-4
+    assert abs(lm.gradients(p, x, y)[0] + lm.target_scores(p, x, y).mean()) < 1e-4
+    p = lm.new_parameters(coder.log_class, coder.log_member)
+    x, y, _ = lm.layout([coder.sequence(np.tile(rare, 10)) for _ in range(300)])
+    for r in range(4):
+        p, _ = lm.train(p, ((x[i:i + 32], y[i:i + 32]) for i in range(0, len(x), 32)), r)
+    right, wrong = coder.scores(p, [np.tile(rare, 5), np.tile(rare[[0, 2, 1, 4, 3, 5]], 5)])
+    assert right > wrong + 5
+
+
 def test_every_training_token_counts_and_trains(make, hard, monkeypatch):
     from gleaner.llm.token_files import default_tokenizer, encoder
 
