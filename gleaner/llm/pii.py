@@ -3,7 +3,7 @@
 Plain identifiers (email, ip, card, phone) are found first; their spans stay.
 Then the text goes through transducers that undo disguises: look-alike and
 full-width characters become ASCII, invisible characters vanish, spelled
-digits become digits, "(at)" and "[dot]" become signs.  Each rewritten piece
+digits, also among groups of digits, become digits, "(at)" and "[dot]" become signs.  Each rewritten piece
 remembers its source span, so what the same detectors find in the normalised
 text is mapped back to source offsets.  A found span is added if it holds a
 rewritten piece and overlaps no span of its kind found before.
@@ -111,13 +111,18 @@ SPELLED = {
 }
 _DIGIT = "(?:" + "|".join(sorted(SPELLED, key=len, reverse=True)) + "|[0-9])"
 _RUN = re.compile(rf"(?<!\w)(?:(?:plus|\+)[\s-]?\s*)?{_DIGIT}(?:[\s,-]{{1,3}}{_DIGIT}){{6,}}(?!\w)", re.I)
-_TOKEN = re.compile(r"\+|plus|[0-9]|[^\W\d_]+", re.I)
-
-_WRAP_AT = re.compile(r"\s*[\[({<]\s*(?:at|arroba|@)\s*[\])}>]\s*", re.I)
-_WRAP_DOT = re.compile(r"\s*[\[({<]\s*(?:dot|punkt|point|punto|\.)\s*[\])}>]\s*", re.I)
-_WORDS_AT = re.compile(  # name at host dot tld, all in words
-    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+(\s+at\s+)[A-Za-z0-9-]+(?:(?:\s+dot\s+|\.)[A-Za-z0-9-]+)*"
-    r"\s+dot\s+[A-Za-z]{2,}", re.I)
+_GROUP = _DIGIT.replace("[0-9]", "[0-9]+")  # also several digits
+_MIXED = re.compile(rf"(?<!\w)(?:(?:plus|\+)[\s-]?\s*)?\(?{_GROUP}(?:[\s,()-]{{1,3}}{_GROUP})+(?!\w)", re.I)
+_TOKEN = re.compile(r"\+|plus|[0-9]+|[^\W\d_]+", re.I)
+
+_LEAD = r"(?:(?<!\s)\s++)?"  # blanks before, tried once per run of blanks
+_WRAP_AT = re.compile(_LEAD + r"[\[({<]\s*(?:at|arroba|@)\s*[\])}>]\s*", re.I)
+_WRAPPED = r"[\[({<]\s*(?:dot|punkt|point|punto|\.)\s*[\])}>]\s*"
+_WRAP_DOT = re.compile(_LEAD + _WRAPPED, re.I)
+_DOT = rf"(?:\s+dot\s+|\s*{_WRAPPED})"
+_WORDS_AT = re.compile(  # name at host dot tld, in words; the dots wrapped or not
+    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+(\s+at\s+)[A-Za-z0-9-]+" + rf"(?:(?:{_DOT}|\.)[A-Za-z0-9-]+)*"
+    rf"{_DOT}[A-Za-z]{{2,}}", re.I)
 _WORD_DOT = re.compile(r"\s+dot\s+", re.I)
 
 
@@ -136,25 +141,33 @@ def _edits_characters(text: str):
     return [(m.start(), m.end(), r) for m in _ODD.finditer(text) if (r := _character(m.group())) != m.group()]
 
 
-def _edits_digits(text: str):
+def _edits_digits(text: str, pattern=_RUN):
     """Runs of at least seven digits, one of them spelled, become digits."""
-    for run in _RUN.finditer(text):
+    for run in pattern.finditer(text):
         words = _TOKEN.findall(run.group())
-        if any(len(w) > 1 for w in words):
-            yield run.start(), run.end(), "".join(
-                "+" if w.lower() in ("+", "plus") else SPELLED.get(w.lower(), w) for w in words)
+        if any(w.lower() in SPELLED for w in words):
+            digits = "".join("+" if w.lower() in ("+", "plus") else SPELLED.get(w.lower(), w) for w in words)
+            if len(digits.lstrip("+")) >= 7:
+                yield run.start(), run.end(), digits
+
+
+def _edits_mixed(text: str):
+    """The same, with digits in groups too."""
+    return _edits_digits(text, _MIXED)
 
 
 def _edits_signs(text: str):
     low = text.lower()
     found = [(m.start(), m.end(), "@") for m in _WRAP_AT.finditer(text)]
-    if found or "@" in text:
-        found += [(m.start(), m.end(), ".") for m in _WRAP_DOT.finditer(text)]
-    if " dot" in low or "\ndot" in low:
+    sign = bool(found) or "@" in text
+    wrapped = [(m.start(), m.end(), ".") for m in _WRAP_DOT.finditer(text)]
+    found += wrapped
+    if wrapped or " dot" in low or "\ndot" in low:
         for m in _WORDS_AT.finditer(text):
+            sign = True
             found.append((*m.span(1), "@"))
             found += [(d.start(), d.end(), ".") for d in _WORD_DOT.finditer(text, m.end(1), m.end())]
-        if found or "@" in text:  # host part in words after a sign
+        if sign:  # host part in words after a sign
             for m in re.finditer(r"(?<=[A-Za-z0-9-])\s+dot\s+(?=[A-Za-z]{2,}(?![A-Za-z]))", text):
                 found.append((m.start(), m.end(), "."))
     last, out = -1, []
@@ -223,26 +236,31 @@ _MAY = re.compile(  # one cheap look: without any of these no transducer has wor
     r"|[\[({<]\s*(?:at|arroba|@|dot|punkt|point|punto|\.)\s*[\])}>]|\sdot\s", re.I)
 
 
-def normalised(text: str) -> Normalised:
+def normalised(text: str):
+    """Yields the text after the transducers: with runs of single digits
+    joined, and if there are others, with those of groups of digits."""
     out = Normalised(text)
-    for edits in (_edits_characters, _edits_signs, _edits_digits):
+    for edits in (_edits_characters, _edits_signs):
         out = out.apply(edits(out.text))
-    return out
+    single, mixed = list(_edits_digits(out.text)), list(_edits_mixed(out.text))
+    yield out.apply(single)
+    if mixed != single:
+        yield out.apply(mixed)
 
 
 def find(text: str):
     """(base spans by kind, added spans by kind) of one text."""
     base = plain(text) if any(c in text for c in "@.+0123456789") else {k: [] for k in KINDS}
     added: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
-    if _MAY.search(text) or _RUN.search(text):
-        norm = normalised(text)
-        for kind, detect in DETECTORS.items():
-            taken = list(base[kind])
-            for a, b in detect(norm.text):
-                start, end, touched = norm.span(a, b)
-                if touched and all(end <= s or e <= start for s, e in taken):
-                    added[kind].append((start, end))
-                    taken.append((start, end))
+    if _MAY.search(text) or next(_edits_mixed(text), None):
+        for norm in normalised(text):
+            for kind, detect in DETECTORS.items():
+                taken = base[kind] + added[kind]
+                for a, b in detect(norm.text):
+                    start, end, touched = norm.span(a, b)
+                    if touched and all(end <= s or e <= start for s, e in taken):
+                        added[kind].append((start, end))
+                        taken.append((start, end))
     return base, added
 
 

@@ -101,6 +101,33 @@ def test_disguises_map_back(text, kind, source):
     assert [text[s:e] for s, e in added[kind]] == [source]
 
 
+@pytest.mark.parametrize("text,kind,source", [
+    ("host 192[.]168[.]0[.]1 up", "ip", "192[.]168[.]0[.]1"),
+    ("host 10 (dot) 0 (dot) 0 (dot) 7 up", "ip", "10 (dot) 0 (dot) 0 (dot) 7"),
+    ("host 10{punto}0{punto}0{punto}7 up", "ip", "10{punto}0{punto}0{punto}7"),
+    ("mail jane at host [dot] org now", "email", "jane at host [dot] org"),
+    ("mail jane at mail dot host (punkt) org now", "email", "jane at mail dot host (punkt) org"),
+    ("mail jane [at] host dot org now", "email", "jane [at] host dot org"),
+    ("call +1 555 eight six seven 5309 now", "phone", "+1 555 eight six seven 5309"),
+    ("call +1 (555) eight six seven 5309 now", "phone", "+1 (555) eight six seven 5309"),
+    ("card 4111 1111 one one one one 1111 now", "card", "4111 1111 one one one one 1111"),
+    ("12, four one one one 1 1 1 1 one one one one 1 1 1 one", "card", "four one one one 1 1 1 1 one one one one 1 1 1 one"),
+])
+def test_disguises_without_a_sign(text, kind, source):
+    assert "@" not in text
+    base, added = pii.find(text)
+    assert [text[s:e] for s, e in added[kind]] == [source] and not any(base.values())
+
+
+def test_blanks_and_wraps_take_linear_time():
+    import time
+
+    start = time.time()
+    for text in (" " * 300_000 + "(dot)", "(dot) " * 30_000, "a at b" + " [dot] c" * 30_000):
+        pii.find(text)
+    assert time.time() - start < 20
+
+
 def test_pii_rows(make, hard):
     rows = hard + [(30, "a@b.cd x 10.0.0.1"), (31, "1" * 200_000), (32, "a@" * 50_000)]
     got = {r.doc_id: r for r in pii.find_pii(make(rows)).collect()}
