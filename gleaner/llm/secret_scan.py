@@ -5,7 +5,9 @@ by pattern; their spans stay.  Beside them, candidate strings get a sliding
 window over their characters: each step adds the entering character's count,
 takes the leaving one's away and corrects the sum that Shannon entropy needs,
 and the highest entropy of any window is held against the threshold of the
-string's character class.  An allow-list suppresses known harmless shapes.
+string's character class.  An allow-list suppresses known harmless shapes;
+harmless words suppress only themselves, the rest of the string is still held
+against the thresholds.
 
 SQL patterns give matches without places.  ``split`` by the same pattern gives
 what lies between them, and running sums of both lengths give the offsets.
@@ -35,9 +37,9 @@ ALLOWED = (
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",  # UUID
     r"^[0-9+/_=-]+$",  # no letter: a number, a date, a rule
     r"^[A-Za-z+/_=-]+$",  # no digit: words, paths
-    r"(?i)example|sample|placeholder|changeme|x{6}",
     r"^[0-9]+[-/_][A-Za-z/_-]+$", r"^[A-Za-z/_-]+[-/_=][0-9]+$",  # a numbered name
 )
+HARMLESS = r"(?i)(?:example|sample|placeholder|changeme)s?|x{6,}"
 _LOW, _HIGH = 43, 122  # code points of "+" and "z", the ends of the candidates' characters
 
 
@@ -94,13 +96,22 @@ def highest_entropy(s: Column, window: int = WINDOW) -> Column:
 
 
 def _suspicious(s: Column, allowed) -> Column:
-    ok = F.lit(False)
-    for p in allowed:
-        ok = ok | s.rlike(p)
-    least = F.lit(None).cast("double")
-    for _, whole, bits in reversed(CLASSES):
-        least = F.when(s.rlike(whole), bits).otherwise(least)
-    return F.when(ok, False).otherwise(highest_entropy(s) >= least)
+    def allow(x):
+        ok = F.lit(False)
+        for p in allowed:
+            ok = ok | x.rlike(p)
+        return ok
+
+    def high(x):
+        least = F.lit(None).cast("double")
+        for _, whole, bits in reversed(CLASSES):
+            least = F.when(x.rlike(whole), bits).otherwise(least)
+        return F.when((F.length(x) < WINDOW) | allow(x), False).otherwise(highest_entropy(x) >= least)
+
+    pieces = F.split(s, HARMLESS, -1)  # what stands beside harmless words, without signs at its ends
+    pieces = F.when(F.size(pieces) > 1, F.transform(
+        pieces, lambda x: F.regexp_replace(x, r"^[+/_=-]+|[+/_=-]+$", ""))).otherwise(pieces)
+    return F.when(allow(s), False).otherwise(F.exists(pieces, high))
 
 
 def scan(df: DataFrame, text_col: str = "text", carry: list[str] | None = None, allowed=ALLOWED) -> DataFrame:

@@ -292,6 +292,15 @@ def test_secret_scan(make, hard):
     assert ss.scan(make([])).count() == 0
 
 
+def test_harmless_words_suppress_only_themselves(make):
+    secret = "kJ8x2Qp0ZtR5vLw9YbN3mC7s"
+    shown = ["sample_key=" + secret, "files/samples/" + secret, secret + "/Example", "placeholder-" + secret + "-xxxxxxx"]
+    hidden = ["sample_key_example_1_of_placeholders", "kJ8x2Qp0ZxxxxxxR5vLw9YbN3mC", "samples/123e4567-e89b-12d3-a456-426614174000",
+              "example_20240102030405060708", "changeme1changeme2changeme3"]
+    got = {r.doc_id: r.spans for r in ss.scan(make(list(enumerate(f"a {t} b" for t in shown + hidden)))).collect()}
+    assert got == {i: f"entropy:2:{2 + len(t)}" if t in shown else "" for i, t in enumerate(shown + hidden)}
+
+
 def test_window_entropy(spark):
     from pyspark.sql import functions as F
 
