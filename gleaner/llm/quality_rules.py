@@ -208,14 +208,16 @@ def _decided(measured: DataFrame, model: dict) -> DataFrame:
 
 
 def kept_documents(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` that the rules keep, whole.  The counts are made
-    twice, once for the estimate and once beside the rows, so that no text is
-    shuffled or stored and rows need no key."""
-    patterns = saved(_measured(df, text_col, []).groupBy("pattern").agg(F.count(F.lit(1)).alias("n")),
-                     "quality-patterns")
+    """The rows of ``df`` that the rules keep, whole.  Each row is written once
+    with its counts beside it; the verdict, which needs the estimate over all
+    rows, filters what was written, so no text is measured twice or shuffled
+    and rows need no key.  A null, empty or blank text has no words and goes;
+    an empty table gives an empty result."""
     row = df.select(F.struct(*[F.col(quoted(c)) for c in df.columns]).alias("__row"),
                     F.col(quoted(text_col)).alias("__text"))
-    out = _decided(_measured(row, "__text", ["__row"]), estimate(patterns)).where("kept")
+    measured = saved(_measured(row, "__text", ["__row"]), "quality-rows")
+    patterns = saved(measured.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")), "quality-patterns")
+    out = _decided(measured, estimate(patterns)).where("kept")
     return out.select(*[F.col("__row")[c].alias(c) for c in df.columns])
 
 
