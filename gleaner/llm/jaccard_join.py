@@ -41,7 +41,8 @@ BEST = 6  # centres a class is compared with
 MIDDLE = 4  # middle classes of a component that the second stars use
 SKETCH = 64  # bins of the sketch
 SKETCH_AGREE = 0.6  # share of agreeing bins from which a star's pair is verified
-FREQUENT = 1_000_000  # most frequent n-grams that go last in the orders (bounded broadcast)
+LEVEL_BITS = 22  # n-grams that occur often go last in the orders: by a table of so many bits' slots
+LEVELS, SLOTS_IN_BLOB = 1 << LEVEL_BITS, 1 << 14
 FREQUENT_IN_TASK = 2  # classes of one task's block that share an n-gram before it counts as frequent
 BLOCK = 2_000_000  # n-grams or postings a task holds before it passes them on
 PIECE = 1 << 18  # bytes of text cut into words at a time
@@ -292,14 +293,21 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(run, SETS)
 
 
-def _frequent(first: DataFrame):
-    """(n-grams, rough counts) of the most frequent n-grams, sorted by n-gram:
-    at most FREQUENT of them, the only thing gathered on the driver."""
-    top = (first.where("kind = 1").groupBy("class_id").agg(F.sum("n_shingles").alias("n"))
-           .orderBy(F.desc("n"), "class_id").limit(FREQUENT).toPandas())
-    grams = top["class_id"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(grams)
-    return grams[order], top["n"].to_numpy(np.int64)[order]
+def _frequent(first: DataFrame) -> np.ndarray:
+    """How frequent the n-grams of each of LEVELS slots are (a slot: the upper
+    bits of an n-gram), as one byte on a log scale.  Its size is fixed: this
+    table is all that the driver gathers and broadcasts, whatever the corpus."""
+    slot = F.shiftrightunsigned("class_id", 64 - LEVEL_BITS)
+    counts = (first.where("kind = 1").groupBy(slot.alias("slot")).agg(F.sum("n_shingles").alias("n"))
+              .select("slot", F.least(F.lit(255), 1 + 8 * F.log2("n")).cast("int").alias("level")))
+    blobs = (counts.groupBy((F.col("slot") / SLOTS_IN_BLOB).cast("int").alias("blob"))
+             .agg(F.collect_list((F.col("slot") % SLOTS_IN_BLOB * 256 + F.col("level")).cast("int")).alias("packed")))
+    table = np.zeros(LEVELS, np.uint8)
+    for batch in blobs.toArrow().to_batches():
+        for blob, packed in zip(batch.column(0).to_pylist(), batch.column(1)):
+            packed = packed.values.to_numpy()
+            table[blob * SLOTS_IN_BLOB + (packed >> 8)] = packed & 255
+    return table
 
 
 def _stars(classes: DataFrame) -> DataFrame:
@@ -421,7 +429,7 @@ def _candidates(docs, sets, classes, labels, frequent, words, percent, orders) -
     """Class pairs (a > b) of different components that share a prefix n-gram
     under every order."""
     spark = docs.sparkSession
-    grams, counts = (spark.sparkContext.broadcast(x) for x in frequent)
+    levels = spark.sparkContext.broadcast(frequent)
     # a row per document that copies another (it posts nothing) or whose class
     # is in a component; all others post with their class alone
     one = sets.where("doc_id IS NOT NULL AND n_shingles > 0").groupBy("doc_id").agg(
@@ -435,12 +443,7 @@ def _candidates(docs, sets, classes, labels, frequent, words, percent, orders) -
     n_parts = partitions(spark)
 
     def prefixes(s: np.ndarray, of_order: int) -> np.ndarray:
-        g, c = grams.value, counts.value
-        level = np.zeros(len(s), np.uint64)
-        if len(g):
-            at = np.minimum(np.searchsorted(g, s), len(g) - 1)
-            hit = g[at] == s
-            level[hit] = np.minimum(255, 1 + 8 * np.log2(c[at[hit]])).astype(np.uint64)
+        level = levels.value[s >> np.uint64(64 - LEVEL_BITS)].astype(np.uint64)
         key = (level << np.uint64(56)) | (_mix(s, of_order + 1) >> np.uint64(8))
         k = len(s) - required(len(s), percent) + 1
         first = np.argpartition(key, k - 1)[:k] if k < len(s) else np.arange(len(s))
