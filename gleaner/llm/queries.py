@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 
+from gleaner.llm.centroid_clusters import op11_centroid_clusters
 from gleaner.llm.common import find_package
 from gleaner.llm.decontaminate import op4_decontamination
 from gleaner.llm.jaccard_join import op8_jaccard_join
@@ -28,5 +29,6 @@ def _registered(*fns):
 
 
 QUERIES = _registered(op1_token_counts, op2_quality_rules, op3_lm_scoring, op4_decontamination, op5_mixing,
-                      op6_substring_dedup, op7_pii, op8_jaccard_join, op9_secret_scan, op10_token_files)
+                      op6_substring_dedup, op7_pii, op8_jaccard_join, op9_secret_scan, op10_token_files,
+                      op11_centroid_clusters)
 ORACLE: dict[str, str] = {}
