@@ -19,7 +19,7 @@ from gleaner.plans.requests import (build_plan, categorical_axis, date_range_axi
 from gleaner.sinks.write import write
 from gleaner.sources.fetch import fetch_function, fetch_http, land
 from gleaner.sources.records import (csv_header_fields, infer_text_types, parse_csv_records, parse_json_records,
-                                     records_of)
+                                     records_of, request_outcomes)
 from gleaner.spec import Categorical, Collector, Column, DateRange, FunctionSource, HttpSource, MessageSource
 
 BROADCAST_PLAN_ROWS = 1_000_000
@@ -72,8 +72,7 @@ def run_collector(spark: SparkSession, collector: Collector, root: str, limit: i
     # enough here: the lineage behind it is the landed bodies, so a lost
     # executor re-reads files and never calls the API again.
     parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
-    outcomes = parsed.groupBy("req_idx").agg(F.max("error").alias("error"),
-                                            F.count("pos").alias("n_rows"))
+    outcomes = request_outcomes(parsed)
     summary_row = run_summary(outcomes).first()
     summary = summary_row.asDict() if summary_row else {"n_requests": 0, "n_failed": 0, "status": "complete"}
 

@@ -146,20 +146,3 @@ def land(spark: SparkSession, fetched: DataFrame, folder: str | None = None) ->
     folder = folder or new_scratch(spark, "landing")
     fetched.write.mode("overwrite").parquet(folder)
     return spark.read.parquet(folder)
-
-
-class RecordedTransport:
-    """Replays recorded responses: ``rules`` is a list of
-    ``(match_params: dict, status, body)``; the first rule whose params all
-    equal the request's answers it.  Each call is recorded with the headers
-    and params sent, for checks of auth placement."""
-
-    def __init__(self, rules, default=(404, "")):
-        self.rules = list(rules)
-        self.default = default
-
-    def __call__(self, method, url, params, headers, timeout):
-        for match, status, body in self.rules:
-            if all(str(params.get(k)) == str(v) for k, v in match.items()):
-                return status, body
-        return self.default

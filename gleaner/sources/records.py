@@ -4,11 +4,17 @@ Input is a DataFrame of bodies ``(req_idx, body STRING[, error STRING])``;
 output is one row per record ``(req_idx, pos, record VARIANT, error)``.  A
 request whose body cannot be read keeps one row with its ``error``; a
 request with no records keeps one row with NULL ``pos`` so it still counts
-in run outcomes.  ``records_of`` drops those marker rows.
+in run outcomes.  A record that cannot be read costs only itself: it keeps a
+row with its ``pos``, its ``error`` and no record.  ``records_of`` gives the
+good records, ``dead_letters`` the bad ones.
 """
 
 from __future__ import annotations
 
+import json
+import re
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 
@@ -26,6 +32,11 @@ def _kind(v: Column) -> Column:
             .otherwise(F.lit("number")))
 
 
+def not_followed(records_path: str, key: str, found: str) -> str:
+    return (f"records_path '{records_path}' stops at key '{key}': that needs an object, and here is a value of kind "
+            f"{found}; omit records_path where the response itself is the list of records")
+
+
 def _follow(v: Column, records_path: str | None) -> tuple[Column, Column]:
     """(value at records_path, error).  A missing key gives an empty list; a
     step into something that is not an object is an error."""
@@ -39,87 +50,285 @@ def _follow(v: Column, records_path: str | None) -> tuple[Column, Column]:
             # for being an object (a missing key is no records, not an error).
             nxt = F.try_variant_get(cur, variant_path(key), "variant")
             not_obj = F.try_variant_get(cur, "$", "map<string,variant>").isNull()
-            msg = F.concat(
-                F.lit(f"records_path '{records_path}' could not be followed: expected a JSON object at key "
-                      f"'{key}' but found "), _kind(cur),
-                F.lit(". If the response is a top-level array, omit records_path entirely."))
+            before, after = not_followed(records_path, key, "\0").split("\0")
+            msg = F.concat(F.lit(before), _kind(cur), F.lit(after))
             err = F.coalesce(err, F.when(nxt.isNull(), F.when(not_obj, msg)))
             cur = F.coalesce(nxt, _empty())
     return cur, err
 
 
 def parse_json_records(bodies: DataFrame, records_path: str | None = None, body: str = "body") -> DataFrame:
+    """JSON bodies: the records at ``records_path`` (default: the whole body),
+    an array's elements or one object.
+
+    A body that Spark's strict parser takes is read as one VARIANT.  Any other
+    (``NaN``, repeated keys, text that is broken somewhere, above a VARIANT's
+    size) is split into the texts of its elements, which are then read one by
+    one; only those that are no JSON become dead letters."""
     v = F.try_parse_json(F.col(body))
-    data, path_err = _follow(v, records_path)
     prior = F.col("error") if "error" in bodies.columns else F.lit(None).cast("string")
-    error = F.coalesce(prior, F.when(F.col(body).isNotNull() & v.isNull(), F.lit("response is not valid JSON")),
-                       F.when(F.col(body).isNotNull(), path_err))
+    whole = bodies.select("req_idx", F.col(body).alias("__body"), prior.alias("__prior"), v.alias("__v"))
+    odd = F.col("__body").isNotNull() & F.col("__v").isNull() & F.col("__prior").isNull()
+    # one pass: a body that was read passes NULL to the splitter
+    split = whole.withColumn("__parts", _splitter(records_path)(F.when(odd, F.col("__body"))))
+    data, path_err = _follow(F.col("__v"), records_path)
+    parts = F.col("__parts")
+    error = F.coalesce("__prior", F.when(F.col("__v").isNotNull(), path_err), parts["error"])
     arr = F.try_variant_get(data, "$", "array<variant>")
-    records = (F.when(error.isNotNull() | F.col(body).isNull(), F.lit(None))
+    records = (F.when(error.isNotNull() | F.col("__body").isNull(), F.lit(None))
+               .when(F.col("__v").isNull(), F.transform(parts["texts"], lambda x: F.try_parse_json(x)))
                .when(F.is_variant_null(data), F.array().cast("array<variant>"))
                .when(arr.isNotNull(), arr)
                .otherwise(F.array(data)))
-    staged = bodies.select("req_idx", error.alias("error"), records.alias("__recs"))
-    return staged.select("req_idx", "error", F.posexplode_outer("__recs").alias("pos", "record")) \
-        .select("req_idx", F.col("pos").cast("int").alias("pos"), "record", "error")
+    staged = split.select("req_idx", error.alias("__error"), records.alias("__recs"), parts["errors"].alias("__bad"))
+    return staged.select("req_idx", "__error", "__bad", F.posexplode_outer("__recs").alias("pos", "record")).select(
+        "req_idx", F.col("pos").cast("int").alias("pos"), "record",
+        F.coalesce("__error", F.get("__bad", "pos"), F.when(
+            F.col("__bad").isNotNull() & F.col("pos").isNotNull() & F.col("record").isNull(),
+            F.lit("record is too large"))).alias("error"))
+
+
+_BLANK = re.compile(r"[ \t\n\r]*")
+_MARK = re.compile(r'"(?:[^"\\]++|\\.)*+"|[\[\]{},]', re.DOTALL)
+_DECODER = json.JSONDecoder()
+
+
+class _NotJson(ValueError):
+    pass
+
+
+def _skip(s: str, at: int) -> int:
+    return _BLANK.match(s, at).end()
+
+
+def _value_end(s: str, at: int) -> int:
+    """End of a JSON value that starts at ``at``, sound or not: the first comma
+    or closing bracket outside its own brackets and texts."""
+    depth = 0
+    for m in _MARK.finditer(s, at):
+        c = m.group()
+        if c in "[{":
+            depth += 1
+        elif c in "]}":
+            depth -= 1
+            if depth < 0:
+                return m.start()
+        elif c == "," and depth == 0:
+            return m.start()
+    return len(s)
+
+
+def _member(s: str, at: int, key: str) -> int | None:
+    """Where the value of a key of the object at ``at`` starts (of repeated
+    keys the last one's)."""
+    found, at = None, _skip(s, at + 1)
+    while at < len(s) and s[at] != "}":
+        try:
+            name, at = _DECODER.raw_decode(s, at)
+        except ValueError as e:
+            raise _NotJson from e
+        at = _skip(s, at)
+        if not isinstance(name, str) or s[at:at + 1] != ":":
+            raise _NotJson
+        start = _skip(s, at + 1)
+        if name == key:
+            found = start
+        at = _skip(s, _value_end(s, start))
+        if s[at:at + 1] == ",":
+            at = _skip(s, at + 1)
+    return found
+
+
+def _strict(value):
+    """NaN and infinities as null, which strict JSON has no other word for."""
+    if isinstance(value, float):
+        return value if value - value == 0 else None
+    if isinstance(value, list):
+        return [_strict(x) for x in value]
+    if isinstance(value, dict):
+        return {k: _strict(x) for k, x in value.items()}
+    return value
+
+
+def _one(s: str, start: int, stop: int) -> tuple[str | None, str | None]:
+    """(strict JSON text, None) of one element, or (None, why not)."""
+    text = s[start:stop].strip(" \t\n\r")
+    try:
+        return json.dumps(_strict(json.loads(text)), ensure_ascii=False), None
+    except (ValueError, RecursionError) as e:
+        return None, f"record is not valid JSON ({e}): {text[:200]}"
+
+
+def split_elements(body: str, records_path: str | None) -> tuple[list, list, str | None]:
+    """(texts, errors, error of the whole body): an entry per element."""
+    at = _skip(body, 0)
+    for key in records_path.split(".") if records_path else ():
+        if at is not None and body[at:at + 1] != "{":
+            return [], [], not_followed(records_path, key, _kind_of_text(body, at))
+        at = _member(body, at, key)
+        if at is None:
+            at, body = 0, "[]"
+    if body[at:at + 1] != "[":
+        text, why = _one(body, at, _value_end(body, at) if records_path else len(body))
+        if text == "null":
+            return [], [], None
+        return ([text], [None], None) if text else ([], [], "response is not valid JSON")
+    texts, errors, at = [], [], _skip(body, at + 1)
+    while at < len(body) and body[at] != "]":
+        stop = _value_end(body, at)
+        if stop < len(body) and body[stop] == "}":  # a stray bracket belongs to the broken element
+            stop = _value_end(body, stop + 1)
+        text, why = _one(body, at, stop)
+        if why:
+            stop = _before_next(body, at, stop)
+        texts.append(text)
+        errors.append(why)
+        at = _skip(body, stop + 1) if body[stop:stop + 1] == "," else stop
+    if at >= len(body):  # the array never ends: what was cut off is a bad record
+        if errors and errors[-1] is None or not errors:
+            texts.append(None)
+            errors.append("the response ends inside its records")
+    return texts, errors, None
+
+
+_BORDER = re.compile(r"[}\]][ \t\n\r]*+(,)[ \t\n\r]*+[{\[]")
+
+
+def _before_next(s: str, at: int, stop: int) -> int:
+    """Where the broken element at ``at`` ends: at ``stop``, unless one of its
+    texts spans a border of elements, as after a quote that is not closed;
+    then at that border."""
+    for m in _MARK.finditer(s, at, stop):
+        border = _BORDER.search(s, m.start(), m.end()) if m.group()[0] == '"' else None
+        if border:
+            return border.start(1)
+    return stop
+
+
+def _kind_of_text(s: str, at: int) -> str:
+    return {"[": "array", '"': "string", "t": "boolean", "f": "boolean", "n": "null"}.get(s[at:at + 1], "number")
+
+
+def _splitter(records_path: str | None):
+    def run(bodies: pd.Series) -> pd.DataFrame:
+        out = []
+        for body in bodies:
+            if body is None:
+                out.append((None, None, None))
+                continue
+            try:
+                out.append(split_elements(body, records_path))
+            except _NotJson:
+                out.append((None, None, "response is not valid JSON"))
+        return pd.DataFrame(out, columns=["texts", "errors", "error"])
+
+    return F.pandas_udf(run, "texts array<string>, errors array<string>, error string")
 
 
 def records_of(parsed: DataFrame) -> DataFrame:
-    """Only real records (drops error and empty-request marker rows)."""
-    return parsed.filter(F.col("pos").isNotNull()).select("req_idx", "pos", "record")
+    """Only good records (drops dead letters, and marker rows of requests)."""
+    return parsed.filter(F.col("pos").isNotNull() & F.col("error").isNull()).select("req_idx", "pos", "record")
+
+
+def dead_letters(parsed: DataFrame) -> DataFrame:
+    """Records that could not be read: (req_idx, pos, error)."""
+    return parsed.filter(F.col("pos").isNotNull() & F.col("error").isNotNull()).select("req_idx", "pos", "error")
+
+
+def request_outcomes(parsed: DataFrame) -> DataFrame:
+    """(req_idx, error of the request, n_rows good records, n_bad records)."""
+    whole, bad = F.col("pos").isNull(), F.col("error").isNotNull()
+    return parsed.groupBy("req_idx").agg(
+        F.max(F.when(whole, F.col("error"))).alias("error"),
+        F.count(F.when(~whole & ~bad, 1)).alias("n_rows"), F.count(F.when(~whole & bad, 1)).alias("n_bad"))
+
+
+# --- CSV -------------------------------------------------------------------
+
+# A quoted cell may hold commas, line breaks and doubled quotes.  Possessive
+# quantifiers: one pass over the text, no backtracking.
+_QUOTED = r'"(?:[^"]++|"")*+"'
+_PLAIN = rf"(?:{_QUOTED}[^,\n]*+|[^,\n]*+)"
+_RECORD = rf"{_PLAIN}(?:,{_PLAIN})*+"
+
 
+def _text_of(body: Column) -> Column:
+    """The text with one kind of line break and without a byte order mark."""
+    return F.regexp_replace(F.regexp_replace(body, "^\ufeff", ""), r"\r\n?", "\n")
 
-CSV_OPTIONS = {"escape": '"', "mode": "PERMISSIVE"}
 
+def _cells(record: Column) -> Column:
+    """The cells of one record as text; an empty cell, quoted or not, is NULL."""
+    raw = F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(rf"(?s),({_QUOTED}[^,]*+|[^,]*+)"), F.lit(1))
 
-def _csv_fields(line: Column, width: int) -> Column:
-    """The fields of one CSV line as an array of ``width`` strings (Spark's CSV
-    parser: quotes, doubled quotes and commas inside quotes; '' is NULL)."""
-    schema = ", ".join(f"c{i} STRING" for i in range(width))
-    parsed = F.from_csv(line, schema, CSV_OPTIONS)
-    return F.array(*[parsed[f"c{i}"] for i in range(width)])
+    def plain(c: Column) -> Column:
+        inner = F.replace(F.regexp_replace(c, rf'(?s)^"((?:[^"]++|"")*+)"([^,]*+)$', "$1$2"), F.lit('""'), F.lit('"'))
+        return F.nullif(F.when(c.startswith('"'), inner).otherwise(c), F.lit(""))
 
+    return F.transform(raw, plain)
 
-def parse_csv_records(bodies: DataFrame, body: str = "body", width: int | None = None) -> DataFrame:
-    """CSV bodies: first line is the header; an empty body has no records;
-    an empty cell is NULL.  Records are VARIANT objects of text values;
-    cast them with a declared schema or ``infer_text_types``.  Quoted fields
-    may contain commas and quotes, not line breaks.
 
-    ``width`` bounds the number of fields; by default it is the widest header,
-    found by one aggregate over the header lines (one per body)."""
-    lines = F.split(F.regexp_replace(F.col(body), r"\r\n?", "\n"), "\n")
-    lines = F.filter(lines, lambda x: F.length(F.trim(x)) > 0)
+def _open_quote(record: Column) -> Column:
+    """Whether a cell starts with a quote that is never closed."""
+    return F.regexp_like(F.concat(F.lit(","), record), F.lit(rf'(?s)^(?:,(?:{_QUOTED}[^,]*+|(?!")[^,]*+))*+,"'))
+
+
+def _names(header: Column) -> Column:
+    """Field names: an empty one after its place, a repeated one numbered."""
+    raw = F.transform(_cells(header), lambda c, i: F.coalesce(c, F.concat(F.lit("Unnamed: "), i.cast("string"))))
+
+    def unique(raw: Column) -> Column:
+        def add(done: Column, name: Column) -> Column:
+            other = F.filter(F.transform(F.sequence(F.lit(1), F.size(raw)), lambda k: F.concat(name, F.lit("."), k.cast("string"))),
+                             lambda n: ~F.array_contains(done, n) & ~F.array_contains(raw, n))
+            return F.array_append(done, F.when(F.array_contains(done, name), F.get(other, F.lit(0))).otherwise(name))
+
+        return F.aggregate(raw, F.array().cast("array<string>"), add)
+
+    return F.element_at(F.transform(F.array(raw), unique), 1)
+
+
+def parse_csv_records(bodies: DataFrame, body: str = "body") -> DataFrame:
+    """CSV bodies: the first line that is not blank is the header; an empty
+    body has no records; an empty cell is NULL.  Records are VARIANT objects
+    of text values; cast them with a declared schema or ``infer_text_types``.
+
+    Quoted cells may hold commas, quotes and line breaks.  An empty header
+    name becomes ``Unnamed: <place>``, a repeated one gets a number (``a``,
+    ``a.1``).  A record with fewer cells than the header has NULLs for the
+    rest; one with more cells, or with a quote that is never closed, is a
+    dead letter."""
     prior = F.col("error") if "error" in bodies.columns else F.lit(None).cast("string")
-    staged = bodies.select(
-        "req_idx", prior.alias("error"),
-        F.try_element_at(lines, F.lit(1)).alias("__hline"),
-        F.when(prior.isNull(), F.coalesce(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))),
-                                          F.array().cast("array<string>"))).alias("__lines"))
-    if width is None:
-        width = staged.agg(F.max(F.size(F.split("__hline", ",")))).first()[0] or 1
-    rows = staged.select("req_idx", "error", _csv_fields(F.col("__hline"), width).alias("__header"),
-                         F.posexplode_outer("__lines").alias("pos", "__line"))
-    pairs = F.filter(F.arrays_zip(F.col("__header").alias("k"), _csv_fields(F.col("__line"), width).alias("v")),
-                     lambda e: e["k"].isNotNull())
-    rec = F.to_variant_object(F.map_from_entries(pairs))
-    return rows.select("req_idx", F.col("pos").cast("int").alias("pos"),
-                       F.when(F.col("__line").isNotNull(), rec).alias("record"), "error")
+    records = F.filter(F.regexp_extract_all(F.col("__text"), F.lit(rf"({_RECORD})(?:\n|$)"), F.lit(1)),
+                       lambda r: F.length(F.trim(r)) > 0)
+    staged = bodies.select("req_idx", prior.alias("error"), _text_of(F.col(body)).alias("__text")) \
+        .select("req_idx", "error", F.when(F.col("error").isNull(), records).alias("__records"))
+    heads = staged.select(
+        "req_idx", "error", _names(F.get("__records", F.lit(0))).alias("__names"),
+        F.coalesce(F.slice("__records", 2, F.greatest(F.size("__records") - 1, F.lit(0))),
+                   F.array().cast("array<string>")).alias("__records"))
+    rows = heads.select("req_idx", "error", "__names", F.posexplode_outer("__records").alias("pos", "__record")) \
+        .withColumn("__cells", _cells(F.col("__record")))
+    n, width = F.size("__cells"), F.size("__names")
+    bad = F.when(_open_quote(F.col("__record")), F.lit("a quote is not closed")).when(
+        n > width, F.concat(F.lit("record has "), n.cast("string"), F.lit(" cells, its header "), width.cast("string")))
+    record = F.to_variant_object(F.map_from_entries(F.arrays_zip(F.col("__names").alias("k"), F.col("__cells").alias("v"))))
+    return rows.withColumn("__bad", F.when(F.col("pos").isNotNull(), bad)).select(
+        "req_idx", F.col("pos").cast("int").alias("pos"),
+        F.when(F.col("pos").isNotNull() & F.col("__bad").isNull(), record).alias("record"),
+        F.coalesce("error", "__bad").alias("error"))
 
 
 def csv_header_fields(bodies: DataFrame, body: str = "body") -> list[str]:
     """Field names over all CSV headers, by their first position in any header.
 
-    Header lines are split on the executors; one row per distinct field name
+    Header lines are read on the executors; one row per distinct field name
     (as many as the schema has columns) reaches the driver, however many
     bodies or header layouts there are."""
-    first = F.regexp_extract(F.col(body), r"^([^\r\n]*)", 1)
-    heads = bodies.select(first.alias("h")).filter(F.length("h") > 0)
-    width = heads.agg(F.max(F.size(F.split("h", ",")))).first()[0]
-    if not width:
-        return []
-    fields = heads.select(F.posexplode(_csv_fields(F.col("h"), width)).alias("i", "name"))
-    named = fields.filter(F.col("name").isNotNull()).groupBy("name").agg(F.min("i").alias("i")).collect()
+    head = F.regexp_extract(_text_of(F.col(body)), rf"^(?:[ \t]*+\n)*+({_RECORD})(?:\n|$)", 1)
+    heads = bodies.select(head.alias("h")).filter(F.length(F.trim("h")) > 0)
+    fields = heads.groupBy("h").agg(F.lit(1)).select(F.posexplode(_names(F.col("h"))).alias("i", "name"))
+    named = fields.groupBy("name").agg(F.min("i").alias("i")).collect()
     return [r["name"] for r in sorted(named, key=lambda r: (r["i"], r["name"]))]
 
 
@@ -166,18 +375,3 @@ def infer_text_types(records: DataFrame, record: str = "record",
     kv = records.select(F.explode(F.try_variant_get(F.col(record), "$", "map<string,string>")))
     checks = kv.groupBy("key").agg(*_type_checks(F.col("value"), "x"))
     return sorted((r["key"], _pick(r["x\0int"], r["x\0num"], r["x\0bool"])) for r in checks.collect())
-
-
-def pages_of(df: DataFrame, page_size: int, order: list[str]) -> DataFrame:
-    """Group rows into pages of at most ``page_size`` rows: ``(page, rows)``.
-
-    Pages follow the input partitions, never a data key, so a hot key cannot
-    make a page larger than ``page_size``.  Rows are sorted by ``order``
-    inside each partition first: a retried task (whose input arrives in a
-    different order after a shuffle) then cuts the same pages.
-    """
-    rid = F.monotonically_increasing_id()
-    keyed = df.sortWithinPartitions(*order).select((rid / page_size).cast("bigint").alias("page"), rid.alias("__rid"),
-                      F.struct(*[F.col(c) for c in df.columns]).alias("__row"))
-    pages = keyed.groupBy("page").agg(F.sort_array(F.collect_list(F.struct("__rid", "__row"))).alias("__rows"))
-    return pages.select("page", F.transform("__rows", lambda x: x["__row"]).alias("rows"))

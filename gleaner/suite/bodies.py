@@ -10,10 +10,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gleaner.operators import project_schema, rows_per_request, run_summary, schema_inferred
-from gleaner.sources.records import (csv_header_fields, infer_text_types, pages_of, parse_csv_records,
-                                     parse_json_records, records_of)
+from gleaner.sources.records import (csv_header_fields, dead_letters, infer_text_types, parse_csv_records,
+                                     parse_json_records, records_of, request_outcomes)
 from gleaner.session import checkpointed
 from gleaner.spec import ArrayJoin, Column, CrsReproject
+from gleaner.suite.fixtures import pages_of
 from gleaner.suite.registry import register, table
 
 PAGE = 100
@@ -42,6 +43,56 @@ def q_parse_json_records(spark, sf):
     return out.withColumn("shipped_at", F.col("shipped_at").cast("timestamp_ntz"))
 
 
+def odd_json_bodies(spark, sf):
+    """Orders whose records a strict parser refuses here and there: a repeated
+    key (the last one counts), a NaN, and texts that are broken."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    key, price = F.col("o_orderkey").cast("string"), F.col("o_totalprice").cast("string")
+    record = (F.when(F.col("o_orderkey") % 97 == 0, F.concat(F.lit('{"k": 0, "p": '), price, F.lit(', "k": '), key, F.lit("}")))
+              .when(F.col("o_orderkey") % 101 == 0, F.concat(F.lit('{"k": '), key, F.lit(', "p": NaN}')))
+              .when(F.col("o_orderkey") % 103 == 0, F.concat(F.lit('{"k": '), key, F.lit(', "p": , "s": "}]\\""}')))
+              .otherwise(F.concat(F.lit('{"k": '), key, F.lit(', "p": '), price, F.lit(', "s": "a, ]} \\" b"}'))))
+    pages = pages_of(o.select("o_orderkey", record.alias("line")), PAGE, ["o_orderkey"])
+    body = F.concat(F.lit('{"n": {"x": [1, 2]}, "rows": ['),
+                    F.array_join(F.transform("rows", lambda r: r["line"]), ", "), F.lit(']}'))
+    return pages.select(F.col("page").alias("req_idx"), body.alias("body"))
+
+
+@register("parse_json_bad_records", """
+SELECT CASE WHEN o_orderkey % 97 = 0 OR o_orderkey % 101 = 0 OR o_orderkey % 103 <> 0 THEN 'record' ELSE 'dead letter' END AS kind,
+       CASE WHEN o_orderkey % 97 = 0 OR o_orderkey % 101 = 0 OR o_orderkey % 103 <> 0 THEN o_orderkey END AS order_key,
+       CASE WHEN o_orderkey % 97 = 0 THEN o_totalprice WHEN o_orderkey % 101 = 0 OR o_orderkey % 103 = 0 THEN NULL
+            ELSE o_totalprice END AS price
+FROM orders
+""")
+def q_parse_json_bad_records(spark, sf):
+    """A bad record costs only itself: all others of its response come out."""
+    parsed = checkpointed(parse_json_records(checkpointed(odd_json_bodies(spark, sf)), "rows"))
+    good = project_schema(records_of(parsed), [Column("order_key", "k", "integer"), Column("price", "p", "float")], keep=())
+    return good.select(F.lit("record").alias("kind"), "order_key", "price").unionByName(
+        dead_letters(parsed).select(F.lit("dead letter").alias("kind"), F.lit(None).cast("bigint").alias("order_key"),
+                                    F.lit(None).cast("double").alias("price")))
+
+
+@register("request_outcomes", """
+WITH r AS (SELECT doc_id % 50 AS req_idx, doc_id, lang FROM documents),
+flagged AS (SELECT req_idx, doc_id % 7 = 0 AS bad, req_idx % 11 = 3 AS failed FROM r)
+SELECT req_idx, CASE WHEN bool_or(failed) THEN 'HTTP 503 from documents' END AS error,
+       count(*) FILTER (WHERE NOT failed AND NOT bad) AS n_rows, count(*) FILTER (WHERE NOT failed AND bad) AS n_bad
+FROM flagged GROUP BY req_idx
+""")
+def q_request_outcomes(spark, sf):
+    """Good and bad records per request, and requests that failed whole."""
+    d = table(spark, sf, "documents")
+    record = F.when(F.col("doc_id") % 7 == 0, F.concat(F.lit('{"doc_id": "'), F.col("doc_id").cast("string"), F.lit('}'))) \
+        .otherwise(F.to_json(F.struct("doc_id", "text")))
+    per = d.groupBy((F.col("doc_id") % 50).alias("req_idx")).agg(F.collect_list(record).alias("r"))
+    failed = F.col("req_idx") % 11 == 3
+    bodies = per.select("req_idx", F.when(~failed, F.concat(F.lit("["), F.array_join("r", ","), F.lit("]"))).alias("body"),
+                        F.when(failed, F.lit("HTTP 503 from documents")).alias("error"))
+    return request_outcomes(parse_json_records(bodies))
+
+
 def csv_bodies(spark, sf):
     li = table(spark, sf, "lineitem")
     note = F.concat(F.lit('line "'), F.col("l_linenumber").cast("string"), F.lit('", flag '), F.col("l_returnflag"))
@@ -70,6 +121,44 @@ def q_parse_csv_records(spark, sf):
     return recs.select(*[F.try_variant_get("record", f"$['{n}']", t).alias(n) for n, t in types])
 
 
+def csv_layouts(spark, sf):
+    """Customers as CSV of two layouts: a blank first line, an empty and a
+    repeated header name, cells with line breaks, quotes and commas, records
+    with a surplus cell."""
+    c = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
+    key, segment = F.col("c_custkey").cast("string"), F.col("c_mktsegment")
+    note = F.concat(F.lit('"'), segment, F.lit(', ""x""\nline '), key, F.lit('"'))
+    cells = [key, F.col("c_nationkey").cast("string"), note, segment]
+    line = F.when(F.col("c_custkey") % 89 == 0, F.concat_ws(",", *cells, F.lit("surplus"))).otherwise(F.concat_ws(",", *cells))
+    pages = pages_of(c.select("c_custkey", line.alias("line")), PAGE, ["c_custkey"])
+    head = F.when(F.col("page") % 2 == 0, "\n \nkey,,note,key").otherwise("\ufeffkey,nation,note,segment")
+    lines = F.array_join(F.transform("rows", lambda r: r["line"]), "\n")
+    body = F.concat(head, F.lit("\n"), lines, F.lit("\n"))
+    return pages.select(F.col("page").alias("req_idx"),
+                        F.when(F.col("page") % 3 == 0, F.replace(body, F.lit("\n"), F.lit("\r\n"))).otherwise(body).alias("body"))
+
+
+@register("parse_csv_layouts", """
+SELECT CASE WHEN c_custkey % 89 = 0 THEN 'dead letter' ELSE 'record' END AS kind,
+       CASE WHEN c_custkey % 89 <> 0 THEN c_custkey END AS custkey,
+       CASE WHEN c_custkey % 89 <> 0 THEN CAST(c_nationkey AS BIGINT) END AS nation,
+       CASE WHEN c_custkey % 89 <> 0 THEN c_mktsegment || ', "x"' || chr(10) || 'line ' || c_custkey END AS note,
+       CASE WHEN c_custkey % 89 <> 0 THEN c_mktsegment END AS segment
+FROM customer
+""")
+def q_parse_csv_layouts(spark, sf):
+    parsed = checkpointed(parse_csv_records(checkpointed(csv_layouts(spark, sf))))
+
+    def cell(*names):
+        return F.coalesce(*[F.try_variant_get("record", f"$['{n}']", "string") for n in names])
+
+    good = records_of(parsed).select(
+        F.lit("record").alias("kind"), cell("key").cast("bigint").alias("custkey"),
+        cell("nation", "Unnamed: 1").cast("bigint").alias("nation"), cell("note").alias("note"),
+        cell("segment", "key.1").alias("segment"))
+    return good.unionByName(dead_letters(parsed).select(F.lit("dead letter").alias("kind")), allowMissingColumns=True)
+
+
 @register("schema_inferred", """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
        strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.000') AS o_orderdate, o_orderpriority

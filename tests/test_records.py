@@ -70,7 +70,7 @@ def test_csv_inference_with_known_fields(spark):
 
 
 def test_pages_cover_rows_once_and_repeat_after_a_shuffle(spark):
-    from gleaner.sources.records import pages_of
+    from gleaner.suite.fixtures import pages_of
 
     df = spark.range(0, 2000, numPartitions=5).select(F.col("id"), (F.col("id") % 3).alias("hot")) \
         .repartition(4, "hot")  # one hot key per partition, input order after a shuffle
@@ -83,3 +83,101 @@ def test_pages_cover_rows_once_and_repeat_after_a_shuffle(spark):
     assert all(len(p) <= 100 for p in first)
     assert sorted(i for p in first for i in p) == list(range(2000))
     assert cut(pages) == first
+
+
+def _records(spark, body, path=None):
+    """(good records as text by position, errors by position, request error)."""
+    bodies = spark.createDataFrame([(0, body)], "req_idx bigint, body string")
+    out = parse_json_records(bodies, path).select("pos", F.to_json("record").alias("r"), "error").collect()
+    return ({r["pos"]: r["r"] for r in out if r["pos"] is not None and r["error"] is None},
+            {r["pos"]: r["error"] for r in out if r["pos"] is not None and r["error"] is not None},
+            next((r["error"] for r in out if r["pos"] is None), None))
+
+
+def test_a_bad_record_costs_only_itself(spark):
+    good, bad, err = _records(spark, '{"d": [{"a": 1}, {"a": oops}, {"a": "x, ]} \\" y"}, {"b": [1, {}], "c": , }, {"a": 3}]}', "d")
+    assert good == {0: '{"a":1}', 2: '{"a":"x, ]} \\" y"}', 4: '{"a":3}'} and err is None
+    assert set(bad) == {1, 3} and all("not valid JSON" in e for e in bad.values())
+
+
+def test_nan_and_repeated_keys_are_records(spark):
+    good, bad, err = _records(spark, '[{"a": NaN, "b": -Infinity, "c": 1}, {"k": 1, "k": 2}]')
+    assert good == {0: '{"a":null,"b":null,"c":1}', 1: '{"k":2}'} and not bad and err is None
+    assert _records(spark, '{"a": NaN}')[0] == {0: '{"a":null}'}
+    assert _records(spark, '{"d": [1, NaN], "d": [{"z": NaN}]}', "d")[0] == {0: '{"z":null}'}  # the last one's value
+
+
+@pytest.mark.parametrize("body,path,good,bad,error", [
+    ('[{"a": 1}, {"a": 2', None, {0: '{"a":1}'}, {1}, None),
+    ('[{"a": 1}', None, {0: '{"a":1}'}, {1}, None),
+    ('[{"a": NaN}, }, {"a": 2}]', None, {0: '{"a":null}', 2: '{"a":2}'}, {1}, None),
+    ('[{"a": 1}, {"a": "open}, {"a": 2, "t": "x"}, {"a": "open}, {"a": 3}]', None,
+     {0: '{"a":1}', 2: '{"a":2,"t":"x"}', 4: '{"a":3}'}, {1, 3}, None),
+    ('[{"a": "open}, {"a": "open}, {"a": 3}, {"a": "x", "b": [1, {"c": 2}], }]', None, {2: '{"a":3}'}, {0, 1, 3}, None),
+    ('[{"a": 1}, {"a": "open}]', None, {0: '{"a":1}'}, {1}, None),
+    ('{"x": NaN, "d": [{"a": 1}]}', "d", {0: '{"a":1}'}, set(), None),
+    ('{"x": NaN}', "d", {}, set(), None),
+    ('{"x": NaN, "d": 5}', "d.e", {}, set(), "at key 'e'"),
+    ('[{"x": NaN}]', "d", {}, set(), "omit records_path"),
+    ('{"x": NaN, "d": null}', "d", {}, set(), None),
+    ("{oops", "d", {}, set(), "not valid JSON"),
+    ("", None, {}, set(), "not valid JSON"),
+    ("<html>", None, {}, set(), "not valid JSON"),
+])
+def test_split_bodies(spark, body, path, good, bad, error):
+    got = _records(spark, body, path)
+    assert got[0] == good and set(got[1]) == bad
+    assert (got[2] is None) if error is None else error in got[2]
+
+
+def test_outcomes_count_bad_records_apart(spark):
+    from gleaner.sources.records import dead_letters, request_outcomes
+
+    bodies = spark.createDataFrame([(0, '[{"a": 1}, {"a": x}]', None), (1, None, "HTTP 500"), (2, "[]", None)],
+                                   "req_idx bigint, body string, error string")
+    parsed = parse_json_records(bodies)
+    assert sorted(tuple(r) for r in request_outcomes(parsed).collect()) == [
+        (0, None, 1, 1), (1, "HTTP 500", 0, 0), (2, None, 0, 0)]
+    assert [r["pos"] for r in dead_letters(parsed).collect()] == [1]
+
+
+def test_body_above_a_variants_size():
+    """Split without a parse of the whole."""
+    from gleaner.sources.records import split_elements
+
+    one = '{"t": "' + "x" * (1 << 20) + '"}'
+    texts, errors, error = split_elements("[" + ",".join([one] * 140 + ["{bad"]) + "]", None)
+    assert len(texts) == 141 and errors[:140] == [None] * 140 and errors[140] and error is None
+
+
+def _csv(spark, body):
+    out = parse_csv_records(spark.createDataFrame([(0, body)], "req_idx bigint, body string")) \
+        .select("pos", F.to_json("record").alias("r"), "error").collect()
+    import json
+    return ({r["pos"]: json.loads(r["r"]) for r in out if r["r"] is not None},
+            {r["pos"]: r["error"] for r in out if r["error"] is not None})
+
+
+@pytest.mark.parametrize("body,good,bad", [
+    ('a,b\n1,"x\ny"\n2,z\n', {0: {"a": "1", "b": "x\ny"}, 1: {"a": "2", "b": "z"}}, {}),
+    ('a,b\r\n1,"x\r\n\r\ny ""q"", z"\r\n', {0: {"a": "1", "b": 'x\n\ny "q", z'}}, {}),
+    ('\n  \na,b\n1,2\n', {0: {"a": "1", "b": "2"}}, {}),
+    ('a,,b\n1,2,3\n', {0: {"a": "1", "Unnamed: 1": "2", "b": "3"}}, {}),
+    ('a,b\n1,2,3\n4,5\n', {1: {"a": "4", "b": "5"}}, {0: "3 cells"}),
+    ('a,a,a.1,a\n1,2,3,4\n', {0: {"a": "1", "a.2": "2", "a.1": "3", "a.3": "4"}}, {}),
+    ('﻿a,b\n1\n,""\n', {0: {"a": "1"}, 1: {}}, {}),
+    ('a,b\n1,"open\n2,3\n', {1: {"a": "2", "b": "3"}}, {0: "not closed"}),
+    ('a,b\n5" pipe,x"y\n"q"r,s', {0: {"a": '5" pipe', "b": 'x"y'}, 1: {"a": "qr", "b": "s"}}, {}),
+    ('"a\nb",c\n1,2', {0: {"a\nb": "1", "c": "2"}}, {}),
+    ('', {}, {}), ('\n\n', {}, {}), ('a,b', {}, {}),
+])
+def test_csv_records(spark, body, good, bad):
+    got = _csv(spark, body)
+    assert {k: {n: v for n, v in r.items() if v is not None} for k, r in got[0].items()} == good
+    assert set(got[1]) == set(bad) and all(bad[k] in got[1][k] for k in bad)
+
+
+def test_long_quoted_cells_take_linear_time(spark):
+    body = 'a,b\n' + '1,"' + 'x ""y""\n' * 60_000 + '"\n' + '2,3\n' * 20_000
+    good, bad = _csv(spark, body)
+    assert len(good) == 20_001 and not bad and good[0]["b"].count("\n") == 60_000

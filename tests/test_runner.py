@@ -8,7 +8,8 @@ from gleaner.operators import run_summary
 from gleaner.plans import build_plan, categorical_axis
 from gleaner.runner import run_collector
 from gleaner.sinks.table import VersionedTable
-from gleaner.sources.fetch import RecordedTransport, fetch_http
+from gleaner.sources.fetch import fetch_http
+from gleaner.suite.fixtures import RecordedTransport
 from gleaner.spec import (Auth, Cadence, Categorical, Collector, Column, FunctionSource, HttpSource, Param,
                           RateLimit, ResponseFormat, Staging)
 
