@@ -152,5 +152,3 @@ def strict_cast_text(s: Column, type_: str | None) -> Column:
     return cast_text(s, type_)
 
 
-def any_of(cols: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, cols)

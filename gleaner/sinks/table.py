@@ -27,7 +27,10 @@ import uuid
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructField, StructType
+
+from gleaner.functions.widening import fitted, widened
 
 KEEP_VERSIONS = 2
 
@@ -221,24 +224,23 @@ class VersionedTable:
         """Add files to the current version (creates version 1 if none).
 
         All files of a version share one schema: columns the batch lacks are
-        added as typed NULLs; a batch with new columns is a schema change and
-        writes a new version holding old and new rows.
+        added as typed NULLs; a batch with new columns or wider types is a
+        schema change and writes a new version holding old and new rows.
         """
         cur = self.current_version()
         if cur is None:
             return self.replace(df)
         existing = self.read(cur)
-        have = {f.name: f.dataType for f in existing.schema.fields}
+        schema = widened(existing.schema, df.schema)
         b = self.bucketing()
-        if b is not None or any(c not in have for c in df.columns):
+        if b is not None or schema != StructType([StructField(f.name, f.dataType) for f in existing.schema.fields]):
             # plain files would break the bucket layout: a new version, same layout;
             # the new rows are hash-partitioned like the stored buckets, so the
             # union keeps one partition (one file) per bucket
-            new = df.repartition(b.buckets, *b.columns) if b is not None else df
-            return self.replace(existing.unionByName(new, allowMissingColumns=True), bucket_by=b, after=cur)
-        aligned = df.select(*[(F.col(n).cast(t) if n in df.columns else F.lit(None).cast(t)).alias(n)
-                              for n, t in have.items()])
-        aligned.write.mode("append").parquet(self.data_path(cur))
+            new = fitted(df, schema)
+            new = new.repartition(b.buckets, *b.columns) if b is not None else new
+            return self.replace(fitted(existing, schema).unionByName(new), bucket_by=b, after=cur)
+        fitted(df, schema).write.mode("append").parquet(self.data_path(cur))
         return cur
 
     def _commit(self, version: int, path: str) -> None:

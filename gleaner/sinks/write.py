@@ -10,11 +10,14 @@ import re
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from gleaner.functions.missing import AUDIT_COLUMN, audit_stamp
+from gleaner.functions.widening import fitted, widened
 from gleaner.operators.combine import any_null_key, union_family, upsert_frame
 from gleaner.session import checkpointed, new_scratch
 from gleaner.operators.dedup import dedup_first, dedup_latest_non_null
+from gleaner.sinks.partitioned import PartitionedTable
 from gleaner.sinks.table import Bucketing, VersionedTable, list_tables
 from gleaner.spec import Collector, Merge, Staging
 
@@ -72,6 +75,13 @@ def _upsert_deduplicated(table: VersionedTable, latest: DataFrame, key, n_keys:
         has_null = not latest.filter(any_null_key(latest, key)).isEmpty()
         if has_null and len(keys) > 1:
             in_place = False  # NULL parts of a composite key need the null-safe join (shuffles both sides)
+    if existing is not None:  # types that drifted are widened on both sides
+        plain = latest.drop(*[c for c in HELPERS if c in latest.columns])
+        schema = widened(existing.schema, plain.schema)
+        if any(schema[f.name].dataType != f.dataType for f in existing.schema.fields):
+            existing, in_place = fitted(existing, schema), False
+        latest = fitted(plain, StructType([f for f in schema.fields if f.name.lower() in
+                                           {c.lower() for c in plain.columns}]))
     merged = upsert_frame(existing, latest, key, helper_cols=HELPERS, deduplicated=True,
                           broadcast_keys=broadcast, batch_has_null_key=has_null,
                           buckets=layout.buckets if layout is not None and in_place else None)
@@ -80,7 +90,13 @@ def _upsert_deduplicated(table: VersionedTable, latest: DataFrame, key, n_keys:
     return table.replace(merged, bucket_by=layout, after=base or 0)
 
 
-def append(table: VersionedTable, batch: DataFrame, stamp: bool = False) -> int | None:
+def append(table: VersionedTable | PartitionedTable, batch: DataFrame, stamp: bool = False,
+           batch_id: str | None = None):
+    """Add the run's batch.  Into a partitioned table it is written once and as
+    a partition of its own, which the same ``batch_id`` replaces."""
+    if isinstance(table, PartitionedTable):
+        out = _strip(batch)
+        return table.append(out.withColumn(AUDIT_COLUMN, audit_stamp()) if stamp else out, batch_id)
     if batch.isEmpty():
         return None
     out = _strip(batch)
@@ -175,8 +191,9 @@ def staged_merge(spark: SparkSession, root: str, namespace: str, staging: Stagin
 
 
 def write(spark: SparkSession, collector: Collector, batch: DataFrame, root: str,
-          members: list | None = None, stamp: bool = True) -> dict:
-    """Dispatch a run's batch on the collector's cadence."""
+          members: list | None = None, stamp: bool = True, batch_id: str | None = None) -> dict:
+    """Dispatch a run's batch on the collector's cadence.  ``batch_id`` names
+    an appended batch: a run that is tried again under it adds nothing twice."""
     c = collector.cadence
     ns = collector.table_namespace
     if c.staging is not None:
@@ -185,10 +202,15 @@ def write(spark: SparkSession, collector: Collector, batch: DataFrame, root: str
             res[c.merge.table] = staged_merge(spark, root, ns, c.staging, c.merge, c.primary_key)
         return res
     table = VersionedTable(spark, root, ns, collector.name)
-    if c.strategy == "incremental":
+    parts = PartitionedTable(spark, root, ns, collector.name)
+    if c.strategy == "incremental" and (c.buckets or table.exists()):
         return {collector.name: upsert(table, batch, c.primary_key, stamp, buckets=c.buckets)}
+    if c.strategy == "incremental":
+        if stamp:
+            batch = batch.withColumn(AUDIT_COLUMN, audit_stamp())
+        return {collector.name: parts.upsert(batch, c.primary_key, partitions=c.key_partitions)}
     if c.strategy == "append":
-        return {collector.name: append(table, batch, stamp)}
+        return {collector.name: append(table if table.exists() else parts, batch, stamp, batch_id)}
     if c.strategy == "full_refresh":
         return {collector.name: full_refresh(table, batch, stamp)}
     raise ValueError(f"Unknown strategy '{c.strategy}'")

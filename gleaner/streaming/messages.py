@@ -2,13 +2,16 @@
 
 ``readStream`` (Kafka in production, files in tests) -> ``decode_messages``
 (undecodable text dropped) -> ``project_messages`` (dot paths, strict casts)
--> Parquet file sink with a checkpoint, flushed every ``window_seconds``.
-The checkpoint holds the offsets, so a restarted query resumes where the
-lost one stopped, and the file sink's log keeps readers to committed files.
+-> the warehouse table, a batch every ``window_seconds``.  The checkpoint
+holds the offsets, so a restarted query resumes where the lost one stopped;
+each micro-batch is a partition of the table named by stream and batch id, so
+one that is run again replaces itself.  Batch appends go to the same table.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column as SColumn, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import (BooleanType, DateType, DoubleType, LongType, StringType, StructField, StructType,
@@ -17,7 +20,7 @@ from pyspark.sql.types import (BooleanType, DateType, DoubleType, LongType, Stri
 from gleaner.functions.casts import cast_variant, strict_cast_text
 from gleaner.functions.paths import json_path
 from gleaner.session import shared_dir
-from gleaner.sinks.table import VersionedTable
+from gleaner.sinks.partitioned import PartitionedTable
 from gleaner.spec import Collector, Column, MessageSource
 
 _TYPES = {"string": StringType(), "integer": LongType(), "float": DoubleType(), "boolean": BooleanType(),
@@ -76,16 +79,25 @@ def run_stream(spark: SparkSession, collector: Collector, messages: DataFrame, r
     if collector.cadence.strategy != "append":
         raise ValueError("streaming collectors write with strategy 'append'")
     columns = list(collector.source.schema or [])
-    table = VersionedTable(spark, root, collector.table_namespace, collector.name)
-    if not table.exists():
-        table.create_empty()
+    table = PartitionedTable(spark, root, collector.table_namespace, collector.name)
     out = project_messages(decode_messages(messages), columns)
     checkpoint = checkpoint or shared_dir(spark, "gleaner", "streams", collector.table_namespace, collector.name)
-    writer = (out.writeStream.format("parquet").outputMode("append")
-              .option("checkpointLocation", checkpoint))
+    writer = (out.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+              .foreachBatch(append_batches(table, checkpoint)))
     writer = writer.trigger(availableNow=True) if available_now else \
         writer.trigger(processingTime=f"{collector.window_seconds} seconds")
-    return writer.start(table.location())
+    return writer.start()
+
+
+def append_batches(table: PartitionedTable, checkpoint: str):
+    """foreachBatch sink: a micro-batch becomes a partition of the table, named
+    by the stream (its checkpoint) and the batch id.  Run again after a
+    failure it replaces itself; streams with other checkpoints have other names."""
+    stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        table.append(batch, f"{stream}-{batch_id}")
+    return sink
 
 
 def tumbling_counts(events: DataFrame, ts: str, window_seconds: int, group: list[str], value: str,

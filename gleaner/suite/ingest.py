@@ -9,12 +9,16 @@ from gleaner.functions.paths import json_path
 from gleaner.operators import (anti_join_null_safe, dedup_first, project_schema, union_by_name,
                                upsert_frame)
 from gleaner.session import new_scratch
+from gleaner.sinks.partitioned import PartitionedTable
 from gleaner.sinks.table import Bucketing, VersionedTable
 from gleaner.sinks.write import append, full_refresh, upsert
 from gleaner.spec import Column
 from gleaner.suite.registry import register, table
 
 
+ORDER_BUCKETS = 8
+
+
 def _months(ts):
     return ((F.year(ts) - 1970) * 12 + F.month(ts) - 1).cast("int")
 
@@ -200,12 +204,49 @@ def _seeded_table(spark, sf, name="orders"):
 
 @register("upsert", _UPSERT_SQL)
 def q_upsert(spark, sf):
-    """Stored orders table, then one run's batch upserted: a new table version."""
+    """Stored orders table, then one run's batch upserted: the partitions that
+    its keys fall in are written anew."""
+    t = PartitionedTable(spark, new_scratch(spark, "warehouse"), "shop", "orders")
+    t.upsert(table(spark, sf, "orders"), "o_orderkey", partitions=ORDER_BUCKETS)
+    t.upsert(project_schema(shipment_records(spark, sf), ORDER_UPDATE), "o_orderkey", order=RECORD_ORDER)
+    return t.read()
+
+
+@register("upsert_version", _UPSERT_SQL)
+def q_upsert_version(spark, sf):
+    """The same into a table of versions: a new version of the whole table."""
     t = _seeded_table(spark, sf)
     upsert(t, project_schema(shipment_records(spark, sf), ORDER_UPDATE), "o_orderkey", order=RECORD_ORDER)
     return t.read()
 
 
+@register("upsert_touched", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 4096 = 7 THEN 'X' ELSE o_orderstatus END AS o_orderstatus FROM orders
+""")
+def q_upsert_touched(spark, sf):
+    """A batch of few keys rewrites the partitions they fall in, no others."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    t = PartitionedTable(spark, new_scratch(spark, "warehouse"), "shop", "orders")
+    t.upsert(orders, "o_orderkey", partitions=ORDER_BUCKETS)
+    t.upsert(orders.where("o_orderkey % 4096 = 7").withColumn("o_orderstatus", F.lit("X")), "o_orderkey")
+    return t.read()
+
+
+@register("append_widened", """
+SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS who, CAST(o_totalprice AS DOUBLE) AS amount FROM orders
+UNION ALL SELECT l_orderkey, 'supplier ' || l_suppkey, CAST(l_linenumber AS DOUBLE) FROM lineitem
+""")
+def q_append_widened(spark, sf):
+    """Columns whose type drifts: text into a bigint, a double into an int."""
+    t = PartitionedTable(spark, new_scratch(spark, "warehouse"), "shop", "drift")
+    append(t, table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("o_orderkey"), F.concat(F.lit("supplier "), F.col("l_suppkey").cast("string")).alias("who"),
+        F.col("l_linenumber").cast("int").alias("amount")))
+    append(t, table(spark, sf, "orders").select(
+        "o_orderkey", F.col("o_custkey").alias("who"), F.col("o_totalprice").alias("amount")))
+    return t.read()
+
+
 @register("append", f"""
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
        CAST(NULL AS DATE) AS last_ship FROM orders
@@ -213,7 +254,8 @@ UNION ALL
 SELECT o_orderkey, NULL, o_orderstatus, o_totalprice, NULL, NULL, last_ship FROM ({_BATCH_SQL}) b
 """)
 def q_append(spark, sf):
-    t = _seeded_table(spark, sf)
+    t = PartitionedTable(spark, new_scratch(spark, "warehouse"), "shop", "orders")
+    append(t, table(spark, sf, "orders"))
     append(t, project_schema(shipment_records(spark, sf), ORDER_UPDATE))
     return t.read()
 
@@ -227,9 +269,6 @@ def q_full_refresh(spark, sf):
     return t.read()
 
 
-ORDER_BUCKETS = 8
-
-
 @register("upsert_bucketed", _UPSERT_SQL)
 def q_upsert_bucketed(spark, sf):
     """The upsert into an orders table stored bucketed by key, on the path a

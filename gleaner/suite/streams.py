@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gleaner.session import new_scratch
-from gleaner.sinks.table import VersionedTable
+from gleaner.sinks.partitioned import PartitionedTable
+from gleaner.sinks.write import append
 from gleaner.spec import Cadence, Collector, Column, MessageSource
 from gleaner.streaming import (decode_messages, latest_changelog, project_messages, run_stream,
                                tumbling_counts, write_changelog)
@@ -71,7 +72,28 @@ WHERE event_type <> 'error'
         q = run_stream(spark, coll, event_messages(spark, sf), root,
                        checkpoint=new_scratch(spark, "checkpoint"), available_now=True)
         q.awaitTermination()
-        return VersionedTable(spark, root, "live", "clicks").read()
+        return PartitionedTable(spark, root, "live", "clicks").read()
+
+    @register("stream_and_batch_append", """
+SELECT event_id AS id, event_type AS kind, 'stream' AS via FROM events WHERE event_type <> 'error'
+UNION ALL
+SELECT event_id + 1000000000, event_type, 'batch' FROM events WHERE event_type = 'error'
+""")
+    def q_stream_and_batch_append(spark, sf):
+        """One table fed by a stream and by batches: the stream runs, a batch is
+        appended (and, as a retry, appended again), the stream is started again
+        from its checkpoint; every row is there once."""
+        root, checkpoint = new_scratch(spark, "warehouse"), new_scratch(spark, "checkpoint")
+        coll = Collector("clicks", MessageSource("events", schema=(
+            Column("id", "id", "integer"), Column("kind", "kind", "string"))), Cadence("append"), namespace="live",
+            streaming=True)
+        late = table(spark, sf, "events").where("event_type = 'error'").select(
+            (F.col("event_id") + 1000000000).alias("id"), F.col("event_type").alias("kind"))
+        t = PartitionedTable(spark, root, "live", "clicks")
+        for _ in range(2):
+            run_stream(spark, coll, event_messages(spark, sf), root, checkpoint, available_now=True).awaitTermination()
+            append(t, late, batch_id="late")
+        return t.read().select("id", "kind", F.when(F.col("id") >= 1000000000, "batch").otherwise("stream").alias("via"))
 
     @register("stream_tumbling", """
 SELECT date_trunc('minute', ts) AS window_start, event_type AS kind, count(*) AS n_events,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from gleaner.operators import run_summary
 from gleaner.plans import build_plan, categorical_axis
 from gleaner.runner import run_collector
+from gleaner.sinks.partitioned import PartitionedTable
 from gleaner.sinks.table import VersionedTable
 from gleaner.sources.fetch import fetch_http
 from gleaner.suite.fixtures import RecordedTransport
@@ -73,11 +74,11 @@ def test_run_collector_rest_upsert(spark, root):
     res = run_collector(spark, coll, root, transport=RecordedTransport(rules))
     assert res.n_requests == 3
     assert (res.summary["status"], res.summary["failed_of"]) == ("complete with errors", "1/3")
-    table = VersionedTable(spark, root, "shop", "things").read()
+    table = PartitionedTable(spark, root, "shop", "things").read()
     assert rows(table, "id", "name") == [(1, "a"), (2, "B"), (3, "c")]
     assert "_loaded_at" in table.columns
     again = run_collector(spark, coll, root, transport=RecordedTransport(rules), limit=1)
-    assert again.n_requests == 1 and VersionedTable(spark, root, "shop", "things").read().count() == 3
+    assert again.n_requests == 1 and PartitionedTable(spark, root, "shop", "things").read().count() == 3
 
 
 def test_run_collector_into_bucketed_table(spark, root):
@@ -114,7 +115,7 @@ def test_csv_source_inferred(spark, root):
     body = "id,score,ok\n1,2.5,true\n2,,false\n"
     coll = Collector("csvs", HttpSource("http://api", response=ResponseFormat("csv")), Cadence("append"))
     run_collector(spark, coll, root, transport=RecordedTransport([({}, 200, body)]))
-    t = VersionedTable(spark, root, "csvs", "csvs").read()
+    t = PartitionedTable(spark, root, "csvs", "csvs").read()
     assert dict(t.dtypes)["id"] == "bigint" and dict(t.dtypes)["score"] == "double"
     assert rows(t, "id", "score", "ok") == [(1, 2.5, True), (2, None, False)]
 

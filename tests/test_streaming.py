@@ -3,7 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from gleaner.session import new_scratch
-from gleaner.sinks.table import VersionedTable
+from gleaner.sinks.partitioned import PartitionedTable
 from gleaner.spec import Cadence, Collector, Column, MessageSource
 from gleaner.streaming import (decode_messages, latest_changelog, message_schema, project_messages, publish,
                                run_stream, tumbling_counts, write_changelog)
@@ -44,7 +44,7 @@ def test_stream_equals_batch(spark):
     q = run_stream(spark, coll, spark.readStream.text(folder), root, checkpoint=new_scratch(spark, "t-ck"),
                    available_now=True)
     q.awaitTermination()
-    streamed = VersionedTable(spark, root, "msgs", "msgs").read()
+    streamed = PartitionedTable(spark, root, "msgs", "msgs").read()
     batch = project_messages(decode_messages(spark.read.text(folder)), COLUMNS)
     assert rows(streamed) == rows(batch.select(*streamed.columns))
 
@@ -77,4 +77,30 @@ def test_processing_time_trigger(spark):
         q.processAllAvailable()
     finally:
         q.stop()
-    assert VersionedTable(spark, root, "msgs", "msgs").read().count() == 4
+    assert PartitionedTable(spark, root, "msgs", "msgs").read().count() == 4
+
+
+def test_stream_and_batches_share_a_table(spark):
+    """Stream, batch append, restart with more messages, a batch id run again:
+    all rows once."""
+    from gleaner.sinks.write import append
+    from gleaner.streaming.messages import append_batches
+
+    folder, root, ck = _files(spark), new_scratch(spark, "t-both"), new_scratch(spark, "t-ck3")
+    coll = Collector("msgs", MessageSource("topic", schema=tuple(COLUMNS)), Cadence("append"), streaming=True)
+
+    def run():
+        run_stream(spark, coll, spark.readStream.text(folder), root, checkpoint=ck, available_now=True).awaitTermination()
+
+    run()
+    t = PartitionedTable(spark, root, "msgs", "msgs")
+    extra = spark.createDataFrame([(50, "dee")], "id bigint, name string")
+    append(t, extra, batch_id="b1")
+    append(t, extra, batch_id="b1")
+    spark.createDataFrame([('{"id": 9}',)], "value string").coalesce(1).write.mode("append").text(folder)
+    run()
+    run()
+    assert sorted(r["id"] for r in t.read().collect()) == [1, 2, 3, 4, 9, 50]
+    again = t.read().where("id = 9")
+    append_batches(t, ck)(spark.createDataFrame(again.collect(), again.schema), 1)
+    assert sorted(r["id"] for r in t.read().collect()) == [1, 2, 3, 4, 9, 50]

@@ -123,3 +123,84 @@ def test_tables_of_others_are_neither_used_nor_dropped(spark):
     assert spark.table("shared_ns.t").first()["y"] == 99
     spark.sql("DROP TABLE shared_ns.t")
     spark.sql("DROP DATABASE shared_ns CASCADE")
+
+
+def test_a_table_that_cannot_be_read_stands_only_in_its_own_way(spark):
+    root = new_scratch(spark, "wh-one-bad")
+    VersionedTable(spark, root, "mix", "good").replace(spark.range(3))
+    VersionedTable(spark, root, "mix", "empty").create_empty()
+    w = Warehouse(spark, root)
+    assert w.query("SELECT count(*) AS n FROM mix.good").first()["n"] == 3
+    assert w.query("WITH e AS (SELECT id FROM mix.good WHERE id IN (SELECT max(id) FROM mix.good)) SELECT * FROM e").count() == 1
+    with pytest.raises(Exception):
+        w.query("SELECT * FROM mix.empty")
+
+
+def test_a_foreign_name_stands_only_in_its_own_way(spark):
+    root = new_scratch(spark, "wh-foreign2")
+    for n in ("a", "b"):
+        VersionedTable(spark, root, "fz", n).replace(spark.range(2))
+    Warehouse(spark, root).ensure_namespace("fz")
+    spark.sql("CREATE TABLE fz.a USING parquet AS SELECT 7 AS own")
+    try:
+        w = Warehouse(spark, root)
+        assert w.query("SELECT * FROM fz.b").count() == 2
+        with pytest.raises(ValueError, match="made by others"):
+            w.query("SELECT * FROM fz.a")
+    finally:
+        spark.sql("DROP TABLE fz.a")
+
+
+def test_statements_that_change_tables_raise(spark):
+    root = new_scratch(spark, "wh-dml")
+    t = VersionedTable(spark, root, "dml", "t")
+    t.replace(spark.range(3))
+    w = Warehouse(spark, root)
+    w.query("SELECT * FROM dml.t")
+    for sql in ("INSERT INTO dml.t VALUES (9)", "insert overwrite dml.t select 1", "DROP TABLE dml.t",
+                "WITH x AS (SELECT 1 AS id) INSERT INTO dml.t SELECT * FROM x", "DELETE FROM dml.t", "TRUNCATE TABLE dml.t",
+                "FROM dml.t INSERT INTO dml.t SELECT id", "ALTER TABLE dml.t ADD COLUMNS (x int)", "MERGE INTO dml.t USING dml.t s "
+                "ON s.id = t.id WHEN MATCHED THEN DELETE", "CREATE TABLE x (a int) USING parquet"):
+        with pytest.raises(ValueError, match="change"):
+            w.query(sql)
+    assert t.read().count() == 3
+    spark.sql("DROP TABLE dml.t")  # behind the warehouse's back: the next query registers it again
+    assert w.query("SELECT * FROM dml.t").count() == 3
+
+
+def test_partitioned_tables_are_queried_by_name(spark):
+    from gleaner.sinks.partitioned import PartitionedTable
+
+    root = new_scratch(spark, "wh-parts")
+    t = PartitionedTable(spark, root, "pt", "log")
+    w = Warehouse(spark, root)
+    t.append(spark.createDataFrame([(1, "a")], "id bigint, v string"), "x")
+    assert w.query("SELECT * FROM pt.log").columns == ["id", "v"]
+    t.append(spark.createDataFrame([(2, "b", 5)], "id bigint, v string, extra int"), "y")
+    assert sorted(tuple(r) for r in w.query("SELECT * FROM pt.log").collect()) == [(1, "a", None), (2, "b", 5)]
+    listed = {r["full_name"]: r for r in w.list_tables().collect()}
+    assert listed["pt.log"]["row_count"] == 2 and [c["name"] for c in listed["pt.log"]["columns"]] == ["id", "v", "extra"]
+    plan = w.query("SELECT v FROM pt.log WHERE id = 2")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(id), EqualTo(id,2)]" in plan and "extra" not in plan
+    with pytest.raises(ValueError, match="another name"):
+        w.query("CREATE TABLE pt.log AS SELECT 1 AS x")
+    w.drop_namespace("pt")
+    assert not t.exists() and not spark.catalog.databaseExists("pt")
+
+
+@pytest.mark.parametrize("text,expected", [
+    (None, ("parquet", {})), ("FORMAT CSV, HEADER, DELIMITER '|'", ("csv", {"header": "true", "sep": "|"})),
+    ("format 'json', compression gzip", ("json", {"compression": "gzip"})), ("csv, nullstr ''''", ("csv", {"nullValue": "'"})),
+])
+def test_copy_options(text, expected):
+    from gleaner.catalog.warehouse import copy_options
+
+    assert copy_options(text) == expected
+
+
+@pytest.mark.parametrize("text", ["FORMAT orc", "FORMAT csv, ROW_GROUP_SIZE 5", "csv; drop", "FORMAT"])
+def test_copy_options_that_are_not_known_raise(text):
+    from gleaner.catalog.warehouse import copy_options
+
+    with pytest.raises(ValueError):
+        copy_options(text)
