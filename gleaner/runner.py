@@ -18,7 +18,7 @@ from gleaner.plans.requests import (build_plan, categorical_axis, date_range_axi
                                     request_params)
 from gleaner.sinks.write import write
 from gleaner.sources.fetch import fetch_function, fetch_http, land
-from gleaner.sources.records import (csv_header_fields, infer_text_types, parse_csv_records, parse_json_records,
+from gleaner.sources.records import (csv_header_fields, function_records, infer_text_types, parse_csv_records, parse_json_records,
                                      records_of, request_outcomes)
 from gleaner.spec import Categorical, Collector, Column, DateRange, FunctionSource, HttpSource, MessageSource
 
@@ -63,7 +63,9 @@ def run_collector(spark: SparkSession, collector: Collector, root: str, limit: i
     bodies = land(spark, fetched)
 
     fmt = src.response.format if isinstance(src, HttpSource) else "json"
-    if fmt == "csv":
+    if isinstance(src, FunctionSource):
+        parsed = function_records(bodies)
+    elif fmt == "csv":
         parsed = parse_csv_records(bodies)
     else:
         parsed = parse_json_records(bodies, src.response.records_path if isinstance(src, HttpSource) else None)

@@ -139,14 +139,14 @@ def _member(s: str, at: int, key: str) -> int | None:
     return found
 
 
-def _strict(value):
+def strict_json(value):
     """NaN and infinities as null, which strict JSON has no other word for."""
     if isinstance(value, float):
         return value if value - value == 0 else None
     if isinstance(value, list):
-        return [_strict(x) for x in value]
+        return [strict_json(x) for x in value]
     if isinstance(value, dict):
-        return {k: _strict(x) for k, x in value.items()}
+        return {k: strict_json(x) for k, x in value.items()}
     return value
 
 
@@ -154,7 +154,7 @@ def _one(s: str, start: int, stop: int) -> tuple[str | None, str | None]:
     """(strict JSON text, None) of one element, or (None, why not)."""
     text = s[start:stop].strip(" \t\n\r")
     try:
-        return json.dumps(_strict(json.loads(text)), ensure_ascii=False), None
+        return json.dumps(strict_json(json.loads(text)), ensure_ascii=False), None
     except (ValueError, RecursionError) as e:
         return None, f"record is not valid JSON ({e}): {text[:200]}"
 
@@ -225,6 +225,11 @@ def _splitter(records_path: str | None):
     return F.pandas_udf(run, "texts array<string>, errors array<string>, error string")
 
 
+def function_records(calls: DataFrame) -> DataFrame:
+    """Landed rows of a function source as parsed records."""
+    return calls.select("req_idx", "pos", F.try_parse_json("record").alias("record"), "error")
+
+
 def records_of(parsed: DataFrame) -> DataFrame:
     """Only good records (drops dead letters, and marker rows of requests)."""
     return parsed.filter(F.col("pos").isNotNull() & F.col("error").isNull()).select("req_idx", "pos", "record")

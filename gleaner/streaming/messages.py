@@ -77,7 +77,7 @@ def run_stream(spark: SparkSession, collector: Collector, messages: DataFrame, r
     if not isinstance(collector.source, MessageSource):
         raise ValueError("run_stream needs a MessageSource collector")
     if collector.cadence.strategy != "append":
-        raise ValueError("streaming collectors write with strategy 'append'")
+        raise ValueError(f"a stream only adds rows: strategy 'append', not {collector.cadence.strategy!r}")
     columns = list(collector.source.schema or [])
     table = PartitionedTable(spark, root, collector.table_namespace, collector.name)
     out = project_messages(decode_messages(messages), columns)

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from gleaner.plans import (build_plan, categorical_axis, date_range_axis, parse_duration, parse_override,
+from gleaner.plans import (build_plan, categorical_axis, date_range_axis, duration_days, parse_override,
                            plan_limit, request_params, uncovered_params)
 from gleaner.spec import Categorical, DateRange, Param
 
@@ -13,11 +13,11 @@ def _plan(spark, axes):
 
 
 def test_durations():
-    assert [parse_duration(s) for s in ("1 day", "7 days", "2 weeks", "1 month")] == [1, 7, 14, 30]
+    assert [duration_days(s) for s in ("1 day", "7 days", "2 weeks", "1 month")] == [1, 7, 14, 30]
     with pytest.raises(ValueError):
-        parse_duration("3 fortnights")
+        duration_days("3 fortnights")
     with pytest.raises(ValueError):
-        parse_duration("week")
+        duration_days("week")
 
 
 def test_windows_cut_at_end_and_overlap(spark):
