@@ -3,7 +3,8 @@
 Every cast is total: a value that does not fit gives NULL (``try_*``
 functions), never an error, with ANSI mode left on.  Integers go through a
 double first so '12.9' becomes 12, as a truncating ``int(float(x))`` would.
-Dates and timestamps are parsed from text only; a bare number is not a time.
+Dates and timestamps are read from text by its shape, one pattern per shape;
+numbers and bare times are none.
 """
 
 from __future__ import annotations
@@ -13,9 +14,26 @@ from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
-# Extra patterns tried after Spark's ISO-8601 cast, in order.
-DATE_FORMATS = ("M/d/yyyy", "yyyy/M/d")
-TIMESTAMP_FORMATS = ("M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy", "yyyy/M/d H:mm:ss", "yyyy/M/d")
+_TIME = r"\d{1,2}:\d{2}(:\d{2})?"
+_ZONE = r"(Z|UTC|GMT|[+-]\d{1,2}(:?\d{2})?)"
+
+# The shapes of text that are dates or timestamps, each read by
+# one pattern.  ISO text is read by Spark's own cast.  Nothing else is a time:
+# not a plain number (but eight digits, a compact date) and not a bare time.
+ISO_SHAPE = rf"^\d{{4}}-\d{{1,2}}(-\d{{1,2}}([T ]{_TIME}(\.\d{{1,9}})? ?{_ZONE}?)?)?$"
+TIME_SHAPES = (
+    (rf"^\d{{1,2}}/\d{{1,2}}/\d{{4}}( {_TIME})?$", "M/d/yyyy[ H:mm[:ss]]"),
+    (rf"^\d{{1,2}}/\d{{1,2}}/\d{{4}} {_TIME} ?[AaPp][Mm]$", "M/d/yyyy h:mm[:ss][ ]a"),
+    (rf"^\d{{4}}/\d{{1,2}}/\d{{1,2}}( {_TIME})?$", "yyyy/M/d[ H:mm[:ss]]"),
+    (rf"^\d{{1,2}}-\d{{1,2}}-\d{{4}}( {_TIME})?$", "M-d-yyyy[ H:mm[:ss]]"),
+    (r"^\d{8}$", "yyyyMMdd"),
+    (r"^\d{8}T\d{6}Z?$", "yyyyMMdd'T'HHmmss[X]"),
+    (rf"^[A-Za-z]{{3}} \d{{1,2}}, ?\d{{4}}( {_TIME})?$", "MMM d,[ ]yyyy[ H:mm[:ss]]"),
+    (rf"^[A-Za-z]{{4,9}} \d{{1,2}}, ?\d{{4}}( {_TIME})?$", "MMMM d,[ ]yyyy[ H:mm[:ss]]"),
+    (rf"^\d{{1,2}}[ -][A-Za-z]{{3}}[ -]\d{{4}}( {_TIME})?( GMT| UTC)?$", "d[ ][-]MMM[ ][-]yyyy[ H:mm[:ss]][ z]"),
+    (rf"^\d{{1,2}} [A-Za-z]{{4,9}} \d{{4}}( {_TIME})?( GMT| UTC)?$", "d MMMM yyyy[ H:mm[:ss]][ z]"),
+)
+_WEEKDAY = r"(?i)^(mon|tue|wed|thu|fri|sat|sun)[a-z]*, *"
 
 _INT_TEXT = r"^\s*[+-]?\d{1,18}\s*$"
 _LONG_TEXT = r"^\s*[+-]?\d{19}\s*$"  # may still be a bigint
@@ -64,16 +82,20 @@ def _guarded(s: Column, f: str, parsed: Column) -> Column:
     return F.when(s.rlike(shape), parsed) if shape else parsed
 
 
-def _to_date(s: Column, formats: tuple[str, ...]) -> Column:
-    tries = [s.try_cast("date")]
-    tries += [_guarded(s, f, F.try_to_date(s, f)) for f in formats]
-    return _coalesce(tries)
+def _time_text(s: Column) -> Column:
+    """Without blanks around it and a weekday before it."""
+    return F.regexp_replace(F.trim(s), _WEEKDAY, "")
 
 
-def _to_timestamp(s: Column, formats: tuple[str, ...]) -> Column:
-    tries = [s.try_cast("timestamp")]
-    tries += [_guarded(s, f, F.try_to_timestamp(s, F.lit(f))) for f in formats]
-    return _coalesce(tries)
+def _read_time(s: Column, formats: tuple[str, ...], type_: str) -> Column:
+    """Declared formats first, then the one pattern of the text's shape."""
+    text = _time_text(s)
+    iso = F.regexp_replace(text, r"([+-]\d{2})(\d{2})$", "$1:$2") if type_ == "timestamp" else text
+    out = F.when(text.rlike(ISO_SHAPE), F.when(iso.rlike(r"[T ]"), iso).otherwise(text).try_cast(type_))
+    for shape, pattern in TIME_SHAPES:
+        out = out.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(pattern)).cast(type_))
+    tries = [_guarded(s, f, F.try_to_timestamp(s, F.lit(f)).cast(type_)) for f in formats]
+    return _coalesce([*tries, out])
 
 
 def cast_text(s: Column, type_: str | None, formats: tuple[str, ...] = (), truthy: bool = False) -> Column:
@@ -93,13 +115,23 @@ def cast_text(s: Column, type_: str | None, formats: tuple[str, ...] = (), truth
         if truthy:  # Python truthiness of text: any non-empty string is true
             return F.when(s.isNull(), F.lit(None).cast("boolean")).otherwise(F.length(s) > 0)
         return s.try_cast("boolean")
-    if type_ == "date":
-        return _to_date(s, tuple(formats) + DATE_FORMATS)
-    if type_ == "timestamp":
-        return _to_timestamp(s, tuple(formats) + TIMESTAMP_FORMATS)
+    if type_ in ("date", "timestamp"):
+        return _read_time(s, tuple(formats), type_)
     raise ValueError(f"Unknown column type: '{type_}'")
 
 
+def _integer_of(text: Column, v: Column) -> Column:
+    """JSON true and false are 1 and 0; the texts "true" and "false" are none."""
+    return F.when(text.isin("true", "false"), F.when(F.schema_of_variant(v) == "BOOLEAN", (text == "true").cast("bigint"))) \
+        .otherwise(cast_text(text, "integer"))
+
+
+def _time_of(text: Column, v: Column, type_: str, formats: tuple[str, ...]) -> Column:
+    """A number is no time, also where its digits look like a compact date."""
+    number = text.rlike(r"^\d{8}$") & (F.schema_of_variant(v) != "STRING")
+    return F.when(~number, cast_text(text, type_, formats))
+
+
 def cast_variant(v: Column, type_: str | None, formats: tuple[str, ...] = (), truthy: bool = False) -> Column:
     """Cast a VARIANT value to a declared type (``None`` keeps the variant)."""
     if type_ is None:
@@ -107,7 +139,7 @@ def cast_variant(v: Column, type_: str | None, formats: tuple[str, ...] = (), tr
     if type_ == "string":  # objects and arrays come out as JSON text
         return F.try_variant_get(v, "$", "string")
     if type_ == "integer":
-        return cast_text(F.try_variant_get(v, "$", "string"), "integer")
+        return _integer_of(F.try_variant_get(v, "$", "string"), v)
     if type_ == "float":
         return F.try_variant_get(v, "$", "double")
     if type_ == "boolean":
@@ -115,7 +147,7 @@ def cast_variant(v: Column, type_: str | None, formats: tuple[str, ...] = (), tr
             return cast_text(F.try_variant_get(v, "$", "string"), "boolean", truthy=True)
         return F.try_variant_get(v, "$", "boolean")
     if type_ in ("date", "timestamp"):
-        return cast_text(F.try_variant_get(v, "$", "string"), type_, formats)
+        return _time_of(F.try_variant_get(v, "$", "string"), v, type_, formats)
     raise ValueError(f"Unknown column type: '{type_}'")
 
 
@@ -134,7 +166,12 @@ def cast_variant_at(record: Column, path: str, type_: str | None, formats: tuple
         return F.try_variant_get(record, p, "double")
     if type_ == "boolean" and not truthy:
         return F.try_variant_get(record, p, "boolean")
-    return cast_text(F.try_variant_get(record, p, "string"), type_, formats, truthy)
+    text, value = F.try_variant_get(record, p, "string"), F.try_variant_get(record, p, "variant")
+    if type_ == "integer":
+        return _integer_of(text, value)
+    if type_ in ("date", "timestamp"):
+        return _time_of(text, value, type_, formats)
+    return cast_text(text, type_, formats, truthy)
 
 
 # Fixed value: the ISO shapes a message stream accepts for timestamps (UTC,

@@ -108,12 +108,18 @@ SELECT l_orderkey, l_linenumber,
   CASE WHEN l_linenumber = 3 THEN NULL ELSE l_extendedprice END AS price,
   CASE l_returnflag WHEN 'R' THEN true WHEN 'A' THEN false ELSE NULL END AS returned,
   CAST(l_shipdate AS DATE) AS ship_date,
-  CASE WHEN l_linenumber = 4 THEN NULL ELSE l_shipdate END AS ship_ts
+  CASE WHEN l_linenumber = 4 THEN NULL ELSE l_shipdate END AS ship_ts,
+  CASE WHEN l_orderkey % 11 IN (8, 9, 10) THEN NULL ELSE l_shipdate END AS any_ts,
+  CASE WHEN l_orderkey % 11 IN (8, 9, 10) THEN NULL ELSE CAST(l_shipdate AS DATE) END AS any_date
 FROM lineitem
 """)
 def q_cast_types(spark, sf):
     li = table(spark, sf, "lineitem")
     n = F.col("l_linenumber")
+    # every shape of text that is a time, and three that are none
+    shapes = ["yyyyMMdd", "MMM d, yyyy", "MMMM d, yyyy H:mm", "d MMM yyyy H:mm:ss", "yyyy/M/d", "M-d-yyyy", "M/d/yyyy h:mm a",
+              "EEE, dd MMM yyyy HH:mm:ss 'GMT'", "yyyy", "HH:mm", "yyyyMMddHHmm"]
+    any_time = F.coalesce(*[F.when(F.col("l_orderkey") % 11 == i, F.date_format("l_shipdate", f)) for i, f in enumerate(shapes)])
     texts = li.select(
         "l_orderkey", "l_linenumber",
         F.when(n == 2, F.lit("n/a")).when(n == 5, F.lit("1e3"))
@@ -125,6 +131,7 @@ def q_cast_types(spark, sf):
          .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd")).alias("ship_date"),
         F.when(n == 4, F.lit("1/32/2024 10:00"))
          .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")).alias("ship_ts"),
+        any_time.alias("any_ts"),
     )
     return texts.select(
         "l_orderkey", "l_linenumber",
@@ -133,6 +140,8 @@ def q_cast_types(spark, sf):
         cast_text(F.col("returned"), "boolean").alias("returned"),
         cast_text(F.col("ship_date"), "date").alias("ship_date"),
         cast_text(F.col("ship_ts"), "timestamp").cast("timestamp_ntz").alias("ship_ts"),
+        cast_text(F.col("any_ts"), "timestamp").cast("timestamp_ntz").alias("any_ts"),
+        cast_text(F.col("any_ts"), "date").alias("any_date"),
     )
 
 

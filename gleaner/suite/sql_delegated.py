@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gleaner.suite.registry import register
+from gleaner.operators.overlap import overlap_join
+from gleaner.suite.registry import register, table
 from gleaner.suite.warehouse_sql import warehouse
 
 
@@ -326,3 +327,85 @@ def q_asof_join(spark, sf):
         "user_id", F.col("ts").alias("last_view_ts"), F.col("value").alias("last_view_value"), "event_id")
     return asof_join(purchases, views, "user_id", "ts", "last_view_ts", ["last_view_ts", "last_view_value"],
                      bucket_seconds=3600, strict=True, tie_break=["event_id"])
+
+
+_sql("sql_join_right", """
+SELECT o.o_orderkey, o.o_totalprice, c.c_custkey, c.c_mktsegment
+FROM {p}orders o RIGHT JOIN {p}customer c ON c.c_custkey = o.o_custkey AND o.o_orderstatus = 'P'
+""")
+
+_sql("sql_join_full", """
+SELECT s.s_suppkey, s.s_name, p.p_partkey, p.p_brand
+FROM (SELECT * FROM {p}supplier WHERE s_suppkey % 3 <> 0) s FULL JOIN (SELECT * FROM {p}part WHERE p_partkey % 5 <> 0) p
+  ON p.p_partkey = s.s_suppkey * 2
+""")
+
+_sql("sql_join_lateral", """
+SELECT o.o_orderkey, t.l_linenumber, t.l_extendedprice, t.place
+FROM {p}orders o, LATERAL (
+  SELECT l.l_linenumber, l.l_extendedprice, l.l_extendedprice > 1000 AS place FROM {p}lineitem l
+  WHERE l.l_orderkey = o.o_orderkey ORDER BY l.l_extendedprice DESC, l.l_linenumber, l.l_partkey, l.l_suppkey LIMIT 2) t
+WHERE o.o_orderpriority = '1-URGENT'
+""")
+
+_sql("sql_scalar_array", """
+SELECT doc_id, size(w) AS n_words, size(array_distinct(w)) AS n_distinct, element_at(w, 1) AS first_word,
+       element_at(w, -1) AS last_word, array_contains(w, 'the') AS has_the, array_join(slice(w, 1, 3), '|') AS head,
+       size(filter(w, x -> length(x) > 7)) AS n_long, aggregate(w, 0, (a, x) -> a + length(x)) AS chars,
+       array_join(transform(slice(w, 1, 2), x -> concat(x, '!')), ' ') AS loud, array_join(array_sort(slice(w, 1, 4)), ' ') AS sorted
+FROM (SELECT doc_id, split(coalesce(text, ''), ' ') AS w FROM {p}documents)
+""", """
+SELECT doc_id, CAST(len(w) AS INTEGER) AS n_words, CAST(len(list_distinct(w)) AS INTEGER) AS n_distinct, w[1] AS first_word,
+       w[-1] AS last_word, list_contains(w, 'the') AS has_the, array_to_string(w[1:3], '|') AS head,
+       CAST(len(list_filter(w, lambda x: length(x) > 7)) AS INTEGER) AS n_long,
+       CAST(list_sum(list_transform(w, lambda x: length(x))) AS INTEGER) AS chars,
+       array_to_string(list_transform(w[1:2], lambda x: x || '!'), ' ') AS loud,
+       array_to_string(list_sort(w[1:4]), ' ') AS sorted
+FROM (SELECT doc_id, string_split(coalesce(text, ''), ' ') AS w FROM {p}documents)
+""")
+
+_sql("sql_scalar_map", """
+SELECT o_orderkey, m['status'] AS status, m['absent'] AS absent, size(m) AS n, array_join(array_sort(map_keys(m)), ',') AS names,
+       array_join(map_values(map_filter(m, (k, v) -> k = 'prio')), ',') AS prio, map_contains_key(m, 'status') AS has
+FROM (SELECT o_orderkey, map('status', o_orderstatus, 'prio', o_orderpriority) AS m FROM {p}orders)
+""", """
+SELECT o_orderkey, m['status'] AS status, m['absent'] AS absent, CAST(cardinality(m) AS INTEGER) AS n,
+       array_to_string(list_sort(map_keys(m)), ',') AS names, m['prio'] AS prio, map_contains(m, 'status') AS has
+FROM (SELECT o_orderkey, MAP {{'status': o_orderstatus, 'prio': o_orderpriority}} AS m FROM {p}orders)
+""")
+
+
+@register("overlap_join", """
+WITH open AS (SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS since,
+                     CAST(o_orderdate AS DATE) + CAST(o_orderkey % 200 AS INTEGER) AS until FROM orders)
+SELECT a.o_orderkey AS first_order, b.o_orderkey AS second_order, greatest(a.since, b.since) AS both_since
+FROM open a JOIN open b ON a.o_custkey = b.o_custkey AND a.since <= b.until AND b.since <= a.until
+WHERE a.o_orderkey < b.o_orderkey
+""")
+def q_overlap_join(spark, sf):
+    """Orders of one customer that were open at the same time."""
+    o = table(spark, sf, "orders").select(
+        "o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("since"),
+        F.date_add(F.col("o_orderdate").cast("date"), (F.col("o_orderkey") % 200).cast("int")).alias("until"))
+    other = o.select(F.col("o_orderkey").alias("second_order"), "o_custkey", F.col("since").alias("since2"),
+                     F.col("until").alias("until2"))
+    pairs = overlap_join(o, other, ("since", "until"), ("since2", "until2"), 128, ("o_custkey",))
+    return pairs.where("o_orderkey < second_order").select(
+        F.col("o_orderkey").alias("first_order"), "second_order", F.greatest("since", "since2").alias("both_since"))
+
+
+@register("theta_join", """
+WITH outage AS (SELECT event_id AS outage, ts AS down, ts + to_seconds(CAST(value * 4 AS BIGINT)) AS up
+                FROM events WHERE event_type = 'error'),
+visit AS (SELECT event_id, ts, ts + to_seconds(30) AS gone FROM events WHERE event_type <> 'error')
+SELECT outage, count(*) AS n_visits, min(event_id) AS first_visit FROM outage JOIN visit ON down <= gone AND ts <= up GROUP BY outage
+""")
+def q_theta_join(spark, sf):
+    """Visits that fall into an outage: intervals alone, no key."""
+    e = table(spark, sf, "events")
+    outage = e.where("event_type = 'error'").select(
+        F.col("event_id").alias("outage"), F.col("ts").alias("down"),
+        F.timestamp_add("SECOND", F.round(F.col("value") * 4).cast("bigint"), F.col("ts")).alias("up"))
+    visit = e.where("event_type <> 'error'").select("event_id", "ts", F.timestamp_add("SECOND", F.lit(30), F.col("ts")).alias("gone"))
+    return overlap_join(outage, visit, ("down", "up"), ("ts", "gone"), 64).groupBy("outage").agg(
+        F.count(F.lit(1)).alias("n_visits"), F.min("event_id").alias("first_visit"))
