@@ -47,7 +47,7 @@ def table(spark, sf_dir: str, name: str):
     return read_spread(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", [key] if key else None)
 
 
-SUITE_MODULES = ("ingest", "plans", "merge", "warehouse_sql", "sql_delegated", "bodies", "fetching", "streams")
+SUITE_MODULES = ("ingest", "plans", "merge", "warehouse_sql", "sql_delegated", "bodies", "fetching", "runs", "streams")
 
 
 def load_suite():
