@@ -12,11 +12,10 @@ from __future__ import annotations
 import hashlib
 import re
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import (ArrayType, LongType, StringType, StructField, StructType)
 
+from gleaner.catalog.listing import folder_tables, listing, root_tables
 from gleaner.sinks.partitioned import PART, PartitionedTable, partitioned_tables
 from gleaner.sinks.table import (VersionedTable, _FS, bucketed_table_ddl, bucketing_at, catalog_db,
                                  list_tables)
@@ -219,49 +218,11 @@ class Warehouse:
         """namespace, table, full_name, row_count, columns, location, layer, error.
 
         A table that cannot be read is listed with row_count -1 and the error.
-        Row counts of all readable tables come from one Spark job (Parquet
-        counts read footers only); one row per table reaches the driver."""
-        rows, readable = [], []
-        for e in self.entries():
-            try:
-                df = self.spark.read.parquet(e.location) if not e.parts else \
-                    self.spark.read.option("mergeSchema", "true").parquet(e.location).drop(PART)
-                readable.append((e, df, [(f.name, f.dataType.simpleString()) for f in df.schema.fields]))
-            except Exception as exc:  # noqa: BLE001 - listed, not raised
-                rows.append((e, -1, [], str(exc).splitlines()[0]))
-        for (e, _, cols), (n, err) in zip(readable, self._row_counts([df for _, df, _ in readable])):
-            rows.append((e, n, cols if err is None else [], err))
-        rows = [(e.namespace, e.table, f"{e.namespace}.{e.table}", n, cols, e.location, e.layer, err)
-                for e, n, cols, err in sorted(rows, key=lambda r: (r[0].namespace, r[0].table))]
-        schema = StructType([
-            StructField("namespace", StringType()), StructField("table", StringType()),
-            StructField("full_name", StringType()), StructField("row_count", LongType()),
-            StructField("columns", ArrayType(StructType([StructField("name", StringType()),
-                                                          StructField("type", StringType())]))),
-            StructField("location", StringType()), StructField("layer", StringType()),
-            StructField("error", StringType()),
-        ])
-        return self.spark.createDataFrame(rows, schema)
-
-    @staticmethod
-    def _row_counts(frames: list[DataFrame]) -> list[tuple[int, str | None]]:
-        """(count, error) per frame.  One job counts them all; if a file fails
-        while being read, the tables are counted one by one to name it."""
-        if not frames:
-            return []
-        per = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "n")
-               for i, df in enumerate(frames)]
-        try:
-            got = {r["i"]: r["n"] for r in reduce(DataFrame.unionAll, per).collect()}
-            return [(got[i], None) for i in range(len(frames))]
-        except Exception:  # noqa: BLE001 - narrowed below
-            out = []
-            for df in frames:
-                try:
-                    out.append((df.count(), None))
-                except Exception as exc:  # noqa: BLE001 - listed, not raised
-                    out.append((-1, str(exc).splitlines()[0]))
-            return out
+        Made by Spark jobs over files and footers; the driver lists nothing."""
+        sources = [folder_tables(self.spark, ns, folder) for ns, folder in self.flat.items()]
+        sources += [root_tables(self.spark, root, layer, rank) for rank, (root, layer) in
+                    enumerate(((self.root, "local"), (self.remote_root, "remote")), 1) if root is not None]
+        return listing(self.spark, sources)
 
     def describe(self, full_name: str) -> list[tuple[str, str]]:
         return [(f.name, f.dataType.simpleString()) for f in self.table(full_name).schema.fields]

@@ -204,3 +204,29 @@ def test_copy_options_that_are_not_known_raise(text):
 
     with pytest.raises(ValueError):
         copy_options(text)
+
+
+def test_listing_of_many_tables_is_a_few_jobs(spark, tmp_path):
+    """Tables by the hundred, local and remote, an empty one and a broken one:
+    no job or listing per table."""
+    import os
+    import shutil
+
+    root, remote = str(tmp_path / "local"), str(tmp_path / "remote")
+    VersionedTable(spark, root, "ns0", "t0").replace(spark.range(5).coalesce(1))
+    VersionedTable(spark, remote, "ns0", "t0").replace(spark.range(7).withColumn("x", F.lit(1.5)).coalesce(1))
+    for i in range(1, 300):
+        shutil.copytree(f"{root}/ns0/t0", f"{root}/ns{i % 3}/t{i}")
+    VersionedTable(spark, root, "ns1", "empty").create_empty()
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("listing-jobs", "listing")
+    try:
+        listed = {r["full_name"]: r for r in Warehouse(spark, root, remote).list_tables().collect()}
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(listed) == 301 and len(tracker.getJobIdsForGroup("listing-jobs")) < 40
+    assert (listed["ns0.t0"]["row_count"], listed["ns0.t0"]["layer"]) == (7, "remote")
+    assert [tuple(c) for c in listed["ns0.t0"]["columns"]] == [("id", "bigint"), ("x", "double")]
+    assert listed["ns1.t4"]["row_count"] == 5 and listed["ns1.empty"]["row_count"] == -1
+    assert os.path.isdir(listed["ns2.t5"]["location"].replace("file:", ""))
+    assert Warehouse(spark, str(tmp_path / "nothing")).list_tables().count() == 0
