@@ -32,7 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from gleaner.llm.common import documents, lower_ascii, partitions, quoted, saved, utf8
+from gleaner.llm.common import documents, lower_ascii, partitions, quoted, saved, saved_even, utf8
 
 ORDERS = 2  # global orders whose filters are intersected
 KEYS = 6  # min-hash keys per class for the stars
@@ -395,7 +395,7 @@ def _texts_of(docs: DataFrame, sets: DataFrame):
 
 def _verify(pairs: DataFrame, texts, words: int) -> DataFrame:
     """The pairs (a, b) with na, nb (set sizes) and both (common n-grams)."""
-    pairs = saved(pairs.select("a", "b"), "jaccard-pairs")
+    pairs = saved_even(pairs.select("a", "b"), "jaccard-pairs")  # distinct ones
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("class_id")).distinct()
     text = texts(wanted, words)
     full = (pairs.join(text.select(F.col("class_id").alias("a"), F.col("text").alias("ta")), "a")
@@ -592,8 +592,8 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component) of the nodes of ``edges`` (a, b), by alternating large
     and small stars; component is the smallest node.  Each round is written
     below the shared folder, and only two sums come to the driver."""
-    e = saved(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-              .where("u <> v").distinct(), "components")
+    e = saved_even(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+                   .where("u <> v").distinct(), "components")
     before = None
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -603,7 +603,7 @@ def components(edges: DataFrame) -> DataFrame:
         joined = large.join(low, "u")
         small = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             low.select("u", F.col("m").alias("v"))).distinct()
-        e = saved(small, "components")
+        e = saved_even(small, "components")
         now = tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == before:
             break
