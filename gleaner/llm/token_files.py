@@ -30,10 +30,12 @@ files, unpacks block after block and yields one row per document.
 
 from __future__ import annotations
 
+import json
 import struct
 import uuid
 import zlib
 from functools import lru_cache
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +50,7 @@ PERCENTILE = 0.9
 SHARD_IDS = 1_000_000
 END_ID = 2
 CACHE_WORDS = 300_000  # words in each of a Python worker's two cache generations
+LATIN_END = 0x250  # code points below are Latin letters of long-settled properties
 CACHE_BYTES = 64  # longer words are encoded, not held
 _HEAD = struct.Struct("<4sIQQQ")
 
@@ -64,6 +67,13 @@ def pack_ids(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
+def _leaves_lower_case(tokenizer) -> bool:
+    """Whether the normalizer only composes, folds white space and lower-cases."""
+    own = json.loads(tokenizer.to_str()).get("normalizer") or {"type": "Sequence", "normalizers": []}
+    steps = own["normalizers"] if own["type"] == "Sequence" else [own]
+    return all(x["type"] in ("NFC", "Lowercase") or x["type"] == "Replace" and x["pattern"] == {"Regex": r"\s+"} for x in steps)
+
+
 class Encoder:
     """Ids of a text as little-endian u32 bytes, with the tokenizers library.
 
@@ -80,6 +90,7 @@ class Encoder:
         self.tokenize = t.model.tokenize
         self.cache = Recent(CACHE_WORDS)
         self.special = [x.content for x in t.get_added_tokens_decoder().values()]
+        self.first = sorted({x[0] for x in self.special if x})
         cut = t.pre_tokenizer.pre_tokenize_str if t.pre_tokenizer else (lambda x: [(x, None)])
         self.cut = cut
         self.normal = t.normalizer.normalize_str if t.normalizer else str
@@ -91,6 +102,11 @@ class Encoder:
         self.folds = self.by_words and self.normal("AZ") == "az"
         letters = "abcdefghijklmnopqrstuvwxyz"
         self.letters = self.by_words and [p for p, _ in cut(self.normal(letters))] == [letters]
+        # Latin letters with marks, where the normalizer is known to leave composed lower-case text alone
+        latin = "".join(c for c in map(chr, range(0x80, LATIN_END)) if c.isalpha() and c.lower() == c and is_normalized("NFC", c))
+        # and the pre-tokenizer keeps a word of them in one piece, letter by letter
+        self.pieces = {ord(c): "".join(p for p, _ in cut(c)) for c in latin}
+        self.latin = self.letters and _leaves_lower_case(t) and [p for p, _ in cut(latin)] == [latin.translate(self.pieces)]
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -102,10 +118,14 @@ class Encoder:
             if last.isascii() and last.isalpha():
                 return self.word(core) + self.word(word[-1:])
         text = word.decode()
-        if any(s in text for s in self.special):
+        if any(c in text for c in self.first) and any(s in text for s in self.special):
             return self._whole(text)
-        if self.letters and text.isascii() and text.isalpha() and text.islower():  # one piece as it is
-            return pack_ids([x.id for x in self.tokenize(text)])
+        if self.letters and text.isalpha():  # one piece as it is
+            if text.isascii():
+                if text.islower():
+                    return pack_ids([x.id for x in self.tokenize(text)])
+            elif self.latin and text == text.lower() and max(text) < chr(LATIN_END) and is_normalized("NFC", text):
+                return pack_ids([x.id for x in self.tokenize(text.translate(self.pieces))])
         return pack_ids([x.id for p, _ in self.cut(self.normal(text)) for x in self.tokenize(p)])
 
     def word(self, word: bytes) -> bytes:
