@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 
 from gleaner.llm.centroid_clusters import op11_centroid_clusters
+from gleaner.llm.clusters_sql import CLUSTERS_SQL
 from gleaner.llm.common import find_package
 from gleaner.llm.decontaminate import op4_decontamination
 from gleaner.llm.jaccard_join import op8_jaccard_join
@@ -33,4 +34,4 @@ def _registered(*fns):
 QUERIES = _registered(op1_token_counts, op2_quality_rules, op3_lm_scoring, op4_decontamination, op5_mixing,
                       op6_substring_dedup, op7_pii, op8_jaccard_join, op9_secret_scan, op10_token_files,
                       op11_centroid_clusters, op12_ranked_search, op13_simhash_neardup)
-ORACLE: dict[str, str] = {"op12_ranked_search": RANKED_SQL}
+ORACLE: dict[str, str] = {"op11_centroid_clusters": CLUSTERS_SQL, "op12_ranked_search": RANKED_SQL}

@@ -121,3 +121,20 @@ def test_query_on_the_table(spark):
     d = "/root/testdata/sf0.001"
     table = pq.read_table(f"{d}/embeddings.parquet").to_pylist()
     assert rows_of(cc.op11_centroid_clusters(spark, d)) == brute([(r["vec_id"], r["embedding"]) for r in table])
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_query_equals_its_sql(spark, sf):
+    import duckdb
+
+    from gleaner.llm.clusters_sql import CLUSTERS_SQL
+    from gleaner.llm.common import find_package
+
+    find_package(spark)
+    d = f"/root/testdata/{sf}"
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{d}/embeddings.parquet'")
+    expected = con.sql(CLUSTERS_SQL)
+    got = cc.op11_centroid_clusters(spark, d)
+    assert sorted(expected.columns) == sorted(got.columns)
+    assert rows_of(got.select(*expected.columns)) == sorted(expected.fetchall(), key=repr)
