@@ -13,6 +13,16 @@ def _keys(key) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
+# Keys are broadcast while their counted bytes stay under this bound.
+BROADCAST_MAX_BYTES = 256 << 20
+
+
+def key_bytes(key):
+    """What a row's key weighs in a broadcast, roughly: its text and a row's overhead."""
+    sizes = [F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in _keys(key)]
+    return reduce(lambda a, b: a + b, sizes) + 24
+
+
 def anti_join_null_safe(existing: DataFrame, batch: DataFrame, key, broadcast_keys: bool = False) -> DataFrame:
     """Rows of ``existing`` whose key does not occur in ``batch`` (NULL matches NULL).
 

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from gleaner.functions.widening import fitted, widened
-from gleaner.operators.combine import upsert_frame
+from gleaner.operators.combine import BROADCAST_MAX_BYTES, key_bytes, upsert_frame
 from gleaner.operators.dedup import dedup_first
 from gleaner.session import checkpointed
 from gleaner.sinks.table import _FS
@@ -115,7 +115,9 @@ class PartitionedTable:
         latest = latest.drop(*[c for c in helpers if c in latest.columns])
         schema = self._fit(latest.schema)
         latest = checkpointed(fitted(latest, schema).withColumn(PART, _part_of(keys, mark, partitions)))
-        touched = {r[PART]: r["n"] for r in latest.groupBy(PART).agg(F.count(F.lit(1)).alias("n")).collect()}
+        touched = {r[PART]: (r["n"], r["b"]) for r in latest.groupBy(PART).agg(
+            F.count(F.lit(1)).alias("n"), F.sum(key_bytes(keys)).alias("b")).collect()}
+        n_keys, n_bytes = (sum(x) for x in zip(*touched.values())) if touched else (0, 0)
         if not touched:
             return 0
         old = None
@@ -123,7 +125,7 @@ class PartitionedTable:
             old = self._stored()
             old = fitted(old, StructType(schema.fields + [old.schema[PART]])).where(F.col(PART).isin(*touched))
         merged = upsert_frame(old, latest, keys, deduplicated=True, helper_cols=(),
-                              broadcast_keys=sum(touched.values()) <= broadcast_max_keys)
+                              broadcast_keys=n_keys <= broadcast_max_keys and n_bytes <= BROADCAST_MAX_BYTES)
         # files by partition: small ones in one task, large ones split
         self._write(merged.hint("rebalance", PART))
         return len(touched)

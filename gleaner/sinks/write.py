@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 
 from gleaner.functions.missing import AUDIT_COLUMN, audit_stamp
 from gleaner.functions.widening import fitted, widened
-from gleaner.operators.combine import any_null_key, union_family, upsert_frame
+from gleaner.operators.combine import BROADCAST_MAX_BYTES, any_null_key, key_bytes, union_family, upsert_frame
 from gleaner.session import checkpointed, new_scratch
 from gleaner.operators.dedup import dedup_first, dedup_latest_non_null
 from gleaner.sinks.partitioned import PartitionedTable
@@ -23,8 +23,8 @@ from gleaner.spec import Collector, Merge, Staging
 
 HELPERS = ("req_idx", "pos", "_member")
 
-# Batches with at most this many distinct keys are broadcast to the tasks
-# reading the stored table (8-16 bytes a key: ~100 MB at the bound).
+# Batches with at most this many distinct keys, whose counted bytes are within
+# BROADCAST_MAX_BYTES, are broadcast to the tasks reading the stored table.
 BROADCAST_MAX_KEYS = 5_000_000
 
 # Staging tables written at the same time (each is its own Spark job).
@@ -54,7 +54,9 @@ def upsert(table: VersionedTable, batch: DataFrame, key, stamp: bool = False,
     # the fetch is cut (a lost executor re-reads it) and its size is exact.
     # Its count is also the empty check, so the batch plan runs once.
     latest = checkpointed(dedup_first(batch, key, order))
-    return _upsert_deduplicated(table, latest, key, latest.count(), buckets, broadcast_max_keys)
+    n_keys, n_bytes = latest.agg(F.count(F.lit(1)), F.coalesce(F.sum(key_bytes(key)), F.lit(0))).first()
+    return _upsert_deduplicated(table, latest, key, n_keys, buckets,
+                                broadcast_max_keys if n_bytes <= BROADCAST_MAX_BYTES else 0)
 
 
 def _upsert_deduplicated(table: VersionedTable, latest: DataFrame, key, n_keys: int,
@@ -145,24 +147,28 @@ def staged_write(spark: SparkSession, root: str, namespace: str, staging: Stagin
     landed = new_scratch(spark, "staged")
     deduped.write.partitionBy("_member").parquet(landed)
     latest = spark.read.schema(deduped.schema).parquet(landed)  # member values stay text
-    counts = {r["_member"]: r["n"] for r in latest.groupBy("_member").agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = {r["_member"]: (r["n"], r["b"]) for r in latest.groupBy("_member").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(key_bytes(keys)).alias("b")).collect()}
+    counts = {m: n for m, (n, _) in sizes.items()}
     # The data decide what is written; the spec's members only add tables that
     # this run has no rows for.
     by_table: dict[str, list] = {}
     for m in [*members, *sorted(set(counts) - set(members), key=lambda v: (v is None, v))]:
         by_table.setdefault(member_name(staging, m), []).append(m)
 
+    # Member tables are independent: their upserts run as concurrent Spark
+    # jobs, so small members do not leave the cluster idle one after another.
+    workers = max(1, min(len(by_table), MAX_CONCURRENT_WRITES))
+
     def write_table(name: str) -> int | None:
         res = None
         for m in by_table[name]:  # members sharing a table are upserted in order
             part = latest.filter(F.col("_member").eqNullSafe(F.lit(m)))
-            res = _upsert_deduplicated(VersionedTable(spark, root, namespace, name), part, key,
-                                       counts.get(m, 0)) or res
+            small = sizes.get(m, (0, 0))[1] <= BROADCAST_MAX_BYTES // workers  # all that run at once share the bound
+            res = _upsert_deduplicated(VersionedTable(spark, root, namespace, name), part, key, counts.get(m, 0),
+                                       broadcast_max_keys=BROADCAST_MAX_KEYS // workers if small else 0) or res
         return res
 
-    # Member tables are independent: their upserts run as concurrent Spark
-    # jobs, so small members do not leave the cluster idle one after another.
-    workers = max(1, min(len(by_table), MAX_CONCURRENT_WRITES))
     with ThreadPoolExecutor(max_workers=workers) as pool:
         return dict(zip(by_table, pool.map(write_table, list(by_table))))
 
