@@ -29,6 +29,13 @@ def carried(df: DataFrame, text_col: str, fields: Sequence[StructField],
     return [c for c in names if c.lower() not in taken]
 
 
+def numbered(names: Sequence[str]) -> tuple[list, list]:
+    """(inner, outer): input columns under names of their own, which no
+    internal column has, and those columns back under the names they came with."""
+    return ([F.col(quoted(c)).alias(f"in{i}") for i, c in enumerate(names)],
+            [F.col(f"in{i}").alias(c) for i, c in enumerate(names)])
+
+
 def map_texts(df: DataFrame, text_col: str, start: Callable[[], Callable],
               fields: Sequence[StructField], carry: Sequence[str] | None = None) -> DataFrame:
     """Run a function over batches of texts in Arrow batches, one row per row.
@@ -39,9 +46,9 @@ def map_texts(df: DataFrame, text_col: str, start: Callable[[], Callable],
     what ``start`` made.
     """
     names = carried(df, text_col, fields, carry)
-    src = df.select(*[F.col(quoted(c)) for c in names],
-                    F.col(quoted(text_col)).cast("string").alias("__text"))
-    schema = StructType([*src.schema.fields[:-1], *fields])
+    inner, _ = numbered(names)
+    src = df.select(*inner, F.col(quoted(text_col)).cast("string").alias("text"))
+    schema = StructType([*(StructField(c, f.dataType, f.nullable) for c, f in zip(names, src.schema.fields)), *fields])
     out_names = [f.name for f in schema.fields]
     types = [_arrow(f.dataType) for f in fields]
     n = len(names)

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import LongType, StructField
 
-from gleaner.llm.common import documents, map_texts, quoted, saved
+from gleaner.llm.common import documents, map_texts, numbered, quoted, saved
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -155,21 +155,22 @@ def mix(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", source_co
 
 
 def mixed(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", source_col: str = "source", **how) -> DataFrame:
-    """The rows of ``df`` as often as the mix takes them, whole.
+    """The rows of ``df`` as often as the mix takes them, whole; none of an
+    empty table, and none of a null, empty or blank text.
 
     The mix's copies are matched to rows by id and text; rows equal in both
-    are numbered on either side."""
+    are numbered on either side.  All columns are kept, whatever their names."""
     taken = mix(df, text_col, id_col, source_col, **how)
     same = [F.col("__id"), F.col("__tie")]
     number = F.row_number().over(Window.partitionBy(*same).orderBy(F.lit(0)))
     side = (taken.select(F.col("doc_id").alias("__id"), F.col("tie").alias("__tie"), F.col("copies").alias("__copies"))
             .withColumn("__n", number))
-    names = [F.col(quoted(c)) for c in df.columns]
-    left = df.select(*names, F.col(quoted(id_col)).alias("__id"),
+    inner, outer = numbered(df.columns)
+    left = df.select(*inner, F.col(quoted(id_col)).alias("__id"),
                      F.xxhash64(F.col(quoted(text_col)).cast("string")).alias("__tie")).withColumn("__n", number)
     on = left["__id"].eqNullSafe(side["__id"]) & (left["__tie"] == side["__tie"]) & (left["__n"] == side["__n"])
     return (left.join(side.where("__copies > 0"), on)
-            .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*names))
+            .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*outer))
 
 
 def op5_mixing(spark, sf_dir):

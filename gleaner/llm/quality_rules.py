@@ -14,7 +14,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gleaner.llm.common import documents, quoted, saved
+from gleaner.llm.common import documents, numbered, quoted, saved
 
 _BLANK = r"[\x20\x09-\x0D]+"
 ROUNDS = 25
@@ -192,11 +192,12 @@ def judged(df: DataFrame, text_col: str = "text", carry: list[str] | None = None
             "n_exclaim", "pattern", "base_failed", "kept", "posterior"}
     names = [c for c in (df.columns if carry is None else carry)
              if c.lower() not in made and (carry is not None or c != text_col)]
-    measured = saved(_measured(df, text_col, names), "quality-counts")
+    inner, outer = numbered(names)
+    src = df.select(*inner, F.col(quoted(text_col)).alias("text"))
+    measured = saved(_measured(src, "text", [f"in{i}" for i in range(len(names))]), "quality-counts")
     patterns = saved(measured.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")), "quality-patterns")
     return _decided(measured, estimate(patterns)).select(
-        *[F.col(quoted(c)) for c in names], "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        "base_failed", "kept", "posterior", "n_lines", "n_signs", "n_upper", "n_exclaim", "pattern")
+        *outer, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior", "n_lines", "n_signs", "n_upper", "n_exclaim", "pattern")
 
 
 def _decided(measured: DataFrame, model: dict) -> DataFrame:

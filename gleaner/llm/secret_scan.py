@@ -19,7 +19,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gleaner.llm.common import documents, quoted
+from gleaner.llm.common import documents, numbered, quoted
 from gleaner.llm.quality_rules import let
 
 # The known shapes.
@@ -127,9 +127,10 @@ def scan(df: DataFrame, text_col: str = "text", carry: list[str] | None = None,
     made = {*(f"n_{k}" for k in KINDS), "base_sha256", "spans"}
     names = [c for c in (df.columns if carry is None else carry)
              if c.lower() not in made and (carry is not None or c != text_col)]
-    keep = [F.col(quoted(c)) for c in names]
+    inner, outer = numbered(names)
+    keep = [F.col(f"in{i}") for i in range(len(names))]
     text = F.col("__text")
-    src = df.select(*keep, F.coalesce(F.col(quoted(text_col)).cast("string"), F.lit("")).alias("__text"))
+    src = df.select(*inner, F.coalesce(F.col(quoted(text_col)).cast("string"), F.lit("")).alias("__text"))
     found = src.select(
         *keep,
         F.filter(_spans(text, ASSIGN, 2), lambda x: F.length(x["value"]) >= 8).alias("__assign"),
@@ -149,7 +150,7 @@ def scan(df: DataFrame, text_col: str = "text", carry: list[str] | None = None,
             ":", F.element_at(F.array(*map(F.lit, KINDS)), x["k"] + 1), x["s"].cast("string"), x["e"].cast("string"))), ",")
 
     return found.select(
-        *keep, *(F.size(f"__{k}").cast("long").alias(f"n_{k}") for k in KINDS[:3]),
+        *outer, *(F.size(f"__{k}").cast("long").alias(f"n_{k}") for k in KINDS[:3]),
         F.size("__added").cast("long").alias("n_entropy"),
         F.sha2(line(F.col("__base")), 256).alias("base_sha256"),
         line(F.concat("__base", "__added")).alias("spans"))
