@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 from collections.abc import Callable, Sequence
 
@@ -64,6 +65,20 @@ def map_texts(df: DataFrame, text_col: str, start: Callable[[], Callable],
     return src.mapInArrow(run, schema)
 
 
+def releasing(run: Callable) -> Callable:
+    """``run``, and then memory it has freed goes back to the system: Python
+    workers live on after a task, beside the executor's other memory."""
+    def run_and_release(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library
+            if trim is not None:
+                trim(0)
+    return run_and_release
+
+
 def utf8(column: pa.Array) -> list[bytes | None]:
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()
     return column.cast(kind).to_pylist()

@@ -32,7 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from gleaner.llm.common import documents, lower_ascii, partitions, quoted, saved, saved_even, utf8
+from gleaner.llm.common import documents, lower_ascii, partitions, quoted, releasing, saved, saved_even, utf8
 
 ORDERS = 2  # global orders whose filters are intersected
 KEYS = 6  # min-hash keys per class for the stars
@@ -290,7 +290,7 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
             yield frequent()
 
     names = ["kind", "doc_id", "n_shingles", "class_id", "sketch", "keys"]
-    return docs.mapInArrow(run, SETS)
+    return docs.mapInArrow(releasing(run), SETS)
 
 
 def _frequent(first: DataFrame) -> np.ndarray:
@@ -334,7 +334,7 @@ def _stars(classes: DataFrame) -> DataFrame:
                                              names=["x", "y", "agree"]).filter(pa.array(agree >= SKETCH_AGREE))
 
     best = Window.partitionBy("x").orderBy(F.desc("agree"), "y")
-    return (pairs.mapInArrow(run, "x long, y long, agree double").distinct()
+    return (pairs.mapInArrow(releasing(run), "x long, y long, agree double").distinct()
             .withColumn("rank", F.row_number().over(best)).where(f"rank <= {BEST}")
             .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct())
 
@@ -422,7 +422,7 @@ def _verify(pairs: DataFrame, texts, words: int) -> DataFrame:
                 [pa.array(c, pa.int64()) for c in (zip(*rows) if rows else [[]] * 5)],
                 names=["a", "b", "na", "nb", "both"])
 
-    return saved(full.mapInArrow(run, "a long, b long, na long, nb long, both long"), "jaccard-verified")
+    return saved(full.mapInArrow(releasing(run), "a long, b long, na long, nb long, both long"), "jaccard-verified")
 
 
 def _candidates(docs, sets, classes, labels, frequent, words, percent, orders) -> DataFrame:
@@ -513,8 +513,8 @@ def _candidates(docs, sets, classes, labels, frequent, words, percent, orders) -
                     [pa.array(a), pa.array(b), pa.array(np.full(len(a), 1 << (part // n_parts), np.int64))],
                     names=["a", "b", "seen"])
 
-    posted = src.mapInArrow(post, "part int, alone binary, members binary, components binary").repartition(orders * n_parts, "part")
-    return (posted.mapInArrow(match, "a long, b long, seen long").groupBy("a", "b")
+    posted = src.mapInArrow(releasing(post), "part int, alone binary, members binary, components binary").repartition(orders * n_parts, "part")
+    return (posted.mapInArrow(releasing(match), "a long, b long, seen long").groupBy("a", "b")
             .agg(F.bit_or("seen").alias("seen")).where(f"seen = {(1 << orders) - 1}").select("a", "b"))
 
 
