@@ -69,3 +69,39 @@ def test_nineteen_digits_are_exact(spark):
     df = spark.createDataFrame([("1790000000000000001",), ("9223372036854775807",), ("9999999999999999999",)], "s string")
     got = [r[0] for r in df.select(cast_text(F.col("s"), "integer")).collect()]
     assert got == [1790000000000000001, 9223372036854775807, None]
+
+
+def test_casts_stay_below_what_the_jvm_compiles(spark):
+    """HotSpot interprets methods above 8,000 bytes of code."""
+    import re
+
+    from gleaner.operators import project_schema
+    from gleaner.suite.ingest import LINE_SCHEMA
+
+    recs = spark.range(3).select(F.parse_json(F.concat(F.lit('{"qty": "'), F.col("id").cast("string"), F.lit('"}'))).alias("record"))
+    plan = project_schema(recs, LINE_SCHEMA)._jdf.queryExecution()
+    text = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(plan, "codegen")
+    assert max([int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)], default=0) < 8000
+
+
+def test_guards_let_every_castable_text_pass(spark):
+    texts = ["1", " 1.5e3 ", "-.5", "5.", "1d", "0x1p3", "nan", "+Infinity", "-inf", "\t7\n", "1e400", "T", " yes ", "n", "0", "tru",
+             "", ".", "n/a", "1.2.3", "TRUE\t", "off"]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    s = F.col("s")
+    got = df.select(cast_text(s, "float").cast("string"), s.try_cast("double").cast("string"),
+                    cast_text(s, "boolean"), s.try_cast("boolean")).collect()
+    assert all(r[0] == r[1] and r[2] == r[3] for r in got)
+
+
+def test_times_of_every_shape(spark):
+    texts = ["2024-01-05", "2024-1", " 2024-01-05 ", "2024-01-05T10:00:00+0530", "Mon, 5 Jan 2024 10:00:00 GMT", "Friday, January 5, 2024",
+             "1/5/2024 3:04 pm", "2024/1/5", "1-5-2024", "20240105", "20240105T101112Z", "Jan 5,2024", "5-Jan-2024", "5 January 2024 7:08",
+             "2024", "12:30", "2024-01-05\t", "a, b", None]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    days = [r[0] for r in df.select(cast_text(F.col("s"), "date")).collect()]
+    day = dt.date(2024, 1, 5)
+    assert days == [day, dt.date(2024, 1, 1), *[day] * 12, *[None] * 5]
+    times = [r[0] for r in df.select(cast_text(F.col("s"), "timestamp")).collect()]
+    assert times[3] == dt.datetime(2024, 1, 5, 4, 30) and times[6] == dt.datetime(2024, 1, 5, 15, 4)
+    assert [t is None for t in times] == [d is None for d in days]
