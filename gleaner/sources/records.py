@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -69,25 +70,37 @@ def parse_json_records(bodies: DataFrame, records_path: str | None = None, body:
     prior = F.col("error") if "error" in bodies.columns else F.lit(None).cast("string")
     whole = bodies.select("req_idx", F.col(body).alias("__body"), prior.alias("__prior"), v.alias("__v"))
     odd = F.col("__body").isNotNull() & F.col("__v").isNull() & F.col("__prior").isNull()
-    # one pass: a body that was read passes NULL to the splitter
-    split = whole.withColumn("__parts", _splitter(records_path)(F.when(odd, F.col("__body"))))
+    # one pass: a body that was read passes NULL to the splitter, any other its
+    # text in pieces, one row each, so that no batch of rows holds whole bodies
+    pieces = F.when(odd, F.when(F.length("__body") == 0, F.array("__body"))
+                    .otherwise(F.regexp_extract_all("__body", F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))))
+    rows = whole.select("req_idx", "__prior", "__v", F.col("__body").isNull().alias("__none"), pieces.alias("__pieces")) \
+        .withColumn("__n", F.size("__pieces")) \
+        .select("req_idx", "__prior", "__v", "__none", "__n", F.posexplode_outer("__pieces").alias("__i", "__piece"))
+    split = rows.withColumn("__parts", _splitter(records_path)("__piece", F.col("__i") == 0, F.col("__i") + 1 == F.col("__n"))) \
+        .filter(F.col("__piece").isNull() | F.col("__parts")["shown"])
     data, path_err = _follow(F.col("__v"), records_path)
     parts = F.col("__parts")
     error = F.coalesce("__prior", F.when(F.col("__v").isNotNull(), path_err), parts["error"])
     arr = F.try_variant_get(data, "$", "array<variant>")
-    records = (F.when(error.isNotNull() | F.col("__body").isNull(), F.lit(None))
+    records = (F.when(error.isNotNull() | F.col("__none"), F.lit(None))
                .when(F.col("__v").isNull(), F.transform(parts["texts"], lambda x: F.try_parse_json(x)))
                .when(F.is_variant_null(data), F.array().cast("array<variant>"))
                .when(arr.isNotNull(), arr)
                .otherwise(F.array(data)))
-    staged = split.select("req_idx", error.alias("__error"), records.alias("__recs"), parts["errors"].alias("__bad"))
-    return staged.select("req_idx", "__error", "__bad", F.posexplode_outer("__recs").alias("pos", "record")).select(
-        "req_idx", F.col("pos").cast("int").alias("pos"), "record",
+    staged = split.select("req_idx", error.alias("__error"), records.alias("__recs"), parts["errors"].alias("__bad"),
+                          F.coalesce(parts["first"], F.lit(0)).alias("__first"))
+    return staged.select("req_idx", "__error", "__bad", "__first", F.posexplode_outer("__recs").alias("pos", "record")).select(
+        "req_idx", (F.col("pos") + F.col("__first")).cast("int").alias("pos"), "record",
         F.coalesce("__error", F.get("__bad", "pos"), F.when(
             F.col("__bad").isNotNull() & F.col("pos").isNotNull() & F.col("record").isNull(),
             F.lit("record is too large"))).alias("error"))
 
 
+#: Characters of a body's text in one row for the splitter; a batch has up to
+#: 10,000 rows.
+PIECE = 1024
+
 _BLANK = re.compile(r"[ \t\n\r]*")
 _MARK = re.compile(r'"(?:[^"\\]++|\\.)*+"|[\[\]{},]', re.DOTALL)
 _DECODER = json.JSONDecoder()
@@ -173,22 +186,33 @@ def split_elements(body: str, records_path: str | None) -> tuple[list, list, str
         if text == "null":
             return [], [], None
         return ([text], [None], None) if text else ([], [], "response is not valid JSON")
-    texts, errors, at = [], [], _skip(body, at + 1)
-    while at < len(body) and body[at] != "]":
-        stop = _value_end(body, at)
-        if stop < len(body) and body[stop] == "}":  # a stray bracket belongs to the broken element
-            stop = _value_end(body, stop + 1)
-        text, why = _one(body, at, stop)
+    texts, errors, at = _elements(body, at + 1, _value_end)
+    if at >= len(body) and (not errors or errors[-1] is None):
+        texts.append(None)
+        errors.append(_CUT_OFF)
+    return texts, errors, None
+
+
+#: The array never ends: what was cut off is a bad record.
+_CUT_OFF = "the response ends inside its records"
+
+
+def _elements(s: str, at: int, end) -> tuple[list, list, int]:
+    """(texts, errors, where the next element or the closing bracket is)."""
+    texts, errors, at = [], [], _skip(s, at)
+    while at < len(s) and s[at] != "]":
+        stop = end(s, at)
+        if stop is not None and s[stop:stop + 1] == "}":  # a stray bracket belongs to the broken element
+            stop = end(s, stop + 1)
+        if stop is None:
+            break
+        text, why = _one(s, at, stop)
         if why:
-            stop = _before_next(body, at, stop)
+            stop = _before_next(s, at, stop)
         texts.append(text)
         errors.append(why)
-        at = _skip(body, stop + 1) if body[stop:stop + 1] == "," else stop
-    if at >= len(body):  # the array never ends: what was cut off is a bad record
-        if errors and errors[-1] is None or not errors:
-            texts.append(None)
-            errors.append("the response ends inside its records")
-    return texts, errors, None
+        at = _skip(s, stop + 1) if s[stop:stop + 1] == "," else stop
+    return texts, errors, at
 
 
 _BORDER = re.compile(r"[}\]][ \t\n\r]*+(,)[ \t\n\r]*+[{\[]")
@@ -209,20 +233,87 @@ def _kind_of_text(s: str, at: int) -> str:
     return {"[": "array", '"': "string", "t": "boolean", "f": "boolean", "n": "null"}.get(s[at:at + 1], "number")
 
 
+# As _MARK; a text that is still open where the piece ends has no group.
+_MARK_SO_FAR = re.compile(r'"(?:[^"\\]++|\\.)*+(?:(")|\\?\Z)|[\[\]{},]', re.DOTALL)
+
+
+def _end_so_far(s: str, at: int) -> int | None:
+    """``_value_end`` where more text may follow; None while the value is open."""
+    depth = 0
+    for m in _MARK_SO_FAR.finditer(s, at):
+        c = s[m.start()]
+        if c == '"':
+            if m.group(1) is None:
+                return None
+        elif c in "[{":
+            depth += 1
+        elif c in "]}":
+            depth -= 1
+            if depth < 0:
+                return m.start()
+        elif depth == 0:
+            return m.start()
+    return None
+
+
+class BodySplitter:
+    """``split_elements`` of a body that comes piece by piece.  The elements of
+    a body that is one array leave as soon as they end, so that little more
+    than one is held; any other body is held whole."""
+
+    def __init__(self, records_path: str | None):
+        self.path, self.held, self.size, self.wanted = records_path, [], 0, 0
+        self.is_array, self.done, self.why = None, False, None
+
+    def feed(self, piece: str, last: bool) -> tuple[list, list, str | None]:
+        if self.done:
+            return [], [], None
+        self.held.append(piece)
+        self.size += len(piece)
+        if not last and (self.path or self.is_array is False or self.size < self.wanted):
+            return [], [], None
+        text, at = "".join(self.held), 0
+        if self.is_array is None:
+            at = _skip(text, 0)
+            if at < len(text):
+                self.is_array = text[at] == "[" and not self.path
+        if not self.is_array:
+            self.held = [text]
+            return split_elements(text, self.path) if last else ([], [], None)
+        if self.wanted == 0:
+            at += 1
+        texts, errors, at = _elements(text, at, _value_end if last else _end_so_far)
+        self.why = errors[-1] if errors else self.why
+        self.done = text[at:at + 1] == "]"
+        self.held, self.size = [text[at:]], len(text) - at
+        self.wanted = self.size * 3 // 2 + 1  # an open element is read again once it has grown by half
+        if last and at >= len(text) and self.why is None:
+            texts.append(None)
+            errors.append(_CUT_OFF)
+        return texts, errors, None
+
+
 def _splitter(records_path: str | None):
-    def run(bodies: pd.Series) -> pd.DataFrame:
-        out = []
-        for body in bodies:
-            if body is None:
-                out.append((None, None, None))
-                continue
-            try:
-                out.append(split_elements(body, records_path))
-            except _NotJson:
-                out.append((None, None, "response is not valid JSON"))
-        return pd.DataFrame(out, columns=["texts", "errors", "error"])
-
-    return F.pandas_udf(run, "texts array<string>, errors array<string>, error string")
+    def run(rows: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        split, n = None, 0
+        for pieces, starts, ends in rows:
+            out = []
+            for piece, start, last in zip(pieces, starts, ends):
+                if piece is None:
+                    out.append((None, None, None, None, None))
+                    continue
+                if start:
+                    split, n = BodySplitter(records_path), 0
+                try:
+                    texts, errors, error = split.feed(piece, bool(last))
+                except _NotJson:
+                    texts, errors, error = [], [], "response is not valid JSON"
+                out.append((n, texts, errors, error, bool(texts) or bool(last) and n == 0))
+                n += len(texts)
+            yield pd.DataFrame(out, columns=["first", "texts", "errors", "error", "shown"])
+
+    # not deterministic: it reads the rows of a body in their order, all of them, once
+    return F.pandas_udf(run, "first int, texts array<string>, errors array<string>, error string, shown boolean").asNondeterministic()
 
 
 def function_records(calls: DataFrame) -> DataFrame:

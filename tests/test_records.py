@@ -150,6 +150,47 @@ def test_body_above_a_variants_size():
     assert len(texts) == 141 and errors[:140] == [None] * 140 and errors[140] and error is None
 
 
+BODIES = ['[{"a": 1}, {"a": 2', '[{"a": 1}', '[{"a": NaN}, }, {"a": 2}]', '[{"a": 1}, {"a": "open}]', "", " ", "<html>", "[", " [ ] x", "[]",
+          '[{"a": 1}, {"a": "open}, {"a": 2, "t": "x"}, {"a": "open}, {"a": 3}]', '{"a": NaN}', 'null', '[1, "\\"],[", NaN, , [2, {"b": "}"}] ]]',
+          '[{"a": "open}, {"a": "open}, {"a": 3}, {"a": "x", "b": [1, {"c": 2}], }]', '[{"a": 1},\n {"a": "\\\\"}\n, {"a": "\\', '[{"a": 1}}, {"b": 2}]']
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 1000])
+def test_a_body_in_pieces_gives_the_same_elements(size):
+    from gleaner.sources.records import BodySplitter, split_elements
+
+    for body in BODIES:
+        split, texts, errors = BodySplitter(None), [], []
+        pieces = [body[i:i + size] for i in range(0, len(body), size)] or [""]
+        for i, piece in enumerate(pieces):
+            more, bad, error = split.feed(piece, i + 1 == len(pieces))
+            texts, errors = texts + more, errors + bad
+        assert (texts, errors, error) == split_elements(body, None), body
+
+
+def test_the_splitter_holds_little_of_a_long_array():
+    from gleaner.sources.records import BodySplitter
+
+    body = "[" + ",".join('{"t": "%s"}' % ("x" * 500) for _ in range(2000)) + ", NaN]"
+    split, n = BodySplitter(None), 0
+    for i in range(0, len(body), 4096):
+        n += len(split.feed(body[i:i + 4096], i + 4096 >= len(body))[0])
+        assert sum(map(len, split.held)) < 8192
+    assert n == 2001
+
+
+def test_records_of_bodies_in_many_pieces(spark):
+    bodies = [(k, "[" + ",".join('{"i": %d, "t": "%s"}' % (i, "é" * 300) if i % 7 else '{"i": "%d}' % i for i in range(1, 100)) + "]", None)
+              for k in range(3)] + [(3, "[{}, NaN", None), (4, "", None), (5, '[{"a": 1}]', None), (6, None, "HTTP 500"), (7, "[ ] x", None)]
+    parsed = parse_json_records(spark.createDataFrame(bodies, "req_idx bigint, body string, error string").coalesce(1))
+    got = parsed.select("req_idx", "pos", F.try_variant_get("record", "$.i", "int").alias("i"), "error").collect()
+    for k in range(3):
+        assert sorted((r["pos"], r["i"]) for r in got if r["req_idx"] == k) == [(i - 1, i if i % 7 else None) for i in range(1, 100)]
+    rest = sorted((r["req_idx"], -1 if r["pos"] is None else r["pos"], r["error"]) for r in got if r["req_idx"] > 2)
+    assert [r[:2] for r in rest] == [(3, 0), (3, 1), (3, 2), (4, -1), (5, 0), (6, -1), (7, -1)]
+    assert rest[2][2] == "the response ends inside its records" and rest[3][2] == "response is not valid JSON"
+
+
 def _csv(spark, body):
     out = parse_csv_records(spark.createDataFrame([(0, body)], "req_idx bigint, body string")) \
         .select("pos", F.to_json("record").alias("r"), "error").collect()
