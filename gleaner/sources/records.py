@@ -350,28 +350,30 @@ _RECORD = rf"{_PLAIN}(?:,{_PLAIN})*+"
 
 def _text_of(body: Column) -> Column:
     """The text with one kind of line break and without a byte order mark."""
-    return F.regexp_replace(F.regexp_replace(body, "^\ufeff", ""), r"\r\n?", "\n")
+    body = F.when(body.startswith("\ufeff"), F.substr(body, F.lit(2))).otherwise(body)
+    return F.replace(F.replace(body, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
 
 
-def _cells(record: Column) -> Column:
-    """The cells of one record as text; an empty cell, quoted or not, is NULL."""
-    raw = F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(rf"(?s),({_QUOTED}[^,]*+|[^,]*+)"), F.lit(1))
+def _raw_cells(record: Column, closed: bool = False) -> Column:
+    """The cells of one record as they stand in it, quotes included; with
+    ``closed`` not those that start with a quote that is never closed."""
+    other = '(?!")[^,]*+' if closed else "[^,]*+"
+    return F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(rf"(?s),({_QUOTED}[^,]*+|{other})"), F.lit(1))
+
+
+def _cells(raw: Column) -> Column:
+    """Raw cells as text; an empty cell, quoted or not, is NULL."""
 
     def plain(c: Column) -> Column:
         inner = F.replace(F.regexp_replace(c, rf'(?s)^"((?:[^"]++|"")*+)"([^,]*+)$', "$1$2"), F.lit('""'), F.lit('"'))
-        return F.nullif(F.when(c.startswith('"'), inner).otherwise(c), F.lit(""))
+        return F.when(c.startswith('"'), F.nullif(inner, F.lit(""))).when(c != "", c)
 
     return F.transform(raw, plain)
 
 
-def _open_quote(record: Column) -> Column:
-    """Whether a cell starts with a quote that is never closed."""
-    return F.regexp_like(F.concat(F.lit(","), record), F.lit(rf'(?s)^(?:,(?:{_QUOTED}[^,]*+|(?!")[^,]*+))*+,"'))
-
-
 def _names(header: Column) -> Column:
     """Field names: an empty one after its place, a repeated one numbered."""
-    raw = F.transform(_cells(header), lambda c, i: F.coalesce(c, F.concat(F.lit("Unnamed: "), i.cast("string"))))
+    raw = F.transform(_cells(_raw_cells(header)), lambda c, i: F.coalesce(c, F.concat(F.lit("Unnamed: "), i.cast("string"))))
 
     def unique(raw: Column) -> Column:
         def add(done: Column, name: Column) -> Column:
@@ -403,12 +405,18 @@ def parse_csv_records(bodies: DataFrame, body: str = "body") -> DataFrame:
         "req_idx", "error", _names(F.get("__records", F.lit(0))).alias("__names"),
         F.coalesce(F.slice("__records", 2, F.greatest(F.size("__records") - 1, F.lit(0))),
                    F.array().cast("array<string>")).alias("__records"))
-    rows = heads.select("req_idx", "error", "__names", F.posexplode_outer("__records").alias("pos", "__record")) \
-        .withColumn("__cells", _cells(F.col("__record")))
-    n, width = F.size("__cells"), F.size("__names")
-    bad = F.when(_open_quote(F.col("__record")), F.lit("a quote is not closed")).when(
+    rows = heads.select("req_idx", "error", "__names", F.posexplode_outer("__records").alias("pos", "__record"))
+    # The optimizer copies a column's expression into each filter on it, but not past a generator:
+    # as the only element of an array, a record is split once however its errors are filtered.
+    rows = rows.select("req_idx", "error", "__names", "pos", "__record",
+                       F.explode(F.array(_raw_cells(F.col("__record"), closed=True))).alias("__raw"))
+    n, width = F.size("__raw"), F.size("__names")
+    open_quote = F.array_join("__raw", ",") != F.col("__record")  # a cell is left out
+    bad = F.when(open_quote, F.lit("a quote is not closed")).when(
         n > width, F.concat(F.lit("record has "), n.cast("string"), F.lit(" cells, its header "), width.cast("string")))
-    record = F.to_variant_object(F.map_from_entries(F.arrays_zip(F.col("__names").alias("k"), F.col("__cells").alias("v"))))
+    names, cells = F.col("__names"), _cells(F.col("__raw"))
+    record = F.to_variant_object(F.when(n == width, F.map_from_arrays(names, cells)).otherwise(
+        F.map_from_entries(F.arrays_zip(names.alias("k"), cells.alias("v")))))
     return rows.withColumn("__bad", F.when(F.col("pos").isNotNull(), bad)).select(
         "req_idx", F.col("pos").cast("int").alias("pos"),
         F.when(F.col("pos").isNotNull() & F.col("__bad").isNull(), record).alias("record"),

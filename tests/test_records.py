@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from gleaner.sources.records import infer_text_types, parse_csv_records, parse_json_records, records_of
+from gleaner.sources.records import dead_letters, infer_text_types, parse_csv_records, parse_json_records, records_of
 
 
 def _parse(spark, body, path):
@@ -222,3 +222,24 @@ def test_long_quoted_cells_take_linear_time(spark):
     body = 'a,b\n' + '1,"' + 'x ""y""\n' * 60_000 + '"\n' + '2,3\n' * 20_000
     good, bad = _csv(spark, body)
     assert len(good) == 20_001 and not bad and good[0]["b"].count("\n") == 60_000
+
+
+def test_csv_records_are_split_once_when_errors_are_filtered(spark):
+    bodies = spark.createDataFrame([(0, "a,b\n1,2\n")], "req_idx bigint, body string")
+
+    def splits(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all")
+
+    parsed = parse_csv_records(bodies)
+    assert splits(records_of(parsed)) == splits(dead_letters(parsed)) == 3  # the body, its header, its records
+
+
+@pytest.mark.parametrize("body,good,bad", [
+    ('a,"b\n1,2\n', {0: {"a": "1", '"b': "2"}}, {}),
+    ('a,b\n1,"x"\n"open,2\n', {0: {"a": "1", "b": "x"}}, {1: "not closed"}),
+    ('a\n1\n"', {0: {"a": "1"}}, {1: "not closed"}),
+    ('a,b\r1,"x""y"\r"",\r\n"u"v"w,"""" \n', {0: {"a": "1", "b": 'x"y'}, 1: {}, 2: {"a": 'uv"w', "b": '" '}}, {}),
+    ('\ufeffa,b\n\ufeff1,2\n', {0: {"a": "\ufeff1", "b": "2"}}, {}),
+])
+def test_csv_quotes_and_line_breaks(spark, body, good, bad):
+    test_csv_records(spark, body, good, bad)
