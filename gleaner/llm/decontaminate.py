@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from gleaner.llm.common import documents, find_package, quoted, utf8
+from gleaner.llm.common import documents, find_package, quoted, releasing, small_batches, utf8
 
 SEED = 20240917
 LONGEST = 8  # words of a longer piece that make its seed
@@ -351,11 +351,12 @@ def leaks(df: DataFrame, benchmark: DataFrame, text_col: str = "text", id_col: s
     texts or items the result is empty.
     """
     spark = df.sparkSession
+    small_batches(spark)
     src = df.select(F.col(quoted(id_col)).alias(id_col), F.col(quoted(text_col)).cast("string").alias("__text"))
     schema = StructType([src.schema[0], *MATCH])
     out = spark.createDataFrame([], schema)
     for block in _blocks(benchmark, item_text_col, item_id_col):
-        out = out.unionByName(src.mapInArrow(_search(spark, block, max_edit, schema), schema))
+        out = out.unionByName(src.mapInArrow(releasing(_search(spark, block, max_edit, schema)), schema))
     return out
 
 
@@ -380,6 +381,7 @@ def without_leaks(df: DataFrame, benchmark: DataFrame, text_col: str = "text", i
     texts, and those without a word, stay; without items all rows do; an empty
     table gives an empty result."""
     at = df.columns.index(text_col)
+    small_batches(df.sparkSession)
     for block in _blocks(benchmark, item_text_col, item_id_col):
         shared = df.sparkSession.sparkContext.broadcast(block)
 
@@ -390,7 +392,7 @@ def without_leaks(df: DataFrame, benchmark: DataFrame, text_col: str = "text", i
                 keep[[m[0] for m in index.matches(utf8(b.column(at)))]] = False
                 yield b.filter(pa.array(keep))
 
-        df = df.mapInArrow(run, df.schema)
+        df = df.mapInArrow(releasing(run), df.schema)
     return df
 
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from gleaner.llm.common import documents, lower_ascii, partitions, quoted, releasing, saved, saved_even, utf8
+from gleaner.llm.common import documents, lower_ascii, partitions, quoted, releasing, saved, saved_even, small_batches, utf8
 
 ORDERS = 2  # global orders whose filters are intersected
 KEYS = 6  # min-hash keys per class for the stars
@@ -213,6 +213,7 @@ def jaccard_components(df: DataFrame, text_col: str = "text", id_col: str = "doc
     whatever their names.  An empty table gives an empty result.
     """
     spark = df.sparkSession
+    small_batches(spark)
     docs = df.select(F.col(quoted(id_col)).cast("long").alias("doc_id"),
                      F.col(quoted(text_col)).cast("string").alias("text"))
     first = saved(_sets(docs, words), "jaccard-sets")

@@ -15,7 +15,7 @@ Only (source, length, count) rows meet in one task per source.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import LongType, StructField
 
@@ -129,17 +129,18 @@ def mix(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", source_co
                                                  F.coalesce("source", F.lit(""))))
                  .select("key", "source_size", "target"), "mix-targets")
 
-    def plan(rows: pd.DataFrame) -> pd.DataFrame:
-        total, target = int(rows["source_size"].iloc[0]), float(rows["target"].iloc[0])
+    def plan(rows: pa.Table) -> pa.Table:
+        total, target = rows["source_size"][0].as_py(), rows["target"][0].as_py()
         want = int(round(target))
         whole = min(repeat, want // total) if total else 0
-        rows = rows.sort_values("size")
-        extra = fit(rows["size"].to_numpy(np.int64), rows["n"].to_numpy(np.int64),
+        rows = rows.sort_by("size")
+        extra = fit(rows["size"].to_numpy(), rows["n"].to_numpy(),
                     want - whole * total if whole < repeat else 0)
-        return pd.DataFrame({"key": rows["key"], "size": rows["size"], "whole": whole, "extra": extra})
+        return pa.table({"key": rows["key"], "size": rows["size"], "whole": pa.repeat(pa.scalar(whole, pa.int64()), len(extra)),
+                         "extra": pa.array(extra, pa.int64())})
 
     planned = (lengths.join(goal, "key").groupBy("key")
-               .applyInPandas(plan, "key string, size long, whole long, extra long"))
+               .applyInArrow(plan, "key string, size long, whole long, extra long"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("key", "size").orderBy("bucket")
                                         .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     quota = saved(buckets.join(planned, ["key", "size"]).withColumn("quota", F.greatest(

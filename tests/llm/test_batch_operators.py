@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql.types import LongType, StructField
 
 from gleaner.llm import pii, token_counts as tc, token_files as tf
 from tests.llm.conftest import words
@@ -135,3 +136,19 @@ def test_pii_rows(make, hard):
     assert got[30].base_sha256 == hashlib.sha256(b"email:0:6,ip:9:17").hexdigest()
     assert got[1].spans == "" and got[1].base_sha256 == hashlib.sha256(b"").hexdigest()
     assert pii.find_pii(make([])).count() == 0
+
+
+def test_texts_reach_workers_in_small_batches(make, spark):
+    from gleaner.llm.common import BATCH_BYTES, map_texts
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    was = spark.conf.get(key)
+    df = make([(i, "x" * 50_000) for i in range(400)]).coalesce(1)
+    sizes = lambda: lambda texts: [[sum(map(len, texts))] * len(texts)]
+    try:
+        for limit in ("67108864b", "1m"):  # Spark's own, and one that the session was given
+            spark.conf.set(key, limit)
+            got = [r.held for r in map_texts(df, "text", sizes, [StructField("held", LongType())]).collect()]
+            assert len(got) == 400 and max(got) <= (BATCH_BYTES if limit != "1m" else 1 << 20) + 100_000
+    finally:
+        spark.conf.set(key, was)
